@@ -1,0 +1 @@
+"""Empty on purpose: the report is one batch run and has no streaming part."""
