@@ -1,9 +1,12 @@
 """The status of each lead's most recent connected call."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialtrail.operators.calls import connected_calls
+from dialtrail.operators.lanes import hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone
 from dialtrail.operators.repeat import repeat_rows
 
@@ -13,7 +16,7 @@ def _dated_calls(calls: DataFrame) -> DataFrame:
     return (
         connected_calls(calls)
         .filter(known)
-        .withColumnRenamed("phone_number_dialed", "phone")
+        .select(F.col("phone_number_dialed").alias("phone"), "call_date", "status")
     )
 
 
@@ -39,21 +42,26 @@ def max_call_dates(leads: DataFrame, calls: DataFrame) -> DataFrame:
     )
 
 
-def last_call_status(leads: DataFrame, calls: DataFrame) -> DataFrame:
+def _newest(dated: DataFrame) -> DataFrame:
+    """The latest calls of each phone; equal calls as one row with a count."""
+    same_call = ["phone", "call_date", "status"]
+    distinct_calls = dated.groupBy(*same_call).agg(F.count("*").alias("n_calls"))
+    newest_first = Window.partitionBy("phone").orderBy(F.desc("call_date"))
+    ranked = distinct_calls.withColumn("_rank", F.rank().over(newest_first))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def last_call_status(
+    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+) -> DataFrame:
     """Status of the latest connected call, once per lead and tied call.
 
-    Equal calls are counted first, so ties meet as counts, and ``rank`` drops
-    older dates before its shuffle as well as after. Null dates go first:
-    ``rank`` would let a phone with only null dates through.
+    Null dates go first: ``rank`` would let a phone with only null dates
+    through. Looks for hot phones first (a job) unless told them.
     """
-    same_call = ["phone", "call_date", "status"]
-    distinct_calls = (
-        _dated_calls(calls).groupBy(*same_call).agg(F.count("*").alias("n_calls"))
-    )
-    newest_first = Window.partitionBy("phone").orderBy(F.desc("call_date"))
-    latest = distinct_calls.withColumn("_rank", F.rank().over(newest_first)).filter(
-        F.col("_rank") == 1
-    )
+    if hot is None:
+        hot = hot_phones(calls, "phone_number_dialed")
+    latest = roll_up_by_phone(_dated_calls(calls), "phone", _newest, hot)
     counted = latest.join(_known_phones(leads), "phone").select(
         "phone",
         F.col("call_date").alias("max_call_date"),

@@ -1,29 +1,62 @@
 """How often each status came up, as counts and as text."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtrail.operators.calls import connected_calls
+from dialtrail.operators.lanes import hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone
 
 SEPARATOR = ", "
 
 
-def status_item(status: Column, n_calls: Column, n_leads: Column) -> Column:
-    """``status(count)``, once for each lead that shares the phone; null if the
-    status is. The count covers the same leads."""
-    count = (n_calls * n_leads).cast("string")
-    item = F.concat(status, F.lit("("), count, F.lit(")"))
-    repeats = (n_leads - 1).cast("int")
-    return F.concat(F.repeat(F.concat(item, F.lit(SEPARATOR)), repeats), item)
+def status_item(status: Column, n_calls: Column) -> Column:
+    """``status(count)``; null if the status is."""
+    return F.concat(status, F.lit("("), n_calls.cast("string"), F.lit(")"))
+
+
+def summary_text(statuses: str, n_leads: str) -> Column:
+    """``DROP(2), FOLLOW(1)`` in status order, from an array of structs that
+    start with ``status`` and hold ``n_connected`` and its ``item``; null where
+    no status is known.
+
+    Leads that share a phone each list the item again, with a count over all of
+    them. One lead, the usual case, takes the items as they are.
+    """
+    ordered = F.sort_array(statuses)
+    leads = F.col(n_leads)
+
+    def shared_item(s):
+        item = status_item(s["status"], s["n_connected"] * leads)
+        again = F.repeat(F.concat(item, F.lit(SEPARATOR)), (leads - 1).cast("int"))
+        return F.concat(again, item)
+
+    items = F.when(leads == 1, ordered["item"]).otherwise(
+        F.transform(ordered, shared_item)
+    )
+    return F.nullif(F.array_join(items, SEPARATOR), F.lit(""))
 
 
-def _connected_by_status(calls: DataFrame) -> DataFrame:
+def _dialled(calls: DataFrame) -> DataFrame:
     return (
         connected_calls(calls)
         .filter(F.col("phone_number_dialed").isNotNull())
-        .groupBy(F.col("phone_number_dialed").alias("phone"), "status")
-        .agg(F.count("*").alias("n_calls"))
+        .select(F.col("phone_number_dialed").alias("phone"), "status")
+    )
+
+
+def _by_status(dialled: DataFrame) -> DataFrame:
+    return dialled.groupBy("phone", "status").agg(F.count("*").alias("n_connected"))
+
+
+def _by_phone(dialled: DataFrame) -> DataFrame:
+    """One entry per distinct status: what the text has to spell out."""
+    item = status_item(F.col("status"), F.col("n_connected")).alias("item")
+    entry = F.struct("status", "n_connected", item)
+    return _by_status(dialled).groupBy("phone").agg(
+        F.collect_list(entry).alias("statuses")
     )
 
 
@@ -31,29 +64,30 @@ def status_counts(leads: DataFrame, calls: DataFrame) -> DataFrame:
     """Connected calls per phone of a lead and status, once per such lead."""
     phones = leads_by_phone(leads).select("phone", "n_leads")
     return (
-        _connected_by_status(calls)
+        _by_status(_dialled(calls))
         .join(phones, "phone")
         .select(
             F.col("phone").alias("phone_number_dialed"),
             "status",
-            (F.col("n_calls") * F.col("n_leads")).alias("status_count"),
+            (F.col("n_connected") * F.col("n_leads")).alias("status_count"),
         )
     )
 
 
-def status_summary(leads: DataFrame, calls: DataFrame) -> DataFrame:
-    """One row per phone: ``DROP(2), FOLLOW(1)`` in status order, or null."""
-    item = status_item(F.col("status"), F.col("n_calls"), F.col("n_leads"))
+def status_summary(
+    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per phone with its summary text, or null. Looks for hot phones
+    first (a job) unless told them."""
+    if hot is None:
+        hot = hot_phones(calls, "phone_number_dialed")
+    by_phone = roll_up_by_phone(_dialled(calls), "phone", _by_phone, hot)
     return (
         leads_by_phone(leads)
         .select("phone", "n_leads")
-        .join(_connected_by_status(calls), "phone", "left")
-        .withColumn("item", item)
-        .groupBy("phone")
-        .agg(
-            F.expr(
-                f"listagg(item, '{SEPARATOR}') WITHIN GROUP (ORDER BY status)"
-            ).alias("status_summary")
+        .join(by_phone, "phone", "left")
+        .select(
+            F.col("phone").alias("phone_number_dialed"),
+            summary_text("statuses", "n_leads").alias("status_summary"),
         )
-        .withColumnRenamed("phone", "phone_number_dialed")
     )

@@ -1,5 +1,7 @@
 """The wide report: one row per phone and tied latest call, 17 columns."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,43 +14,43 @@ from dialtrail.functions.predicates import (
 )
 from dialtrail.operators.activity import add_activity
 from dialtrail.operators.calls import with_score
+from dialtrail.operators.lanes import hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone, with_report_date
 from dialtrail.operators.repeat import repeat_rows
 from dialtrail.operators.score import best_score
-from dialtrail.operators.summary import SEPARATOR, status_item
+from dialtrail.operators.summary import status_item, summary_text
 from dialtrail.schema import REPORT_COLUMNS
 
 # Tells rows of one report apart, up to equal rows.
 REPORT_ORDER = ("phone", "last_call_status")
 
 
-def calls_by_day(calls: DataFrame) -> DataFrame:
-    """Counts per (phone, status, call_date), the grain every report rolls up
-    from. Equal calls merge before the shuffle, and a hot phone spreads over
-    its dates.
+def marked_calls(calls: DataFrame) -> DataFrame:
+    """The few values of a call that the report rolls up.
 
     Failed calls only tell that a phone was dialled, so they lose status and
-    date and shrink to one row per phone.
+    date and merge into one row per phone.
     """
     reached = reachable()
-    return (
-        calls.filter(F.col("phone_number_dialed").isNotNull())
-        .select(
-            F.col("phone_number_dialed").alias("phone"),
-            F.when(reached, F.col("status")).alias("status"),
-            F.when(reached, F.col("call_date")).alias("call_date"),
-            reached.alias("reached"),
-            connected().alias("connected"),
-            outbound().alias("outbound"),
-            inbound().alias("inbound"),
-        )
-        .groupBy("phone", "status", "call_date")
-        .agg(
-            F.count_if("reached").alias("n_reached"),
-            F.count_if("connected").alias("n_connected"),
-            F.count_if(F.col("reached") & F.col("outbound")).alias("n_outbound"),
-            F.count_if(F.col("reached") & F.col("inbound")).alias("n_inbound"),
-        )
+    return calls.filter(F.col("phone_number_dialed").isNotNull()).select(
+        F.col("phone_number_dialed").alias("phone"),
+        F.when(reached, F.col("status")).alias("status"),
+        F.when(reached, F.col("call_date")).alias("call_date"),
+        reached.alias("reached"),
+        connected().alias("connected"),
+        (reached & outbound()).alias("outbound"),
+        (reached & inbound()).alias("inbound"),
+    )
+
+
+def calls_by_day(marked: DataFrame) -> DataFrame:
+    """Counts per (phone, status, call_date), the grain the report rolls up
+    from. Equal calls merge here, and a hot phone spreads over its dates."""
+    return marked.groupBy("phone", "status", "call_date").agg(
+        F.count_if("reached").alias("n_reached"),
+        F.count_if("connected").alias("n_connected"),
+        F.count_if("outbound").alias("n_outbound"),
+        F.count_if("inbound").alias("n_inbound"),
     )
 
 
@@ -73,7 +75,8 @@ def calls_by_status(by_day: DataFrame) -> DataFrame:
 def calls_by_phone(by_status: DataFrame) -> DataFrame:
     """Roll up to one row per phone. ``statuses`` holds one entry per distinct
     status, no more than the summary text has to spell out."""
-    entry = F.struct("status", "n_connected", "last_connected", "n_last_connected")
+    item = status_item(F.col("status"), F.col("n_connected")).alias("item")
+    entry = F.struct("status", "n_connected", item, "last_connected", "n_last_connected")
     return by_status.groupBy("phone").agg(
         F.lit(True).alias("called"),
         F.min("first_call").alias("first_call_date"),
@@ -88,25 +91,30 @@ def calls_by_phone(by_status: DataFrame) -> DataFrame:
     )
 
 
-def lead_report(leads: DataFrame, calls: DataFrame) -> DataFrame:
-    return numbered_report(leads, calls).select(*REPORT_COLUMNS)
+def call_rollup(marked: DataFrame) -> DataFrame:
+    return calls_by_phone(calls_by_status(calls_by_day(marked)))
 
 
-def numbered_report(leads: DataFrame, calls: DataFrame) -> DataFrame:
+def lead_report(
+    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+) -> DataFrame:
+    """The report; looks for hot phones first (a job) unless told them."""
+    return numbered_report(leads, calls, hot).select(*REPORT_COLUMNS)
+
+
+def numbered_report(
+    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+) -> DataFrame:
     """The report with ``copy_no``, which tells equal rows apart.
 
-    One scan of each table. Calls shuffle by (phone, status, call_date), then
-    ever smaller rollups by (phone, status) and by phone; leads shuffle by
-    phone and meet the last rollup where it lies.
+    Calls are read once and shuffled once, by phone, and meet the leads where
+    they lie. Hot phones, if any, take a lane of their own.
     """
-    rolled = calls_by_phone(calls_by_status(calls_by_day(calls)))
+    if hot is None:
+        hot = hot_phones(calls, "phone_number_dialed")
+    rolled = roll_up_by_phone(marked_calls(calls), "phone", call_rollup, hot)
     joined = leads_by_phone(leads).join(rolled, "phone", "left")
 
-    named = F.array_sort(F.filter("statuses", lambda s: s.status.isNotNull()))
-    items = F.transform(
-        named, lambda s: status_item(s.status, s.n_connected, F.col("n_leads"))
-    )
-    summary = F.when(F.size(items) > 0, F.array_join(items, SEPARATOR))
     latest = F.filter("statuses", lambda s: s.last_connected == F.col("max_call_date"))
 
     rows = (
@@ -114,7 +122,7 @@ def numbered_report(leads: DataFrame, calls: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "max_score": best_score("called", "best"),
-                "status_summary": summary,
+                "status_summary": summary_text("statuses", "n_leads"),
                 "latest": F.explode_outer(latest),
             }
         )

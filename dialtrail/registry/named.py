@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtrail.operators import activity, calls, leads, score, status, summary
+from dialtrail.operators.lanes import hot_phones
 from dialtrail.operators.staging import fresh_path
 from dialtrail.plans import publish, report, snapshot
 from dialtrail.sources import sample_tables as samples
@@ -27,11 +28,12 @@ def _activity_part(*columns):
 
 
 def _merged(lb, ch):
+    hot = hot_phones(ch, "phone_number_dialed")
     return report.merge_reports(
         activity.lead_activity(lb, ch),
-        status.last_call_status(lb, ch),
+        status.last_call_status(lb, ch, hot),
         score.lead_max_score(lb, ch),
-        summary.status_summary(lb, ch),
+        summary.status_summary(lb, ch, hot),
     )
 
 

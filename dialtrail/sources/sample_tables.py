@@ -14,6 +14,20 @@ from dialtrail.schema import CALL_HISTORY, LEAD_BANK
 from dialtrail.sources.tables import conform
 
 
+# The columns read, with their stored types: no schema inference job.
+STORED = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
+def _stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(STORED[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
 def _phone(key: str) -> Column:
     return F.concat(F.lit("9"), F.lpad(F.expr(key).cast("string"), 9, "0"))
 
@@ -45,8 +59,8 @@ def shared_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _leads(spark, sf_dir, phone):
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    customer = _stored(spark, sf_dir, "customer")
+    nation = _stored(spark, sf_dir, "nation")
     key = F.col("c_custkey")
     upload_day = F.date_add(F.lit("2024-01-01").cast("date"), (key % 365).cast("int"))
     uploaded = (
@@ -95,7 +109,7 @@ STATUS_BY_ORDERKEY_MOD_16 = {
 
 
 def sample_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = _stored(spark, sf_dir, "orders")
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
     dialstatus = (
         F.when(customer % 10 == 7, "FAILED")
@@ -129,7 +143,7 @@ STATUS_BY_EVENT_TYPE = {
 
 
 def sample_calls_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = _stored(spark, sf_dir, "events")
     event = F.col("event_id")
     dialstatus = (
         F.when(event % 11 == 0, None)
@@ -149,7 +163,7 @@ def sample_calls_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = _stored(spark, sf_dir, "orders")
     order = F.col("o_orderkey")
     phone = (
         F.when(order % 50 == 1, None)
