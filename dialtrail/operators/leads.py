@@ -10,8 +10,9 @@ from dialtrail.schema import LEAD_COLUMNS
 
 PAGE_ORDER = ("phone", "lead_id")
 
-# Deepest page still taken as a per-task top-k; that many rows meet in one task.
-TOP_K_ROWS = 100_000
+# Deepest page still taken as a top-k, where each scan task sends that many rows
+# to a single one.
+TOP_K_ROWS = 5_000
 
 
 def lead_count(leads: DataFrame) -> DataFrame:

@@ -29,19 +29,13 @@ def _stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _phone(key: str) -> Column:
-    return F.concat(F.lit("9"), F.lpad(F.expr(key).cast("string"), 9, "0"))
+    return F.expr(f"concat('9', lpad(CAST({key} AS STRING), 9, '0'))")
 
 
-def _lookup(value: Column, table: dict) -> Column:
-    """CASE value WHEN key THEN result ...; null for any other value."""
-    result = None
-    for key, text in table.items():
-        result = (
-            F.when(value == key, text)
-            if result is None
-            else result.when(value == key, text)
-        )
-    return result
+def _lookup(value: str, table: dict) -> Column:
+    """The text ``table`` gives for a value; null for any other value."""
+    cases = " ".join(f"WHEN {key!r} THEN {text!r}" for key, text in table.items())
+    return F.expr(f"CASE {value} {cases} END")
 
 
 def sample_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,10 +116,8 @@ def sample_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.filter(customer % 10 != 3).select(
             _phone("o_custkey").alias("phone_number_dialed"),
             F.col("o_orderdate").alias("call_date"),
-            _lookup(F.col("o_orderpriority"), CAMPAIGN_BY_PRIORITY).alias(
-                "campaign_id"
-            ),
-            _lookup(order % 16, STATUS_BY_ORDERKEY_MOD_16).alias("status"),
+            _lookup("o_orderpriority", CAMPAIGN_BY_PRIORITY).alias("campaign_id"),
+            _lookup("o_orderkey % 16", STATUS_BY_ORDERKEY_MOD_16).alias("status"),
             dialstatus.alias("dialstatus"),
         ),
         CALL_HISTORY,
@@ -154,8 +146,8 @@ def sample_calls_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.select(
             _phone("user_id").alias("phone_number_dialed"),
             F.col("ts").cast("date").alias("call_date"),
-            _lookup(event % 4, CAMPAIGN_BY_EVENT_MOD_4).alias("campaign_id"),
-            _lookup(F.col("event_type"), STATUS_BY_EVENT_TYPE).alias("status"),
+            _lookup("event_id % 4", CAMPAIGN_BY_EVENT_MOD_4).alias("campaign_id"),
+            _lookup("event_type", STATUS_BY_EVENT_TYPE).alias("status"),
             dialstatus.alias("dialstatus"),
         ),
         CALL_HISTORY,
@@ -182,10 +174,8 @@ def shared_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.select(
             phone.alias("phone_number_dialed"),
             F.when(order % 45 != 7, month).alias("call_date"),
-            _lookup(F.col("o_orderpriority"), CAMPAIGN_BY_PRIORITY).alias(
-                "campaign_id"
-            ),
-            _lookup(order % 16, STATUS_BY_ORDERKEY_MOD_16).alias("status"),
+            _lookup("o_orderpriority", CAMPAIGN_BY_PRIORITY).alias("campaign_id"),
+            _lookup("o_orderkey % 16", STATUS_BY_ORDERKEY_MOD_16).alias("status"),
             dialstatus.alias("dialstatus"),
         ),
         CALL_HISTORY,

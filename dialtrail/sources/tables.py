@@ -5,7 +5,6 @@ pruned to them whatever else the stored table holds.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialtrail.schema import CALL_HISTORY, LEAD_BANK
@@ -13,8 +12,11 @@ from dialtrail.schema import CALL_HISTORY, LEAD_BANK
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to ``schema``; a missing column is an error."""
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.selectExpr(
+        *[
+            f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in schema.fields
+        ]
     )
 
 
