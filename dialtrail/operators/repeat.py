@@ -28,3 +28,12 @@ def repeat_rows(
     numbers = F.sequence(start, F.least(last, start + run - 1))
     kept = [name for name in df.columns if name != copies]
     return runs.select(*kept, F.explode(numbers).alias(ordinal))
+
+
+def number_copies(
+    df: DataFrame, spread_by: Sequence[str], ordinal: str = "copy_no"
+) -> DataFrame:
+    """Tell equal rows apart by ``ordinal``. They are counted and written out
+    again, so that any number of them is spread over tasks."""
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    return repeat_rows(counted, "_copies", spread_by, ordinal)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dialtrail.functions.fixed_values import ROWS_PER_PUBLISH_BATCH
 from dialtrail.functions.text import cell_text
 from dialtrail.operators.ordinal import with_ordinal
+from dialtrail.operators.repeat import number_copies
 from dialtrail.plans.report import REPORT_ORDER
 
 HEADER_ROWS = 1
@@ -26,12 +27,12 @@ def publish_batches(
     """Published rows with ``batch_id`` and ``sheet_row`` (stages data).
 
     The header is row 1 of the sheet and counts towards batch 0. ``order_by``
-    should tell rows apart; a ``copy_no`` column joins it and is not published.
+    must tell rows apart but for equal ones, which ``copy_no`` tells apart; a
+    report without that column, such as a snapshot, is given it here.
     """
-    keys = list(order_by)
-    if "copy_no" in report.columns:
-        keys.append("copy_no")
-    numbered = with_ordinal(report, keys, "_position")
+    if "copy_no" not in report.columns:
+        report = number_copies(report, order_by)
+    numbered = with_ordinal(report, [*order_by, "copy_no"], "_position")
     position = F.col("_position") + HEADER_ROWS
     cells = [cell_text(f) for f in report.schema.fields if f.name != "copy_no"]
     return numbered.select(

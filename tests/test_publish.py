@@ -130,6 +130,13 @@ def test_written_batches_read_back(spark, golden, tmp_path):
     ]
 
 
+def test_report_without_numbers_is_published_alike(golden):
+    numbered = publish_batches(numbered_report(*golden), batch_rows=4)
+    plain = publish_batches(lead_report(*golden), batch_rows=4)
+    assert plain.columns == numbered.columns
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, numbered.collect()))
+
+
 def test_snapshot_is_built_once_and_typed(spark, golden, tmp_path):
     path = str(tmp_path / "snapshot")
     built = []
