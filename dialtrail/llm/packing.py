@@ -7,6 +7,7 @@ sequences: the winner of a match is the roomier side, so the first sequence with
 enough room is found by one walk from the root.
 """
 
+import itertools
 import os
 import zlib
 
@@ -23,7 +24,8 @@ END_ID = 0
 # Pieces that one group holds on average; a group is packed in one task.
 GROUP_PIECES = 4096
 # Distinct words, with their ids, that a worker remembers.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 300_000
+ENCODED_AT_ONCE = 5_000
 
 PIECE_SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -59,11 +61,15 @@ class ChunkedTokenizer:
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self, hashes, chunks: list[str]) -> None:
-        found = [
-            e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        ]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
+        sizes, flat = [], []
+        for at in range(0, len(chunks), ENCODED_AT_ONCE):
+            some = self.tokenizer.encode_batch_fast(
+                chunks[at : at + ENCODED_AT_ONCE], add_special_tokens=False
+            )
+            ids = [e.ids for e in some]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32))
+        size, flat = np.concatenate(sizes), np.concatenate(flat)
         known = np.concatenate([self.known, hashes])
         at = np.concatenate([self.at, len(self.ids) + np.cumsum(size) - size])
         order = np.argsort(known, kind="stable")

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialtrail.llm import digest, packing
+from dialtrail.llm import digest, langid, mixing, packing, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,9 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_mix_sources": _table("documents", mixing.mixed_documents),
+        "op6_language_id": _table("documents", langid.document_languages),
+        "op8_pii_surrogates": _table("documents", surrogates.documents_with_surrogates),
         "op9_pack_documents": _table("documents", packing.packed_documents),
         "op10_document_digests": _table("documents", digest.compared_with_next),
     }
