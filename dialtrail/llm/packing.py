@@ -24,9 +24,13 @@ END_ID = 0
 # Pieces that one group holds on average; a group is packed in one task.
 GROUP_PIECES = 4096
 # Distinct words, with their ids, that a worker remembers.
-MOST_REMEMBERED = 300_000
+MOST_REMEMBERED = 500_000
 ENCODED_AT_ONCE = 5_000
 
+_MARK = np.zeros(256, dtype=bool)
+# Not those of contractions and of the special token's own spelling.
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'<|>"]] = True
+
 PIECE_SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 )
@@ -42,9 +46,10 @@ def tokenizer_path() -> str:
 class ChunkedTokenizer:
     """The ids a byte-level tokenizer gives whole texts, found chunk by chunk.
 
-    Its pre-tokenizer always starts a piece at a space that a letter follows, so
-    a text may be cut there. Distinct chunks are encoded once and remembered by
-    their hash; the ids of a text are then gathered from those of its chunks.
+    Its pre-tokenizer always starts a piece at a space that a letter follows, at
+    most marks after a letter, and at a letter after a lone line
+    end, so a text may be cut there. Distinct chunks are encoded once and
+    remembered by their hash; a text's ids are gathered from those of its chunks.
     """
 
     def __init__(self, path: str):
@@ -89,6 +94,9 @@ class ChunkedTokenizer:
         accent = (data[1:] & 0xDF) != 0x97
         letter[: len(data) - 1] |= (data[:-1] == 0xC3) & accent
         begins = (data == 0x20) & letter[1 : len(data) + 1]
+        begins[1:] |= letter[: len(data) - 1] & (data[:-1] < 0x80) & _MARK[data[1:]]
+        line = (data[1:-1] == 0x0A) & (data[:-2] > 0x20) & (data[:-2] < 0x80)
+        begins[2:] |= line & letter[2 : len(data)]
         begins[part.starts[part.starts < part.ends]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
