@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialtrail.llm import digest, langid, mixing, packing, surrogates
+from dialtrail.llm import chat, digest, langid, mixing, packing, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_chat_format": _table("conversations", chat.formatted_conversations),
         "op4_mix_sources": _table("documents", mixing.mixed_documents),
         "op6_language_id": _table("documents", langid.document_languages),
         "op8_pii_surrogates": _table("documents", surrogates.documents_with_surrogates),
@@ -24,4 +25,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_format": chat.ORACLE_SQL}
