@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialtrail.llm import chat, digest, langid, mixing, packing, surrogates
+from dialtrail.llm import chat, digest, langid, mixing, packing, ppm, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_chat_format": _table("conversations", chat.formatted_conversations),
         "op4_mix_sources": _table("documents", mixing.mixed_documents),
+        "op5_ppm_scores": _table("documents", ppm.score_documents),
         "op6_language_id": _table("documents", langid.document_languages),
         "op8_pii_surrogates": _table("documents", surrogates.documents_with_surrogates),
         "op9_pack_documents": _table("documents", packing.packed_documents),
