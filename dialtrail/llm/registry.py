@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialtrail.llm import chat, digest, langid, mixing, packing, ppm, surrogates
+from dialtrail.llm import chat, digest, jaccard, langid, mixing, packing, ppm, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard_join": _table("documents", jaccard.linked_by_three_words),
         "op2_chat_format": _table("conversations", chat.formatted_conversations),
         "op4_mix_sources": _table("documents", mixing.mixed_documents),
         "op5_ppm_scores": _table("documents", ppm.score_documents),
