@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialtrail.llm import chat, digest, jaccard, langid, mixing, packing, ppm, surrogates
+from dialtrail.llm import chat, digest, jaccard, langid, mixing, multi_index, packing, ppm, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _table("documents", jaccard.linked_by_three_words),
         "op2_chat_format": _table("conversations", chat.formatted_conversations),
+        "op3_embedding_multi_index": _table("embeddings", multi_index.near_copies),
         "op4_mix_sources": _table("documents", mixing.mixed_documents),
         "op5_ppm_scores": _table("documents", ppm.score_documents),
         "op6_language_id": _table("documents", langid.document_languages),
