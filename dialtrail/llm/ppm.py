@@ -35,11 +35,11 @@ ORDER = 6
 MOST_NODES = 1 << 20
 END = 0xFF
 SYMBOLS = 256
-CACHE_BITS = 20
-GRAMS_HELD = 2_000_000  # by a task before it sums them
+CACHE_BITS = 21
+KEYS_HELD = 3_000_000  # by a task before it sums them
 # Words whose share of all training tokens is at least 1 / MOST_HEAD_WORDS are
 # looked up where the texts lie; the others meet their texts in a join.
-MOST_HEAD_WORDS = 1 << 17
+MOST_HEAD_WORDS = 1 << 21
 END_WORD = 0  # no word hashes to 0
 
 
@@ -52,10 +52,10 @@ def byte_grams(part) -> np.ndarray:
     data = np.full(len(part.data) + ORDER * (len(sizes) + 1), END, np.uint8)
     at = np.arange(len(part.data)) + ORDER * (np.repeat(rows, sizes) + 1)
     data[at] = part.data
-    wide = data.astype(np.int64)
-    grams = np.zeros(len(data) - ORDER, np.int64)
-    for k in range(ORDER + 1):
-        grams = (grams << 8) | wide[k : k + len(grams)]
+    # Eight bytes from every place on, the last ORDER + 1 of them kept.
+    padded = np.concatenate([np.zeros(7 - ORDER, np.uint8), data])
+    eight = np.ndarray(len(data) - ORDER, ">u8", padded, strides=(1,))
+    grams = (eight.astype(np.uint64) & np.uint64((1 << 8 * (ORDER + 1)) - 1)).view(np.int64)
     first = part.starts + ORDER * rows
     keep = np.zeros(len(grams) + 1, np.int64)
     np.add.at(keep, first, 1)
@@ -65,34 +65,37 @@ def byte_grams(part) -> np.ndarray:
 
 def count_grams(docs: DataFrame) -> DataFrame:
     """(gram, n) of all texts, summed as far as a task's buffer reaches."""
+    return _counted(docs, byte_grams, "gram")
 
+
+def _counted(docs: DataFrame, keys_of, name: str) -> DataFrame:
     def run(batches):
-        grams, counts, held = [], [], 0
+        keys, counts, held = [], [], 0
         for batch in batches:
             for part in slices(batch.column("text")):
-                gram, n = np.unique(byte_grams(part), return_counts=True)
-                grams.append(gram)
+                key, n = np.unique(keys_of(part), return_counts=True)
+                keys.append(key)
                 counts.append(n)
-                held += len(gram)
-                if held > GRAMS_HELD:
-                    merged, total = _summed(grams, counts)
-                    grams, counts, held = [merged], [total], len(merged)
-                    if held > GRAMS_HELD // 2:
-                        yield _gram_batch(merged, total)
-                        grams, counts, held = [], [], 0
+                held += len(key)
+                if held > KEYS_HELD:
+                    merged, total = _summed(keys, counts)
+                    keys, counts, held = [merged], [total], len(merged)
+                    if held > KEYS_HELD // 2:
+                        yield _counts_batch(merged, total, name)
+                        keys, counts, held = [], [], 0
         if held:
-            yield _gram_batch(*_summed(grams, counts))
+            yield _counts_batch(*_summed(keys, counts), name)
 
-    return docs.select("text").mapInArrow(run, "gram bigint, n bigint")
+    return docs.select("text").mapInArrow(run, f"{name} bigint, n bigint")
 
 
-def _summed(grams, counts):
-    merged, which = np.unique(np.concatenate(grams), return_inverse=True)
+def _summed(keys, counts):
+    merged, which = np.unique(np.concatenate(keys), return_inverse=True)
     return merged, np.bincount(which, np.concatenate(counts)).astype(np.int64)
 
 
-def _gram_batch(grams, counts):
-    return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
+def _counts_batch(keys, counts, name):
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=[name, "n"])
 
 
 @dataclass
@@ -252,17 +255,12 @@ def _rows(part, values: np.ndarray) -> np.ndarray:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): hashes of the lower-cased words of all texts, END_WORD once a
-    text, summed within slices only."""
+    text, summed as far as a task's buffer reaches."""
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch.column("text")):
-                words, n = np.unique(_words(part)[0], return_counts=True)
-                words = np.append(words, END_WORD)
-                n = np.append(n, len(part.starts))
-                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], names=["word", "n"])
+    def keys(part):
+        return np.append(_words(part)[0], np.full(len(part.starts), END_WORD))
 
-    return docs.select("text").mapInArrow(run, "word bigint, n bigint")
+    return _counted(docs, keys, "word")
 
 
 def _words(part) -> tuple[np.ndarray, np.ndarray]:
