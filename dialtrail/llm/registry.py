@@ -4,7 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialtrail.llm import chat, digest, jaccard, langid, mixing, multi_index, packing, ppm, surrogates
+from dialtrail.llm import (
+    chat,
+    digest,
+    jaccard,
+    langid,
+    mixing,
+    multi_index,
+    packing,
+    ppm,
+    repeats,
+    surrogates,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +32,7 @@ def queries() -> dict[str, Query]:
         "op4_mix_sources": _table("documents", mixing.mixed_documents),
         "op5_ppm_scores": _table("documents", ppm.score_documents),
         "op6_language_id": _table("documents", langid.document_languages),
+        "op7_suffix_array_dedup": _table("documents", repeats.without_repeats),
         "op8_pii_surrogates": _table("documents", surrogates.documents_with_surrogates),
         "op9_pack_documents": _table("documents", packing.packed_documents),
         "op10_document_digests": _table("documents", digest.compared_with_next),
