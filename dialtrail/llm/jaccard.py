@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from dialtrail.llm.components import components
 from dialtrail.llm.runs import pair_blocks, whole_runs
-from dialtrail.llm.texts import Hashes, mix, slices, word_bounds
+from dialtrail.llm.texts import Hashes, compressed, mix, restored, slices, word_bounds
 from dialtrail.operators.staging import staged
 
 # The counts that order n-grams: hashed into so many counters, whatever the size
@@ -32,7 +32,7 @@ COUNTERS = 1 << 20
 COUNTER_SLICES = 256
 PARTS = 8  # of the suffix filter, one byte each
 BLOCK_POSTINGS = 4096
-BLOCK_GRAMS = 400_000
+BLOCK_GRAMS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -331,7 +331,9 @@ def _verified_links(members: DataFrame, rule: Rule) -> DataFrame:
                 group = table.slice(s, e - s)
                 names, own = group.column("set").to_numpy(), group.column("_own").to_numpy()
                 owner, grams, at = [], [], 0
-                for part in slices(group.column("text").combine_chunks()):
+                texts = restored(group.column("packed").combine_chunks(), group.column("size"))
+                texts = pa.array([t.to_pybytes() for t in texts], pa.large_binary())
+                for part in slices(texts.view(pa.large_string())):
                     rows, some = gram_sets(part, rule.words)
                     owner.append(rows + part.first)
                     grams.append(some)
@@ -355,6 +357,17 @@ def _verified_links(members: DataFrame, rule: Rule) -> DataFrame:
     return members.mapInArrow(run, EDGES)
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            packed, sizes = compressed(batch.column("text").fill_null(""))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), packed, sizes], names=["doc_id", "packed", "size"]
+            )
+
+    return docs.mapInArrow(run, "doc_id bigint, packed binary, size bigint")
+
+
 def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the smallest doc_id that
     links lead to, its own included (stages data).
@@ -396,8 +409,13 @@ def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     weights = sets.groupBy("component").agg(F.sum("n").alias("_weight"))
     wanted = sets.join(weights, "component")
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select(
-        "component", "set", "text", "_weight"
+    # The texts are the large side at any size; they are shuffled, not scanned
+    # against a table that only happens to be small.
+    texts = (
+        _packed(rows)
+        .hint("merge")
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
+        .select("component", "set", "packed", "size", "_weight")
     )
     keys = ["component", "low", "high"]
     together = pair_blocks(texts, "set", F.col("_weight"), BLOCK_GRAMS, "low", "high")

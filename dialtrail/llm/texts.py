@@ -136,3 +136,17 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     out[heads] = starts
     out[heads[1:]] -= starts[:-1] + lengths[:-1] - 1
     return np.cumsum(out)
+
+
+def compressed(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Texts packed for a shuffle, one by one, and their sizes. No nulls."""
+    codec = pa.Codec("zstd", compression_level=1)
+    raw = [t.as_buffer() for t in texts.cast(pa.large_binary())]
+    packed = [codec.compress(b, asbytes=True) for b in raw]
+    return pa.array(packed, pa.binary()), pa.array([b.size for b in raw], pa.int64())
+
+
+def restored(packed: pa.Array, sizes: pa.Array) -> Iterator[pa.Buffer]:
+    codec = pa.Codec("zstd")
+    for p, n in zip(packed, sizes.to_pylist()):
+        yield codec.decompress(p.as_buffer(), n)
