@@ -26,7 +26,7 @@ TRAIN_DOCS = 600
 TRAIN_WINDOWS = 4
 # Languages beyond this many would need a larger network and sample.
 MOST_LANGUAGES = 256
-EPOCHS, BATCH, RATE, SHORTENED = 8, 128, 0.01, 0.35
+STEPS, BATCH, RATE, SHORTENED = 600, 128, 0.01, 0.35
 HASH_STEPS = 1 << 20
 
 
@@ -97,8 +97,13 @@ def _softmax(x):
 
 
 def windows_of(part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of a slice's texts, padded at a text's end; the row and the
-    number of own bytes of each. An empty text has none."""
+    """All windows of a slice's texts, in lower case as far as U+00FF and padded
+    at a text's end; the row and the number of own bytes of each. An empty text
+    has none."""
+    low = part.lowered().data
+    second = np.flatnonzero(low[:-1] == 0xC3) + 1
+    capital = (low[second] < 0x9F) & (low[second] != 0x97)
+    low[second[capital]] += 0x20
     sizes = part.ends - part.starts
     counts = -(-sizes // WINDOW)
     rows = np.repeat(np.arange(len(sizes)), counts)
@@ -106,7 +111,7 @@ def windows_of(part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.minimum(WINDOW, part.ends[rows] - starts)
     out = np.full((len(rows), WINDOW), PAD, np.uint8)
     own = np.arange(WINDOW) < lengths[:, None]
-    out[own] = part.data
+    out[own] = low
     return out, rows, lengths
 
 
@@ -126,20 +131,18 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed=7) -
     )
     parameters = model.parameters()
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
-    step = 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(windows))
-        for at in range(0, len(order), BATCH):
-            pick = order[at : at + BATCH]
-            batch = windows[pick].copy()
-            short = np.flatnonzero(rng.random(len(pick)) < SHORTENED)
-            ends = rng.integers(6, 80, len(short))
-            batch[short] = np.where(np.arange(WINDOW) < ends[:, None], batch[short], PAD)
-            step += 1
-            for p, (m, v), g in zip(parameters, moments, _gradients(model, batch, labels[pick])):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    rounds = -(-STEPS * BATCH // len(windows))
+    order = np.concatenate([rng.permutation(len(windows)) for _ in range(rounds)])
+    for step in range(1, STEPS + 1):
+        pick = order[(step - 1) * BATCH : step * BATCH]
+        batch = windows[pick].copy()
+        short = np.flatnonzero(rng.random(len(pick)) < SHORTENED)
+        ends = rng.integers(6, 80, len(short))
+        batch[short] = np.where(np.arange(WINDOW) < ends[:, None], batch[short], PAD)
+        for p, (m, v), g in zip(parameters, moments, _gradients(model, batch, labels[pick])):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return model
 
 
@@ -215,8 +218,14 @@ def train(
     return fit(windows.reshape(-1, WINDOW), labels, languages)
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of every row with lang_pred and its score in 0 to 1: the
+def predict(
+    docs: DataFrame,
+    model: Model | None,
+    keep: list[str],
+    language: str = "lang_pred",
+    score: str = "score",
+) -> DataFrame:
+    """Columns ``keep`` of every row with its language and a score in 0 to 1: the
     mean probability over all windows of the whole text, each weighed by its
     bytes. A text that is null or without a letter is UNDETERMINED with score 0,
     and so is every text if there is no model; of equal scores the first
@@ -224,16 +233,15 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """
     text = F.col("text")
     has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(*keep, F.when(has_letter, text).alias("_text"))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields if f.name in keep}
-    schema = ", ".join(f"`{k}` {v}" for k, v in kinds.items())
+    rows = docs.select(*keep, F.when(has_letter, text))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def run(batches):
         tables = model and model.pair_tables()
         for batch in batches:
             names = np.full(batch.num_rows, UNDETERMINED, object)
             scores = np.zeros(batch.num_rows)
-            texts = batch.column("_text")
+            texts = batch.column(len(keep))
             for part in slices(texts) if model else ():
                 windows, rows, lengths = windows_of(part)
                 if not len(rows):
@@ -248,11 +256,11 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 names[part.first + found] = np.array(model.languages, object)[best]
                 scores[part.first + found] = np.clip(total[found, best], 0, 1)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keep), pa.array(names, pa.string()), pa.array(scores)],
-                names=[*keep, "lang_pred", "score"],
+                [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(scores)],
+                names=[*keep, language, score],
             )
 
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(run, f"{schema}, `{language}` string, `{score}` double")
 
 
 HELD_OUT_MOD = 5

@@ -13,7 +13,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtrail.llm.texts import Hashes, ragged, slices
@@ -32,7 +32,8 @@ _MARK = np.zeros(256, dtype=bool)
 _MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'<|>"]] = True
 
 PIECE_SCHEMA = (
-    "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+    "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+    "stretch bigint"
 )
 
 
@@ -128,11 +129,18 @@ def _tokenizer(path: str) -> ChunkedTokenizer:
     return _tokenizers[path]
 
 
-def cut_pieces(docs: DataFrame, path: str | None = None, length: int = SEQUENCE) -> DataFrame:
+def cut_pieces(
+    docs: DataFrame,
+    path: str | None = None,
+    length: int = SEQUENCE,
+    stretch: Column | None = None,
+) -> DataFrame:
     """The pieces of every document: its ids, END_ID last, cut after each
     ``length``. A null text is empty and gives one piece of END_ID alone; equal
-    rows each give their pieces."""
+    rows each give their pieces. ``stretch``, a number of the document, is 0 by
+    default and kept with its pieces."""
     path = path or tokenizer_path()
+    stretch = F.lit(0).cast("bigint") if stretch is None else stretch
 
     def run(batches):
         for batch in batches:
@@ -152,13 +160,16 @@ def cut_pieces(docs: DataFrame, path: str | None = None, length: int = SEQUENCE)
                         sums.append(zlib.crc32(piece))
                         totals.append(n + 1)
                 columns = [starts, lengths, sums, totals]
+                own = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids_of.take(pa.array(rows, pa.int64()))]
-                    + [pa.array(c, pa.int64()) for c in columns],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                    [ids_of.take(own), *(pa.array(c, pa.int64()) for c in columns)]
+                    + [batch.column("stretch").take(own)],
+                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "stretch"],
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, PIECE_SCHEMA)
+    return docs.select(
+        F.col("doc_id").cast("bigint"), "text", stretch.alias("stretch")
+    ).mapInArrow(run, PIECE_SCHEMA)
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: int = SEQUENCE):
@@ -187,7 +198,7 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int = SEQUENCE):
 SEQUENCE_BITS = 24  # sequences of one group; the group is above them
 
 
-def pack(pieces: DataFrame, group: F.Column, length: int = SEQUENCE) -> DataFrame:
+def pack(pieces: DataFrame, group: Column, length: int = SEQUENCE) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of at most ``length`` ids,
     each group packed on its own. Each sequence is filled from 0 without gaps."""
     columns = pieces.columns
@@ -208,15 +219,22 @@ def pack(pieces: DataFrame, group: F.Column, length: int = SEQUENCE) -> DataFram
     )
 
 
-def random_group(pieces: DataFrame, group_pieces: int = GROUP_PIECES) -> F.Column:
+def random_group(
+    pieces: DataFrame, group_pieces: int = GROUP_PIECES, within: str | None = None
+) -> Column:
     """A group at random for each row of a stored table: so many groups that
-    each holds about ``group_pieces`` rows (counts them).
+    each holds about ``group_pieces`` rows (counts them); with ``within``, a
+    number, groups stay within its values, which should be alike in size.
 
     Drawn from the row's place in the table, so equal rows part and a task that
     runs again draws the same.
     """
-    groups = max(1, -(-pieces.count() // group_pieces))
-    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
+    place = F.xxhash64(F.monotonically_increasing_id())
+    if within is None:
+        return F.pmod(place, F.lit(max(1, -(-pieces.count() // group_pieces))))
+    rows, values = pieces.agg(F.count("*"), F.count_distinct(within)).first()
+    each = max(1, -(-rows // (group_pieces * max(1, values))))
+    return F.col(within) * each + F.pmod(place, F.lit(each))
 
 
 def packed_documents(
@@ -225,4 +243,4 @@ def packed_documents(
     """Pieces of all documents with their place in a sequence (stages the
     pieces, not the ids). Unpacked room is padding at a sequence's end."""
     pieces = staged(cut_pieces(docs, path, length), "pieces")
-    return pack(pieces, random_group(pieces), length)
+    return pack(pieces.drop("stretch"), random_group(pieces), length)

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtrail.llm import (
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op7_suffix_array_dedup": _table("documents", repeats.without_repeats),
         "op8_pii_surrogates": _table("documents", surrogates.documents_with_surrogates),
         "op9_pack_documents": _table("documents", packing.packed_documents),
+        "pipeline": corpus_pipeline.run,
         "op10_document_digests": _table("documents", digest.compared_with_next),
     }
 
