@@ -122,15 +122,15 @@ def _anchors(docs: DataFrame, parts: int) -> DataFrame:
             again[1:] = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
             goes = np.where(again, columns[3] + columns[4], anchor) % parts
             columns[0] = np.where(again, -1, anchor)
-            order = np.argsort(goes, kind="stable")
-            columns = [c[order] for c in columns]
+            order = np.lexsort((columns[4], columns[3], goes))
+            columns = [c[order].astype(k) for c, k in zip(columns, KINDS)]
             used, at = np.unique(goes[order], return_index=True)
             ends = np.append(at[1:], len(order))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used)]
                 + [
-                    pa.array([c[s:e].tobytes() for s, e in zip(at, ends)], pa.binary())
-                    for c in _narrow(columns)
+                    pa.array([_squeezed(c[s:e]) for s, e in zip(at, ends)], pa.binary())
+                    for c in columns
                 ],
                 names=["part", *FIELDS],
             )
@@ -139,16 +139,25 @@ def _anchors(docs: DataFrame, parts: int) -> DataFrame:
     return docs.mapInArrow(run, f"part bigint, {kinds}")
 
 
-def _narrow(columns):
-    return [*columns[:5], columns[5].astype(np.uint8)]
+# How the fields travel; a text is shorter than 2 ** 32 bytes.
+KINDS = ["<i8", "<i8", "<i8", "<i8", "<u4", "u1"]
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    packed = pa.Codec("zstd", compression_level=1).compress(values.tobytes(), asbytes=True)
+    return values.nbytes.to_bytes(4, "little") + packed
 
 
 def _read(table) -> list[np.ndarray]:
-    return [
-        np.concatenate([np.frombuffer(v.as_buffer(), np.uint8 if f == "strings" else np.int64)
-                        for v in table.column(f)]).astype(np.int64)
-        for f in FIELDS
-    ]
+    codec, out = pa.Codec("zstd"), []
+    for field, kind in zip(FIELDS, KINDS):
+        parts = []
+        for value in table.column(field):
+            raw = value.as_buffer()
+            size = int.from_bytes(raw[:4], "little")
+            parts.append(np.frombuffer(codec.decompress(raw[4:], size), kind))
+        out.append(np.concatenate(parts).astype(np.int64))
+    return out
 
 
 # kind 0: redundant; 1: a context to compare; 2: one of very many.
@@ -277,8 +286,9 @@ def _elsewhere(row, first):
 
 def suffix_array(contexts: list[bytes], counts: np.ndarray):
     """Of the suffixes at the first ``counts[i]`` places of each context: their
-    context and place, sorted by their bytes to the context's end, and the
-    common prefix of each with the one before (0 for the first)."""
+    context and place, sorted by their bytes to the context's end; the common
+    prefix of each with the one before (0 for the first); and the byte to the
+    left, where a context begins a number that no other suffix has."""
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     longest = int(sizes.max())
     # Bytes of UTF-8 are under 0xFF, so 0 can stand for the end.
@@ -287,50 +297,55 @@ def suffix_array(contexts: list[bytes], counts: np.ndarray):
     owner = np.repeat(np.arange(len(contexts)), counts)
     place = ragged(np.zeros_like(counts), counts)
     begins = offsets[owner] + place
-    left = sizes[owner] - place
+    remain = sizes[owner] - place
     view = np.lib.stride_tricks.sliding_window_view(data, longest)[begins].copy()
-    view[np.arange(longest) >= left[:, None]] = 0
+    view[np.arange(longest) >= remain[:, None]] = 0
     order = np.argsort(view.view(f"S{longest}").ravel(), kind="stable")
-    view, owner, place, left = view[order], owner[order], place[order], left[order]
+    view, remain = view[order], remain[order]
     differ = view[1:] != view[:-1]
     common = np.where(differ.any(axis=1), differ.argmax(axis=1), longest)
-    common = np.minimum(common, np.minimum(left[1:], left[:-1]))
-    return owner, place, np.append(0, common)
+    common = np.append(0, np.minimum(common, np.minimum(remain[1:], remain[:-1])))
+    left = np.where(place > 0, data[begins - 1].astype(np.int64), 256 + begins)
+    return owner[order], place[order], common, left[order]
 
 
-def maximal_repeats(
-    contexts: list[bytes], counts: np.ndarray, least: int = MIN_REPEAT
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, context, place) of every maximal repeat of ``least`` bytes or
-    more, with all of its occurrences. An occurrence at a context's beginning
-    counts as one with a left byte of its own."""
-    owner, place, common = suffix_array(contexts, counts)
-    left = np.array(
-        [contexts[o][p - 1] if p else -1 for o, p in zip(owner.tolist(), place.tolist())]
-    )
-    # Runs of suffixes that share enough; those with one left byte throughout
-    # hold nothing that cannot be extended to the left.
+def maximal_intervals(
+    common: np.ndarray, left: np.ndarray, least: int = MIN_REPEAT
+) -> Iterator[tuple[int, int, int]]:
+    """(length, begin, end): intervals of a suffix array whose suffixes share
+    ``length`` bytes, ``least`` or more, and nothing longer, nor one left byte."""
     inside = common >= least
     starts = np.flatnonzero(~inside)
-    ends = np.append(starts[1:], len(owner))
-    low = np.minimum.reduceat(left, starts)
-    high = np.maximum.reduceat(left, starts)
-    for s, e in zip(
-        *(x[(ends - starts > 1) & ((low != high) | (low < 0))].tolist() for x in (starts, ends))
-    ):
-        stack = []  # (common prefix, first of its interval)
+    ends = np.append(starts[1:], len(common))
+    # How often neighbours' left bytes have differed so far: an interval without
+    # a difference can be extended to the left.
+    differ = np.append(0, np.cumsum(left[1:] != left[:-1]))
+    some = (ends - starts > 1) & (differ[ends - 1] > differ[starts])
+    shared, changes = common.tolist(), differ.tolist()
+    for s, e in zip(starts[some].tolist(), ends[some].tolist()):
+        stack = []  # (common prefix, begin of its interval)
         for i in range(s + 1, e + 1):
-            now = int(common[i]) if i < e else 0
+            now = shared[i] if i < e else 0
             begin = i - 1
             while stack and stack[-1][0] > now:
                 length, begin = stack.pop()
-                some = left[begin:i]
-                if some.min() != some.max() or some.min() < 0:
-                    yield length, owner[begin:i], place[begin:i]
-            if now >= least and (not stack or stack[-1][0] < now):
+                if changes[i - 1] > changes[begin]:
+                    yield length, begin, i
+            if now and (not stack or stack[-1][0] < now):
                 stack.append((now, begin))
 
 
+def maximal_repeats(
+    contexts: list[bytes], counts: np.ndarray, least: int = MIN_REPEAT
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, context, place) of every maximal repeat of ``least`` bytes or
+    more, with all of its occurrences. An occurrence at a context's beginning
+    counts as one with a left byte of its own."""
+    owner, place, common, left = suffix_array(contexts, counts)
+    for length, begin, end in maximal_intervals(common, left, least):
+        yield length, owner[begin:end], place[begin:end]
+
+
 def _redundant(cut: DataFrame) -> DataFrame:
     """(row, first, last): beginnings of strings that begin earlier elsewhere."""
 
@@ -350,16 +365,19 @@ def _redundant(cut: DataFrame) -> DataFrame:
             doc, row, first = (some.column(c).to_numpy() for c in ("doc", "row", "first"))
             rank = np.empty(len(doc), np.int64)
             rank[_order(doc, row, first)] = np.arange(len(doc))
-            out = []
-            pieces = some.column("bytes").to_pylist()
-            for length, owner, place in maximal_repeats(pieces, counts[s:e]):
-                earliest = np.lexsort((place, rank[owner]))[0]
-                for k in range(len(owner)):
-                    if k != earliest:
-                        at = first[owner[k]] + place[k]
-                        out.append((row[owner[k]], at, at + length - MIN_REPEAT))
-            if out:
-                yield _span_batch(*np.array(out).T)
+            owner, place, common, left = suffix_array(
+                some.column("bytes").to_pylist(), counts[s:e]
+            )
+            when = rank[owner] * INNER + place
+            # The longest maximal repeat in which each suffix is not the first.
+            reach = np.zeros(len(owner), np.int64)
+            for length, begin, end in maximal_intervals(common, left):
+                earliest = begin + int(when[begin:end].argmin())
+                for part in (slice(begin, earliest), slice(earliest + 1, end)):
+                    np.maximum(reach[part], length, out=reach[part])
+            hit = reach > 0
+            at = first[owner[hit]] + place[hit]
+            yield _span_batch(*_united(row[owner[hit]], at, at + reach[hit] - MIN_REPEAT))
 
     def run(batches):
         for table, starts in whole_runs(batches, ["key"]):
@@ -373,13 +391,28 @@ def _redundant(cut: DataFrame) -> DataFrame:
             again[1:] = key[order][1:] == key[order][:-1]
             gone = np.concatenate([np.flatnonzero(plain & (strings < 0)), order[again]])
             if len(gone):
-                yield _span_batch(row[gone], first[gone], first[gone])
+                yield _span_batch(*_united(row[gone], first[gone], first[gone]))
             if not plain.all():
                 yield from of_contexts(table.filter(pa.array(~plain)).combine_chunks())
 
     return cut.mapInArrow(run, "row bigint, first bigint, last bigint")
 
 
+def _united(row, first, last):
+    """Ranges of one row that overlap or touch as one."""
+    order = np.lexsort((first, row))
+    row, first, last = row[order], first[order], last[order]
+    new = np.ones(len(row), bool)
+    # Ranges of a row lie after those of the rows before it.
+    gap = int(last.max(initial=0)) + 2
+    place = np.cumsum(np.append(0, row[1:] != row[:-1])) * gap if len(row) else row
+    reach = np.maximum.accumulate(place + last)
+    new[1:] = (place + first)[1:] > reach[:-1] + 1
+    at = np.flatnonzero(new)
+    ends = np.append(at[1:] - 1, len(row) - 1)[: len(at)]
+    return row[at], first[at], (reach - place)[ends]
+
+
 def _span_batch(row, first, last):
     return pa.RecordBatch.from_arrays(
         [pa.array(row, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
