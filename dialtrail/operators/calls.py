@@ -23,7 +23,7 @@ def stage_scores(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS stage_scores(status, score)")
 
 
-def with_score(df: DataFrame) -> DataFrame:
+def scored_calls(df: DataFrame) -> DataFrame:
     """Add the score of ``status``; statuses without one score 0."""
     scores = F.broadcast(stage_scores(df.sparkSession))  # 30 fixed rows
     joined = df.join(scores, "status", "left")
@@ -31,10 +31,6 @@ def with_score(df: DataFrame) -> DataFrame:
     return joined.select(*df.columns, score.alias("score"))
 
 
-def scored_calls(calls: DataFrame) -> DataFrame:
-    return with_score(calls)
-
-
 def stage_usage(calls: DataFrame) -> DataFrame:
     """Every stage score with the number of calls that carry its status."""
     used = calls.groupBy("status").agg(F.count("*").alias("calls"))

@@ -5,48 +5,54 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialtrail.operators.staging import staged
+
 # A phone with fewer calls is safe to gather in one task as it is.
 HOT_CALLS = 1_000_000
 SAMPLED = 1 / 1_000
-# Bounds the list kept on the driver. Later phones are colder than these, so
-# they weigh little against a table that holds this many hot ones.
-MOST_HOT_PHONES = 10_000
+
+Hot = DataFrame | Sequence[str]
 
 
 def hot_phones(
     calls: DataFrame, phone: str, hot_calls: int = HOT_CALLS, sampled: float = SAMPLED
-) -> list[str]:
-    """Phones with about ``hot_calls`` calls or more, from a sample (runs a job).
+) -> DataFrame:
+    """A table of the phones with about ``hot_calls`` calls or more, all of
+    them, from a sample; it is written once (one job, which reads the phone
+    column of the whole log).
 
-    The list only decides how work is spread. A phone that is missed or listed
+    The table only decides how work is spread. A phone that is missed or listed
     needlessly costs time and changes no result.
     """
     share = calls.select(phone) if sampled >= 1 else calls.select(phone).sample(sampled, 0)
-    hottest = (
+    return staged(
         share.filter(F.col(phone).isNotNull())
-        .groupBy(phone)
+        .groupBy(F.col(phone).alias("hot_phone"))
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= hot_calls * min(sampled, 1))
-        .orderBy(F.desc("n"), phone)
-        .limit(MOST_HOT_PHONES)
+        .select("hot_phone"),
+        "hot",
     )
-    return [row[0] for row in hottest.select(phone).collect()]
 
 
 def roll_up_by_phone(
     calls: DataFrame,
     phone: str,
     roll_up: Callable[[DataFrame], DataFrame],
-    hot: Sequence[str],
+    hot: Hot,
 ) -> DataFrame:
     """``roll_up``, a chain of groupings that all contain ``phone`` and keep it.
 
-    Ordinary phones are gathered first, so that all the groupings run where the
-    rows lie. Hot phones go through the groupings' own shuffles, which merge
-    rows before sending them. Both lanes come out hashed by phone.
+    Ordinary phones, a missing one among them, are gathered first, so that all
+    the groupings run where the rows lie. Hot phones, a table or a few names, go
+    through the groupings' own shuffles, which merge rows before sending them;
+    without any that lane is not planned. Both lanes come out hashed by phone.
     """
-    if not hot:
+    if not isinstance(hot, DataFrame):
+        names = [(name,) for name in hot]
+        hot = calls.sparkSession.createDataFrame(names, "hot_phone string")
+    if hot.isEmpty():
         return roll_up(calls.repartition(phone))
-    is_hot = F.col(phone).isin(list(hot))
-    ordinary = roll_up(calls.filter(~is_hot).repartition(phone))
-    return ordinary.unionByName(roll_up(calls.filter(is_hot)))
+    is_hot = F.col(phone) == F.col("hot_phone")
+    ordinary = roll_up(calls.join(hot, is_hot, "left_anti").repartition(phone))
+    return ordinary.unionByName(roll_up(calls.join(hot, is_hot, "left_semi")))

@@ -10,10 +10,6 @@ from dialtrail.schema import LEAD_COLUMNS
 
 PAGE_ORDER = ("phone", "lead_id")
 
-# Deepest page still taken as a top-k, where each scan task sends that many rows
-# to a single one.
-TOP_K_ROWS = 5_000
-
 
 def lead_count(leads: DataFrame) -> DataFrame:
     return leads.agg(F.count("*").alias("count"))
@@ -46,11 +42,9 @@ def with_report_date(df: DataFrame) -> DataFrame:
 def lead_page(leads: DataFrame, limit: int = LEADS_PER_PAGE, offset: int = 0) -> DataFrame:
     """``limit`` leads from position ``offset`` in phone order, nulls first.
 
-    A shallow page is a top-k. A deep one would pull ``offset`` rows into one
-    task, so it is cut by position from the distributed sort (stages data).
+    A page is cut by position from the distributed sort (stages data), however
+    deep it lies; an offset would pull all rows before it into one task.
     """
-    if limit + offset <= TOP_K_ROWS:
-        return leads.orderBy(*PAGE_ORDER).offset(offset).limit(limit)
     numbered = with_ordinal(leads, PAGE_ORDER, "position")
     wanted = F.col("position").between(offset, offset + limit - 1)
     return numbered.filter(wanted).drop("position")

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dialtrail.operators.repeat import shuffle_partitions
 from dialtrail.operators.staging import staged
 
 # monotonically_increasing_id: partition number above bit 33, row below it.
@@ -17,10 +18,11 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame
     Range partitions sort on their own and number their rows; the positions
     then need only the size of each partition. The sorted rows are staged
     once, since range bounds are sampled and both uses must see the same cut.
+    The number of ranges is named, so that Spark does not merge them by bytes.
     Rows with equal keys share a partition, so give keys that tell rows apart.
     """
     ordered = staged(
-        df.repartitionByRange(*order_by)
+        df.repartitionByRange(shuffle_partitions(df.sparkSession), *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_slot", F.monotonically_increasing_id()),
         "ordinal",

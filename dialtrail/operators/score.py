@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialtrail.functions.predicates import reachable
-from dialtrail.operators.calls import with_score
+from dialtrail.operators.calls import scored_calls
 from dialtrail.operators.leads import leads_by_phone
 
 
@@ -20,7 +20,7 @@ def lead_max_score(leads: DataFrame, calls: DataFrame) -> DataFrame:
     from one that was never called.
     """
     by_phone = (
-        with_score(
+        scored_calls(
             calls.filter(F.col("phone_number_dialed").isNotNull()).select(
                 "phone_number_dialed", "status", reachable().alias("reached")
             )

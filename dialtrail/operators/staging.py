@@ -1,38 +1,45 @@
-"""Cut lineage through a table written to the cluster's shared folder."""
+"""Cut lineage through a table written to a folder that all executors share."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Where staged tables go: the first of these settings that the session has.
+STAGING_FOLDER = "spark.dialtrail.staging.dir"
 SHARED_FOLDER = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
+
+_written: list[str] = []
 
 
 def staging_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(SHARED_FOLDER, None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {SHARED_FOLDER} to a folder all executors share")
-    return _local_folder(context.applicationId)
+    """One rule for every master: a folder of the caller's own, which they may
+    remove when done; else the cluster's shared folder; else a folder in the
+    warehouse."""
+    for name in (STAGING_FOLDER, SHARED_FOLDER):
+        folder = spark.conf.get(name, None)
+        if folder:
+            return folder
+    return spark.conf.get(WAREHOUSE).rstrip("/") + "/_staged"
 
 
-@functools.cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"dialtrail-{application_id}-")
+def fresh_path(spark: SparkSession, label: str) -> str:
+    path = f"{staging_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def staged_paths() -> list[str]:
+    """What this process has staged so far, for the caller to remove once the
+    results built on it are no longer read."""
+    return list(_written)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` now and return a scan of what was written.
 
     Parquet rather than ``checkpoint()``: later steps read only the columns
-    they need. The folder's owner removes old entries.
+    they need.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)

@@ -1,12 +1,10 @@
 """The status of each lead's most recent connected call."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialtrail.operators.calls import connected_calls
-from dialtrail.operators.lanes import hot_phones, roll_up_by_phone
+from dialtrail.operators.lanes import Hot, hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone
 from dialtrail.operators.repeat import repeat_rows
 
@@ -51,10 +49,11 @@ def _newest(dated: DataFrame) -> DataFrame:
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def last_call_status(
-    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+def counted_last_status(
+    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
-    """Status of the latest connected call, once per lead and tied call.
+    """Statuses of the latest connected calls of each phone, with ``copies``:
+    how many tied calls have the status, times the leads that share the phone.
 
     Null dates go first: ``rank`` would let a phone with only null dates
     through. Looks for hot phones first (a job) unless told them.
@@ -62,10 +61,17 @@ def last_call_status(
     if hot is None:
         hot = hot_phones(calls, "phone_number_dialed")
     latest = roll_up_by_phone(_dated_calls(calls), "phone", _newest, hot)
-    counted = latest.join(_known_phones(leads), "phone").select(
+    return latest.join(_known_phones(leads), "phone").select(
         "phone",
         F.col("call_date").alias("max_call_date"),
         F.col("status").alias("last_call_status"),
         (F.col("n_calls") * F.col("n_leads")).alias("copies"),
     )
+
+
+def last_call_status(
+    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
+) -> DataFrame:
+    """Status of the latest connected call, once per lead and tied call."""
+    counted = counted_last_status(leads, calls, hot)
     return repeat_rows(counted, "copies", ["phone", "last_call_status"]).drop("copy_no")

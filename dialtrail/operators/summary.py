@@ -1,12 +1,10 @@
 """How often each status came up, as counts and as text."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtrail.operators.calls import connected_calls
-from dialtrail.operators.lanes import hot_phones, roll_up_by_phone
+from dialtrail.operators.lanes import Hot, hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone
 
 SEPARATOR = ", "
@@ -75,7 +73,7 @@ def status_counts(leads: DataFrame, calls: DataFrame) -> DataFrame:
 
 
 def status_summary(
-    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """One row per phone with its summary text, or null. Looks for hot phones
     first (a job) unless told them."""

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialtrail.functions.fixed_values import ROWS_PER_PUBLISH_BATCH
@@ -43,10 +43,22 @@ def publish_batches(
 
 
 def write_batches(batches: DataFrame, path: str) -> None:
-    """Replace what was published at ``path``: one CSV folder per batch."""
+    """Replace what was published at ``path``: one CSV folder per batch, in it
+    one file in sheet order. Before the report's own columns stands sheet_row,
+    the row of the sheet that the line belongs to."""
     (
-        batches.write.mode("overwrite")
+        batches.repartition("batch_id")
+        .sortWithinPartitions("batch_id", "sheet_row")
+        .write.mode("overwrite")
         .partitionBy("batch_id")
         .options(header=True, escape='"')
         .csv(path)
     )
+
+
+def read_batches(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """What was published at ``path``: batch_id, sheet_row and the cells as text."""
+    schema = ", ".join(f"`{c}` string" for c in ("sheet_row", *columns)) + ", batch_id bigint"
+    back = spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
+    cells = [F.coalesce(c, F.lit("")).alias(c) for c in columns]
+    return back.select("batch_id", F.col("sheet_row").cast("bigint"), *cells)

@@ -1,7 +1,5 @@
 """The wide report: one row per phone and tied latest call, 17 columns."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +11,8 @@ from dialtrail.functions.predicates import (
     reachable,
 )
 from dialtrail.operators.activity import add_activity
-from dialtrail.operators.calls import with_score
-from dialtrail.operators.lanes import hot_phones, roll_up_by_phone
+from dialtrail.operators.calls import scored_calls
+from dialtrail.operators.lanes import Hot, hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone, with_report_date
 from dialtrail.operators.repeat import repeat_rows
 from dialtrail.operators.score import best_score
@@ -29,7 +27,7 @@ def marked_calls(calls: DataFrame) -> DataFrame:
     """The few values of a call that the report rolls up.
 
     Failed calls only tell that a phone was dialled, so they lose status and
-    date and merge into one row per phone.
+    date. They merge into one row per phone once they lie together.
     """
     reached = reachable()
     return calls.filter(F.col("phone_number_dialed").isNotNull()).select(
@@ -69,7 +67,7 @@ def calls_by_status(by_day: DataFrame) -> DataFrame:
         F.max(connected_date).alias("last_connected"),
         F.max_by("n_connected", connected_date).alias("n_last_connected"),
     )
-    return with_score(rolled)
+    return scored_calls(rolled)
 
 
 def calls_by_phone(by_status: DataFrame) -> DataFrame:
@@ -96,19 +94,20 @@ def call_rollup(marked: DataFrame) -> DataFrame:
 
 
 def lead_report(
-    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """The report; looks for hot phones first (a job) unless told them."""
     return numbered_report(leads, calls, hot).select(*REPORT_COLUMNS)
 
 
 def numbered_report(
-    leads: DataFrame, calls: DataFrame, hot: Sequence[str] | None = None
+    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
 ) -> DataFrame:
     """The report with ``copy_no``, which tells equal rows apart.
 
-    Calls are read once and shuffled once, by phone, and meet the leads where
-    they lie. Hot phones, if any, take a lane of their own.
+    Calls are shuffled once, by phone, and meet the leads where they lie. The
+    look for hot phones reads the phone column before that; hot phones, if any,
+    take a lane of their own, which scans the calls again.
     """
     if hot is None:
         hot = hot_phones(calls, "phone_number_dialed")
@@ -141,18 +140,17 @@ def numbered_report(
 
 
 def merge_reports(
-    activity: DataFrame, last_status: DataFrame, scores: DataFrame, summary: DataFrame
+    activity: DataFrame, counted_status: DataFrame, scores: DataFrame, summary: DataFrame
 ) -> DataFrame:
     """The report from its four finished parts, left-merged on phone.
 
     Unlike the joins inside the parts, the merge matches a null phone to a null
-    phone. Tied statuses are merged as counts, so a phone with many ties meets
-    its lead as one row per status.
+    phone. Tied statuses come as counts (``counted_last_status``), so a phone
+    with many ties meets its lead as one row per status.
     """
-    tied = last_status.groupBy(*last_status.columns).agg(F.count("*").alias("copies"))
     merged = with_report_date(activity)
     for part in (
-        tied,
+        counted_status,
         scores.withColumnRenamed("phone_number_dialed", "phone"),
         summary.withColumnRenamed("phone_number_dialed", "phone"),
     ):

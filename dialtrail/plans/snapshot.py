@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,10 +10,18 @@ from pyspark.sql import types as T
 from dialtrail.schema import LEAD_REPORT
 
 
+def _marker(path: str) -> str:
+    """A one-row table beside the snapshot, written once that is complete; what
+    a committer leaves in the folder itself differs from one to the next."""
+    return path.rstrip("/") + "-finished"
+
+
 def has_snapshot(spark: SparkSession, path: str) -> bool:
     """A finished write is there; one that broke off does not count."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    try:
+        return not spark.read.parquet(_marker(path)).isEmpty()
+    except AnalysisException:
+        return False
 
 
 def load_or_compute(
@@ -28,6 +37,7 @@ def load_or_compute(
     """
     if not has_snapshot(spark, path):
         build().write.mode("overwrite").parquet(path)
+        spark.range(1).write.mode("overwrite").parquet(_marker(path))
     return spark.read.schema(schema).parquet(path)
 
 
@@ -48,7 +58,9 @@ def export_csv(report: DataFrame, path: str) -> None:
 def read_csv_report(
     spark: SparkSession, path: str, schema: T.StructType = LEAD_REPORT
 ) -> DataFrame:
-    """A CSV export with its types back. Empty strings come back as null."""
+    """A CSV export with its types back. Empty strings come back as null. A file
+    may hold line ends inside quotes, so each is one task's work; where a report
+    is read again and again, keep it as a Parquet snapshot."""
     return (
         spark.read.schema(schema)
         .options(**CSV, multiLine=True)

@@ -8,7 +8,9 @@ from dialtrail.operators import activity, calls, leads, score, status, summary
 from dialtrail.operators.lanes import hot_phones
 from dialtrail.operators.staging import fresh_path
 from dialtrail.plans import publish, report, snapshot
+from dialtrail.schema import REPORT_COLUMNS
 from dialtrail.sources import sample_tables as samples
+from dialtrail.sources.tables import load_leads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,10 +19,15 @@ MAPPINGS = {
     "": (samples.sample_leads, samples.sample_calls),
     "_events": (samples.sample_leads, samples.sample_calls_by_day),
     "_shared": (samples.shared_leads, samples.shared_calls),
+    "_dated": (samples.dated_leads, samples.sample_calls),
+    "_prices": (samples.order_prices, samples.sample_calls),
 }
 
 PAGE = {"limit": 500, "offset": 400}
+DEEP_PAGE = {"limit": 300, "offset": 1100}
 SMALL_BATCH = 500
+# Low enough for the phone with a third of the shared calls to take its own lane.
+SAMPLE_HOT_CALLS = 1_000
 
 
 def _activity_part(*columns):
@@ -31,7 +38,7 @@ def _merged(lb, ch):
     hot = hot_phones(ch, "phone_number_dialed")
     return report.merge_reports(
         activity.lead_activity(lb, ch),
-        status.last_call_status(lb, ch, hot),
+        status.counted_last_status(lb, ch, hot),
         score.lead_max_score(lb, ch),
         summary.status_summary(lb, ch, hot),
     )
@@ -44,6 +51,41 @@ def _snapshot(lb, ch):
     )
 
 
+def _snapshot_reused(lb, ch):
+    spark = lb.sparkSession
+    path = fresh_path(spark, "snapshot")
+
+    def not_again():
+        raise RuntimeError("a snapshot that is there was built again")
+
+    snapshot.load_or_compute(spark, path, lambda: report.lead_report(lb, ch))
+    return snapshot.load_or_compute(spark, path, not_again)
+
+
+def _written(lb, ch):
+    spark = lb.sparkSession
+    path = fresh_path(spark, "sheet")
+    publish.write_batches(_small_batches(lb, ch), path)
+    return publish.read_batches(spark, path, REPORT_COLUMNS)
+
+
+def _from_csv(lb, ch):
+    spark = lb.sparkSession
+    path = fresh_path(spark, "leads")
+    lb.select(*reversed(lb.columns)).write.options(header=True, escape='"').csv(path)
+    return load_leads(spark, path, "csv")
+
+
+def _hot(operator):
+    """The operator with the hottest sample phones in their own lane."""
+
+    def run(lb, ch):
+        hot = hot_phones(ch, "phone_number_dialed", SAMPLE_HOT_CALLS, sampled=1)
+        return operator(lb, ch, hot)
+
+    return run
+
+
 def _batches(lb, ch):
     return publish.publish_batches(report.numbered_report(lb, ch))
 
@@ -56,8 +98,10 @@ def _small_batches(lb, ch):
 OPERATORS = {
     "lead_bank": (lambda lb, ch: lb, ["", "_shared"]),
     "call_history": (lambda lb, ch: ch, ["", "_events", "_shared"]),
+    "lead_bank_from_csv": (_from_csv, [""]),
     "lead_count": (lambda lb, ch: leads.lead_count(lb), [""]),
     "lead_page": (lambda lb, ch: leads.lead_page(lb, **PAGE), ["", "_shared"]),
+    "lead_page_deep": (lambda lb, ch: leads.lead_page(lb, **DEEP_PAGE), [""]),
     "paged_union": (lambda lb, ch: leads.paged_leads(lb, SMALL_BATCH), ["", "_shared"]),
     "reachable_calls": (lambda lb, ch: calls.reachable_calls(ch), [""]),
     "connected_calls": (lambda lb, ch: calls.connected_calls(ch), [""]),
@@ -79,7 +123,7 @@ OPERATORS = {
     "status_summary": (summary.status_summary, ["", "_events", "_shared"]),
     "uploaded_date_fmt": (
         lambda lb, ch: leads.with_report_date(lb.select("lead_id", "uploaded_date")),
-        [""],
+        ["", "_dated"],
     ),
     "lead_report": (report.lead_report, ["", "_events", "_shared"]),
     "lead_report_merged": (_merged, ["", "_events", "_shared"]),
@@ -90,6 +134,12 @@ OPERATORS = {
     "publish_batches": (_batches, ["", "_events"]),
     "publish_small_batches": (_small_batches, ["", "_events", "_shared"]),
     "report_snapshot": (_snapshot, ["", "_shared"]),
+    "report_snapshot_reused": (_snapshot_reused, [""]),
+    "publish_written": (_written, ["", "_shared"]),
+    "cells_published": (lambda lb, ch: publish.published(lb), ["_prices"]),
+    "last_call_status_hot": (_hot(status.last_call_status), ["_shared"]),
+    "status_summary_hot": (_hot(summary.status_summary), ["_shared"]),
+    "lead_report_hot": (_hot(report.lead_report), ["_shared"]),
 }
 
 

@@ -1,7 +1,8 @@
 """ANSI SQL for DuckDB: the plain join-then-aggregate reading of each query."""
 
-from dialtrail.functions import fixed_values as V
-from dialtrail.registry.named import OPERATORS, PAGE, SMALL_BATCH
+import re
+
+from dialtrail.registry.named import OPERATORS
 from dialtrail.schema import REPORT_COLUMNS
 
 
@@ -36,7 +37,8 @@ STATUS = """case o_orderkey % 16
            when 12 then 'AWC' when 13 then '' when 14 then 'ZZUNK' end"""
 
 ORDERS_CALLS = f"""
-  select {_phone("o_custkey")} as phone_number_dialed,
+  select {_phone("(o_custkey + case when o_custkey % 10 = 3 then 1 else 0 end)")}
+           as phone_number_dialed,
          o_orderdate as call_date,
          {CAMPAIGN} as campaign_id,
          {STATUS} as status,
@@ -45,8 +47,7 @@ ORDERS_CALLS = f"""
               when o_orderkey % 7 = 0 then 'CHANUNAVAIL'
               when o_orderkey % 13 = 0 then 'PROVIDER_FAILURE'
               else 'ANSWER' end as dialstatus
-  from orders
-  where o_custkey % 10 <> 3"""
+  from orders"""
 
 EVENTS_CALLS = f"""
   select {_phone("user_id")} as phone_number_dialed,
@@ -79,15 +80,42 @@ SHARED_PHONE = f"""case when c_custkey % 50 = 9 then null
               when c_custkey % 10 = 5 then {_phone("c_custkey - 1")}
               else {_phone("c_custkey")} end"""
 
+DATED_LEADS = f"""
+  select lead_id, phone, name, source, city,
+         case when uploaded_date not like '2%' then uploaded_date
+              else case cast(substr(lead_id, 2) as int) % 8
+                when 1 then strftime(d, '%Y/%m/%d') when 2 then strftime(d, '%m/%d/%Y')
+                when 3 then strftime(d, '%d/%m/%Y') when 4 then strftime(d, '%Y%m%d')
+                when 5 then strftime(d, '%d %b %Y') when 6 then strftime(d, '%B %d, %Y')
+                when 7 then strftime(d, '%Y-%m-%d 10:00 AM') else uploaded_date end
+         end as uploaded_date
+  from (select *, try_cast(uploaded_date as timestamp) as d
+        from ({_leads(_phone("c_custkey"))}))"""
+
+PRICES = """
+  select o_orderkey,
+         case o_orderkey % 7 when 0 then 'Infinity'::double when 1 then '-Infinity'::double
+              when 2 then 'NaN'::double when 3 then null else o_orderkey % 1000 / 4 end as price
+  from orders"""
+
 TABLES = {
     "": (_leads(_phone("c_custkey")), ORDERS_CALLS),
     "_events": (_leads(_phone("c_custkey")), EVENTS_CALLS),
     "_shared": (_leads(SHARED_PHONE), SHARED_CALLS),
+    "_dated": (DATED_LEADS, ORDERS_CALLS),
+    "_prices": (PRICES, ORDERS_CALLS),
 }
 
-FAILED = ", ".join(f"'{value}'" for value in V.FAILED_DIAL_STATUSES)
-DROPS = ", ".join(f"'{value}'" for value in V.DROP_STATUSES)
-SCORES = ", ".join(f"('{status}', {score})" for status, score in V.STAGE_SCORES.items())
+# Fixed values, written out here so that a wrong one in the engine shows.
+FAILED = """'ATTEMPT_FAILED', 'PROVIDER_FAILURE', 'FAILED', 'PROVIDER_TEMP_FAILURE',
+  'CHANUNAVAIL', 'NUMBER_FAILURE'"""
+DROPS = "'DROP', 'PDROP', 'AFTHRS', 'TIMEOT'"
+SCORES = """('NSO', 30), ('DAP', 30), ('WRGN', 30), ('BT', 30), ('DVNAUD', 30), ('NAR', 30),
+  ('DROP', 30), ('ADCT', 30), ('PDROP', 30), ('NA', 30), ('', 30), ('FOLLOW', 60),
+  ('INTVDC', 80), ('WTHINK', 70), ('ISULOC', 50), ('ISUDOC', 50), ('ISUSD', 50),
+  ('ISUID', 50), ('WWCOMP', 40), ('ISUOS', 40), ('OISPTW', 40), ('OWNVAN', 40),
+  ('ABULRB', 40), ('NORESN', 40), ('HND', 40), ('AWC', 10), ('DPSD', 100), ('OPSCC', 10),
+  ('LANGB', 10), ('NEWLEAD', 20)"""
 
 # Common table expressions, in an order in which each reads only earlier ones.
 PARTS = {
@@ -163,6 +191,10 @@ PARTS = {
   from report""",
 }
 
+READ_DATE = """coalesce(try_cast(uploaded_date as timestamp),
+  try_strptime(uploaded_date, ['%Y/%m/%d', '%m/%d/%Y', '%d/%m/%Y', '%Y%m%d', '%d %b %Y',
+                               '%B %d, %Y', '%Y-%m-%d %I:%M %p']))"""
+
 LEAD_ORDER = "order by phone nulls first, lead_id"
 
 
@@ -177,8 +209,10 @@ RESULTS = {
     "call_history": "select * from call_history",
     "lead_count": 'select count(*) as "count" from lead_bank',
     "lead_page": f"""select * from lead_bank {LEAD_ORDER}
-limit {PAGE["limit"]} offset {PAGE["offset"]}""",
-    "paged_union": f"""select *, (row_number() over ({LEAD_ORDER}) - 1) // {SMALL_BATCH}
+limit 500 offset 400""",
+    "lead_page_deep": f"select * from lead_bank {LEAD_ORDER} limit 300 offset 1100",
+    "lead_bank_from_csv": "select * from lead_bank",
+    "paged_union": f"""select *, (row_number() over ({LEAD_ORDER}) - 1) // 500
        as page_id from lead_bank""",
     "reachable_calls": "select * from reachable",
     "connected_calls": "select * from connected",
@@ -197,22 +231,35 @@ from call_history c left join stage s on s.status = c.status""",
     "lead_max_score": "select * from best",
     "status_counts": "select * from counts",
     "status_summary": "select * from summary",
-    "uploaded_date_fmt": """select lead_id,
-       strftime(try_cast(uploaded_date as timestamp), '%d/%m/%Y') as uploaded_date
+    "uploaded_date_fmt": f"""select lead_id,
+       strftime({READ_DATE}, '%d/%m/%Y') as uploaded_date
 from lead_bank""",
     "lead_report": "select * from report",
     "lead_report_merged": "select * from report",
     "lead_report_published": "select * exclude (position) from published",
-    "publish_batches": _batches(V.ROWS_PER_PUBLISH_BATCH),
-    "publish_small_batches": _batches(SMALL_BATCH),
+    "publish_batches": _batches(100_000),
+    "publish_small_batches": _batches(500),
+    "publish_written": _batches(500),
     "report_snapshot": "select * from report",
+    "report_snapshot_reused": "select * from report",
+    "last_call_status_hot": "select * from last_status",
+    "status_summary_hot": "select * from summary",
+    "lead_report_hot": "select * from report",
+    "cells_published": """select cast(o_orderkey as varchar) as o_orderkey,
+       case when isfinite(price) then cast(price as varchar) else '' end as price
+from lead_bank""",
 }
 
 
 def _sql(name, suffix):
     lead_bank, call_history = TABLES[suffix]
     parts = {"lead_bank": lead_bank, "call_history": call_history, **PARTS}
-    with_list = ",\n".join(f"{part} as ({text})" for part, text in parts.items())
+    needed, todo = set(), [RESULTS[name]]
+    while todo:
+        found = set(re.findall(r"\w+", todo.pop())) & parts.keys() - needed
+        needed |= found
+        todo += [parts[part] for part in found]
+    with_list = ",\n".join(f"{part} as ({parts[part]})" for part in parts if part in needed)
     return f"with {with_list}\n{RESULTS[name]}"
 
 

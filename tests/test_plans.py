@@ -4,18 +4,18 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from dialtrail.operators.calls import reachable_calls
 from dialtrail.operators.score import lead_max_score
 from dialtrail.operators.status import last_call_status
 from dialtrail.operators.summary import status_summary
 from dialtrail.plans.report import lead_report
+from dialtrail.registry import queries
 from dialtrail.sources.tables import load_calls, load_leads
 from tests.tables import GOLDEN_CALLS, GOLDEN_LEADS, calls_of, leads_of
 
 SF_DIR = "/root/testdata/sf0.001"
 # These stage data when built, so their plan is only the last step.
-STAGED = ("paged_union", "publish_", "report_snapshot")
+STAGED = ("paged_union", "lead_page", "publish_", "report_snapshot", "lead_bank_from_csv")
 
 
 def plan(df):

@@ -39,16 +39,7 @@ def test_ordinal_equals_global_row_number(spark):
     assert numbered.exceptAll(expected).count() == 0
 
 
-@pytest.fixture
-def every_partition_kept(spark):
-    name = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    yield
-    spark.conf.set(name, before)
-
-
-def test_repeated_rows_are_whole_and_spread(spark, every_partition_kept):
+def test_repeated_rows_are_whole_and_spread(spark):
     many = 3 * COPIES_PER_RUN + 1
     df = spark.createDataFrame([("a", many), ("b", 1), (None, 2)], "k string, n bigint")
     repeated = repeat_rows(df, "n", ["k"])
@@ -68,6 +59,21 @@ def test_repeated_rows_are_whole_and_spread(spark, every_partition_kept):
     assert spread.count() > 1
 
 
+def test_many_copies_are_spread_evenly(spark):
+    """As Spark comes, adaptive plans included."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        copies = 20_000_000
+        df = spark.createDataFrame([("a", copies)], "k string, n bigint")
+        sizes = repeat_rows(df, "n", ["k"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r["count"] for r in sizes) == copies
+    assert len(sizes) > 55
+    assert max(r["count"] for r in sizes) < 3 * copies / 64
+
+
 def test_second_batch(spark):
     report = spark.range(250_000).select(
         F.lpad(F.col("id").cast("string"), 7, "0").alias("phone"),
@@ -94,16 +100,15 @@ def test_second_batch(spark):
     assert misplaced.count() == 0
 
 
-def test_deep_page_equals_top_k(spark, monkeypatch):
+def test_page_equals_top_k(spark):
     leads = spark.range(1_000).select(
         F.col("id").cast("string").alias("lead_id"),
         ((F.col("id") * 37) % 300).cast("string").alias("phone"),
     )
-    shallow = lead_ops.lead_page(leads, 50, 200).collect()
-    monkeypatch.setattr(lead_ops, "TOP_K_ROWS", 0)
-    deep = lead_ops.lead_page(leads, 50, 200).collect()
-    assert len(shallow) == 50
-    assert sorted(map(tuple, deep)) == sorted(map(tuple, shallow))
+    page = lead_ops.lead_page(leads, 50, 200).collect()
+    top_k = leads.orderBy("phone", "lead_id").offset(200).limit(50).collect()
+    assert len(page) == 50
+    assert sorted(map(tuple, page)) == sorted(map(tuple, top_k))
 
 
 def test_published_text(spark):

@@ -5,11 +5,12 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from dialtrail.operators.activity import lead_activity
-from dialtrail.operators.lanes import hot_phones
+from dialtrail.operators.lanes import hot_phones, roll_up_by_phone
 from dialtrail.operators.score import lead_max_score
-from dialtrail.operators.status import last_call_status
+from dialtrail.operators.status import counted_last_status
 from dialtrail.operators.summary import status_summary
 from dialtrail.plans.report import lead_report, merge_reports, numbered_report
 from tests.tables import (
@@ -28,7 +29,7 @@ PHONES = ["p1", "p2", "p4", "p7"]
 def merged(leads, calls, hot):
     return merge_reports(
         lead_activity(leads, calls),
-        last_call_status(leads, calls, hot),
+        counted_last_status(leads, calls, hot),
         lead_max_score(leads, calls),
         status_summary(leads, calls, hot),
     )
@@ -83,7 +84,14 @@ def test_empty_tables(spark, golden):
 def test_hot_phones_are_found(golden):
     _, calls = golden
     found = hot_phones(calls, "phone_number_dialed", hot_calls=2, sampled=1)
-    assert found == ["p1", "p4", "p7"]
+    assert sorted(row.hot_phone for row in found.collect()) == ["p1", "p4", "p7"]
+
+
+def test_a_missing_phone_stays_ordinary(spark):
+    calls = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "phone string")
+    for hot in ([], ["a"], ["a", "b"], calls.select(F.col("phone").alias("hot_phone")).limit(1)):
+        rolled = roll_up_by_phone(calls, "phone", lambda c: c.groupBy("phone").count(), hot)
+        assert {r.phone: r["count"] for r in rolled.collect()} == {"a": 2, "b": 1, None: 1}
 
 
 phone = st.sampled_from(["p1", "p2", "p3", None])
