@@ -17,6 +17,8 @@ and over the sums of blocks, so a long conversation is not one task's work.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dialtrail.operators.staging import staged
+
 BUDGET = 512
 HISTORY = 96
 MOST_SYSTEM = 160  # tokens of a system turn that is repeated; a longer one is not
@@ -84,7 +86,7 @@ def format_windows(
     most_system: int = MOST_SYSTEM,
     token_count=token_count,
 ) -> DataFrame:
-    """One row per window: conv_id, window (in order), formatted, loss_spans
+    """One row per window (stages data): conv_id, window (in order), formatted, loss_spans
     (start and length in code points), repeated (turns at its head that an
     earlier window had as new) and tokens.
 
@@ -105,7 +107,8 @@ def format_windows(
         F.monotonically_increasing_id().alias("_copy"),
         (token_count(text) + TURN_TOKENS).cast("bigint").alias("_tokens"),
     )
-    placed = _prefix_sums(turns)
+    # Three uses follow; the texts are numbered once.
+    placed = staged(_prefix_sums(turns), "turns")
     system = (
         placed.filter((F.col("_number") == 0) & (F.col("_role") == SYSTEM))
         .filter(F.col("_tokens") <= most_system)
