@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from dialtrail.operators.calls import reachable_calls
 from dialtrail.operators.score import lead_max_score
@@ -46,6 +47,32 @@ def test_no_product_and_no_python(spark, name):
         assert banned not in text or (banned, name) == ("SinglePartition", "lead_count")
 
 
+@pytest.mark.parametrize("name", [n for n in queries() if n.startswith(STAGED)])
+def test_no_product_and_no_single_task_before_staging(spark, monkeypatch, name):
+    """What is written on the way, seen before it is. Only the starts of the
+    range partitions, one row each, are added up in one task."""
+    seen = []
+
+    def spying(writer, kind):
+        write = getattr(writer, kind)
+
+        def spy(self, *args, **options):
+            seen.append(plan(self._df))
+            return write(self, *args, **options)
+
+        monkeypatch.setattr(writer, kind, spy)
+
+    for kind in ("parquet", "csv"):
+        spying(DataFrameWriter, kind)
+    seen.append(plan(queries()[name](spark, SF_DIR)))
+    assert len(seen) > 1
+    for text in seen:
+        for banned in ("CartesianProduct", "NestedLoop", "Python"):
+            assert banned not in text
+        for below in text.split("SinglePartition")[1:]:
+            assert "_size" in below.split("Exchange")[0]
+
+
 def shuffles(text):
     return re.findall(r"(?<!Broadcast)Exchange hashpartitioning\(([^)]*)", text)
 
