@@ -445,3 +445,34 @@ def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def linked_by_three_words(docs: DataFrame) -> DataFrame:
     return linked_documents(docs, Rule(words=3, share=90, share_of=100))
+
+
+# The links of all pairs that share an n-gram, and what they lead to, for DuckDB.
+ORACLE_SQL = r"""
+with docs as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select r, doc_id,
+    case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+         else list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]
+                             for i in range(1, len(w) - 1)]) end as s
+  from docs),
+grams as (select r, unnest(s) as g from sets),
+pairs as (
+  select a.r as x, b.r as y, count(*) as shared
+  from grams a join grams b on a.g = b.g and a.r <> b.r group by all),
+links as (
+  select x, y from pairs join sets a on a.r = x join sets b on b.r = y
+  where 100 * shared >= 90 * (len(a.s) + len(b.s) - shared)),
+closed as materialized (
+  with recursive reach(x, y) as (
+    select r, r from sets
+    union
+    select reach.x, links.y from reach join links on links.x = reach.y)
+  select x, min(doc_id) as component_id from reach join sets on r = y group by x)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id
+from sets join closed on x = r"""

@@ -42,4 +42,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat.ORACLE_SQL}
+    return {
+        "op1_ngram_jaccard_join": jaccard.ORACLE_SQL,
+        "op2_chat_format": chat.ORACLE_SQL,
+        "op7_suffix_array_dedup": repeats.ORACLE_SQL,
+    }

@@ -511,3 +511,36 @@ def _merged(spans: list[dict]) -> tuple[list[int], list[int]]:
     new = np.append(True, pairs[1:, 0] > reach[:-1])
     at = np.flatnonzero(new)
     return pairs[at, 0].tolist(), reach[np.append(at[1:] - 1, len(pairs) - 1)].tolist()
+
+
+# Every string of 100 bytes at every place, for DuckDB.
+ORACLE_SQL = r"""
+with docs as (
+  select row_number() over (order by doc_id nulls last) as r, doc_id,
+    hex(encode(coalesce(text, ''))) as h
+  from documents),
+bytes as (
+  select r, unnest(range(0, length(h) // 2)) as p, h from docs),
+strings as (
+  select r, p, substr(h, 2 * p + 1, 2) as b,
+    case when 2 * p + 200 <= length(h) then substr(h, 2 * p + 1, 200) end as s
+  from bytes),
+marked as (
+  select r, p, b,
+    s is not null and row_number() over (partition by s order by r, p) > 1 as again
+  from strings),
+covered as (
+  select r, p, b, bool_or(again) over (partition by r order by p
+    rows between 99 preceding and current row) as gone
+  from marked),
+runs as (
+  select *, gone and not coalesce(lag(gone) over (partition by r order by p), false) as begins
+  from covered),
+sums as (
+  select r, count(*) filter (where gone) as n_removed, count(*) filter (where begins) as n_spans,
+    string_agg(b, '' order by p) filter (where not gone) as kept
+  from runs group by r)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes,
+  coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept, ''))) as kept_sha256
+from docs left join sums using (r)"""
