@@ -62,7 +62,8 @@ _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яёα-ω][^\W\d_]+"
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})"
+    r"(?![\w-])",
     "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}"
     r"(?![\w-])|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",

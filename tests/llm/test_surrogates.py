@@ -60,6 +60,15 @@ def test_form_stays_and_text_around(kind, entity):
         assert form(surrogate) == form(entity)
 
 
+@pytest.mark.parametrize("before", ["12345 ", "9807915762804491 ", "12 ", "2024-01-01 "])
+@pytest.mark.parametrize("after", ["", " 77", " 4845168114407329", ".", "!!", "***"])
+def test_numbers_beside_a_card(before, after):
+    card = "4845168114407329"
+    new, found = rewritten(f"{before}{card}{after}", S)
+    assert {f["entity"] for f in found} == {card}
+    assert card not in new and new.startswith(before)
+
+
 def test_valid_for_their_type():
     assert luhn(S.card("4845168114407329")) == 0 and S.card("4845168114407329")[0] == "4"
     assert ipaddress.ip_address(S.ip("10.1.2.3")) in ipaddress.ip_network("10.0.0.0/8")
