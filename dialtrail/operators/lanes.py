@@ -16,23 +16,23 @@ Hot = DataFrame | Sequence[str]
 
 def hot_phones(
     calls: DataFrame, phone: str, hot_calls: int = HOT_CALLS, sampled: float = SAMPLED
-) -> DataFrame:
+) -> Hot:
     """A table of the phones with about ``hot_calls`` calls or more, all of
-    them, from a sample; it is written once (one job, which reads the phone
-    column of the whole log).
+    them, from a sample (a job, which reads the phone column of the whole log);
+    an empty list if there are none. The table is written, to be read twice.
 
     The table only decides how work is spread. A phone that is missed or listed
     needlessly costs time and changes no result.
     """
     share = calls.select(phone) if sampled >= 1 else calls.select(phone).sample(sampled, 0)
-    return staged(
+    found = (
         share.filter(F.col(phone).isNotNull())
         .groupBy(F.col(phone).alias("hot_phone"))
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= hot_calls * min(sampled, 1))
-        .select("hot_phone"),
-        "hot",
+        .select("hot_phone")
     )
+    return [] if found.isEmpty() else staged(found, "hot")
 
 
 def roll_up_by_phone(
@@ -49,10 +49,10 @@ def roll_up_by_phone(
     without any that lane is not planned. Both lanes come out hashed by phone.
     """
     if not isinstance(hot, DataFrame):
+        if not hot:
+            return roll_up(calls.repartition(phone))
         names = [(name,) for name in hot]
         hot = calls.sparkSession.createDataFrame(names, "hot_phone string")
-    if hot.isEmpty():
-        return roll_up(calls.repartition(phone))
     is_hot = F.col(phone) == F.col("hot_phone")
     ordinary = roll_up(calls.join(hot, is_hot, "left_anti").repartition(phone))
     return ordinary.unionByName(roll_up(calls.join(hot, is_hot, "left_semi")))
