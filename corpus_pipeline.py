@@ -13,7 +13,7 @@ from dialtrail.llm.langid import HELD_OUT_MOD, UNDETERMINED, predict, remainder,
 from dialtrail.llm.mixing import mix
 from dialtrail.llm.packing import cut_pieces, pack, random_group
 from dialtrail.llm.surrogates import replace_entities
-from dialtrail.llm.texts import pack_texts, unpack_texts
+from dialtrail.llm.texts import fresh_name, pack_texts, unpack_texts
 from dialtrail.operators.staging import staged
 
 
@@ -21,9 +21,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Documents that a language was found for; it fills in a missing label.
     Texts without a letter, null ones included, go."""
     model = train(docs, remainder("doc_id", HELD_OUT_MOD) != 0)
-    found = predict(docs, model, docs.columns, "lang_pred_", "score_")
-    known = F.col("lang_pred_") != UNDETERMINED
-    filled = F.coalesce("lang", "lang_pred_").alias("lang")
+    predicted, score = (fresh_name(docs.columns, c) for c in ("lang_pred", "score"))
+    found = predict(docs, model, docs.columns, predicted, score)
+    known = F.col(predicted) != UNDETERMINED
+    filled = F.coalesce("lang", predicted).alias("lang")
     return found.filter(known).select(*[filled if c == "lang" else c for c in docs.columns])
 
 
@@ -31,11 +32,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The first document by id of each group linked by word 5-grams with a
     Jaccard index of 0.8 or more; equal ids go by their place in the table, and
     missing ones come last."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    row = fresh_name(docs.columns, "_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     linked = linked_documents(
-        numbered.select(F.col("_row").alias("doc_id"), "text"), Rule(words=5, share=80)
+        numbered.select(F.col(row).alias("doc_id"), "text"), Rule(words=5, share=80)
     ).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    ids = numbered.select("_row", F.col("doc_id").alias("_id"))
+    ids = numbered.select(F.col(row).alias("_row"), F.col("doc_id").alias("_id"))
     owned = linked.join(ids, "_row")
     least = owned.groupBy("_group").agg(F.min("_id").alias("_least"))
     # Of the rows with a group's least id the first; a group without ids is all of them.
@@ -43,10 +45,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         owned.join(least, "_group")
         .filter(F.col("_id").eqNullSafe(F.col("_least")))
         .groupBy("_group")
-        .agg(F.min("_row").alias("_row"))
-        .select("_row")
+        .agg(F.min("_row").alias(row))
+        .select(row)
     )
-    kept = pack_texts(numbered).hint("merge").join(rows, "_row", "left_semi").drop("_row")
+    kept = pack_texts(numbered).hint("merge").join(rows, row, "left_semi").drop(row)
     return unpack_texts(kept)
 
 

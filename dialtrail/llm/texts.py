@@ -153,8 +153,17 @@ def restored(packed: pa.Array, sizes: pa.Array) -> Iterator[pa.Buffer]:
         yield codec.decompress(p.as_buffer(), n)
 
 
+def fresh_name(columns: list[str], base: str) -> str:
+    """A column name that a table does not have yet."""
+    while base in columns:
+        base += "_"
+    return base
+
+
 def pack_texts(df: DataFrame) -> DataFrame:
-    """``df`` with its text column compressed, to cost less in a shuffle."""
+    """``df`` with its text column compressed, to cost less in a shuffle, and the
+    texts' sizes as a last column."""
+    size_name = fresh_name(df.columns, "text_size")
 
     def run(batches):
         for batch in batches:
@@ -163,13 +172,13 @@ def pack_texts(df: DataFrame) -> DataFrame:
             packed, sizes = compressed(texts.fill_null(""))
             size = pa.array(sizes.to_numpy(), mask=texts.is_null().to_numpy(zero_copy_only=False))
             columns = [*batch.columns[:place], packed, *batch.columns[place + 1 :], size]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "text_size_"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, size_name])
 
     kinds = [
         f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}"
         for f in df.schema.fields
     ]
-    return df.mapInArrow(run, ", ".join([*kinds, "text_size_ bigint"]))
+    return df.mapInArrow(run, ", ".join([*kinds, f"`{size_name}` bigint"]))
 
 
 def unpack_texts(df: DataFrame) -> DataFrame:
@@ -178,7 +187,7 @@ def unpack_texts(df: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             place = batch.schema.get_field_index("text")
-            size = batch.column("text_size_")
+            size = batch.column(batch.num_columns - 1)
             raw = restored(batch.column(place), size.fill_null(0))
             text = [
                 t.to_pybytes().decode() if known else None

@@ -91,9 +91,9 @@ def test_run_is_the_stages(spark, stages):
 @pytest.mark.parametrize("name,stage", pipeline.STAGES)
 def test_awkward_and_empty(spark, tmp_path, name, stage):
     """Stages take stored tables, extra columns included."""
-    awkward(spark).withColumn("lang", F.when(F.col("doc_id") > 3, F.col("lang"))).write.parquet(
-        f"{tmp_path}/a"
-    )
+    clashing = {c: F.lit(c) for c in ("_row", "lang_pred", "score", "text_size", "stretch", "_of")}
+    few_labels = F.when(F.col("doc_id") > 3, F.col("lang"))
+    awkward(spark).withColumns({"lang": few_labels, **clashing}).write.parquet(f"{tmp_path}/a")
     docs = spark.read.parquet(f"{tmp_path}/a")
     result = stage(spark, docs, SAMPLE)
     if name == "near_copies":
@@ -102,6 +102,9 @@ def test_awkward_and_empty(spark, tmp_path, name, stage):
         assert Counter(left) == kept_by_brute_force(given)
     else:
         assert result.count() > 0
+    if name != "packing":
+        assert result.columns == docs.columns
+        assert {r._row for r in result.collect()} == {"_row"}
     assert stage(spark, empty(spark), SAMPLE).count() == 0
 
 
