@@ -71,7 +71,17 @@ PATTERNS = {
     "name": rf"(?<!\w)(?P<title>{_TITLE})(?P<gap>\.? )(?P<words>{_CAPITAL}(?: {_CAPITAL})?)(?!\w)",
 }
 KINDS = list(PATTERNS)
+_KIND = {k: re.compile(p) for k, p in PATTERNS.items() if k != "name"}
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    c[:2]: int(c[2:])
+    for c in "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 "
+    "DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 "
+    "IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 "
+    "ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 "
+    "SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20".split()
+}
 # What every entity holds; texts without it are passed on unread.
 CUE = rf"[0-9@]|{_TITLE}"
 
@@ -251,10 +261,38 @@ class Surrogates:
         return with_case(self.permutation.text(text.lower(), "family"), text)
 
 
+def readings(kind: str, match: str) -> Iterator[str]:
+    """A match and the prefixes of it that may be the entity, likeliest first: an
+    IBAN ends where its country's do, a phone number after any of its groups."""
+    if kind == "iban":
+        ends = [m.end() for m in re.finditer(r"\w", match)]
+        length = IBAN_LENGTHS.get(match[:2], 0)
+        if 0 < length < len(ends) and match[ends[length - 1]] == " ":
+            yield match[: ends[length - 1]]
+    yield match
+    if kind == "phone":
+        for m in reversed(list(re.finditer(r"(?<=\d)[ .-]", match))):
+            if _KIND[kind].fullmatch(match[: m.start()]):
+                yield match[: m.start()]
+
+
+def valid_entity(text: str, start: int, surrogates: Surrogates):
+    """Kind, end and surrogate of the first valid entity that begins at
+    ``start``, or None."""
+    for kind, pattern in _KIND.items():
+        if m := pattern.match(text, start):
+            for entity in readings(kind, m[0]):
+                surrogate = getattr(surrogates, kind)(entity)
+                if surrogate is not None:
+                    return kind, start + len(entity), surrogate
+    return None
+
+
 def rewritten(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
     """The text with every entity replaced, and what was replaced where.
 
-    Names are found by a title before them; later mentions of the full or the
+    A match that is not valid is read again by its prefixes, then from its next
+    character on. Names are found by a title before them; later mentions of the full or the
     family name within the text get the same surrogate.
     """
     out, found, at, names = [], [], 0, {}
@@ -267,7 +305,8 @@ def rewritten(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
         )
         at = end
 
-    for m in _ANY.finditer(text):
+    scan = 0
+    while m := _ANY.search(text, scan):
         if m["name"]:
             words, new = m["words"].split(" "), []
             gender = GENDER_OF[m["title"]]
@@ -279,10 +318,13 @@ def rewritten(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
                 names[m["words"]] = " ".join(new)
             start, end = m.span("words")
             put("name", start, end, " ".join(new))
+            scan = end
+        elif entity := valid_entity(text, m.start(), surrogates):
+            kind, scan, surrogate = entity
+            put(kind, m.start(), scan, surrogate)
         else:
-            surrogate = getattr(surrogates, m.lastgroup)(m[0])
-            if surrogate is not None:
-                put(m.lastgroup, *m.span(), surrogate)
+            # What is no entity may still hold one.
+            scan = m.start() + 1
     out.append(text[at:])
     result = "".join(out)
     if names:

@@ -69,6 +69,27 @@ def test_numbers_beside_a_card(before, after):
     assert card not in new and new.startswith(before)
 
 
+@pytest.mark.parametrize(
+    "text,kind,entity",
+    [
+        ("to AT61 1904 3002 3457 3201 EUR 5", "iban", "AT61 1904 3002 3457 3201"),
+        ("BE68 5390 0754 7034 BIC", "iban", "BE68 5390 0754 7034"),
+        ("BE68539007547034 BANKER", "iban", "BE68539007547034"),
+        ("AB12 BE68 5390 0754 7034 NOW", "iban", "BE68 5390 0754 7034"),
+        ("DE89 3704 0044 0532 0130 00 EUR", "iban", "DE89 3704 0044 0532 0130 00"),
+        ("ID12 4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+        ("1234 4111 1111 1111 1111 22", "card", "4111 1111 1111 1111"),
+        ("+49 30 1234 5678 2023", "phone", "+49 30 1234 5678"),
+        ("+49 30 1234 5678-2023", "phone", "+49 30 1234 5678"),
+    ],
+)
+def test_short_tokens_beside_an_entity(text, kind, entity):
+    new, found = rewritten(text, S)
+    assert [(f["kind"], f["entity"]) for f in found] == [(kind, entity)]
+    before, after = text.split(entity)
+    assert new == before + found[0]["surrogate"] + after and entity not in new
+
+
 def test_valid_for_their_type():
     assert luhn(S.card("4845168114407329")) == 0 and S.card("4845168114407329")[0] == "4"
     assert ipaddress.ip_address(S.ip("10.1.2.3")) in ipaddress.ip_network("10.0.0.0/8")
