@@ -19,8 +19,11 @@ from dialtrail.operators.staging import staged
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a language was found for; it fills in a missing label.
-    Texts without a letter, null ones included, go."""
+    Texts without a letter, null ones included, go. With no label to learn from,
+    every text with a letter stays, its label as it is."""
     model = train(docs, remainder("doc_id", HELD_OUT_MOD) != 0)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     predicted, score = (fresh_name(docs.columns, c) for c in ("lang_pred", "score"))
     found = predict(docs, model, docs.columns, predicted, score)
     known = F.col(predicted) != UNDETERMINED

@@ -108,6 +108,18 @@ def test_awkward_and_empty(spark, tmp_path, name, stage):
     assert stage(spark, empty(spark), SAMPLE).count() == 0
 
 
+def test_no_label_to_learn_from(spark):
+    """No labels at all, or only in rows that are held out: what has a letter stays."""
+    docs = docs_of(spark, ["some words", "1 2", None, "é", ""] * 9)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    for label in (F.lit(None).cast("string"), F.when(held_out, "en")):
+        given = docs.withColumn("lang", label)
+        kept = pipeline.keep_known_languages(spark, given, "")
+        wanted = given.filter(F.col("text").isin("some words", "é"))
+        assert kept.columns == given.columns and wanted.count() == 18
+        assert sorted(map(str, kept.collect())) == sorted(map(str, wanted.collect()))
+
+
 def test_repeated_rows_without_ids(spark, tmp_path):
     rows_ = [(None, "one two three four five six", "en", "s", 3)] * 3 + [
         (7, "one two three four five six", "en", "s", 3)
