@@ -1,16 +1,19 @@
 """Score texts by prediction by partial matching over bytes, pretrained.
 
 Training counts every byte with the ORDER bytes before it, over all training
-texts; shorter contexts are sums of longer ones. The trie keeps the nodes whose
-share of all training bytes is at least 1 / MOST_NODES, so each of its levels
-has at most MOST_NODES nodes however large the corpus is; up to that many bytes
-nothing is left out. What a context's left-out successors were seen is known
-exactly and goes to the escape.
+texts; shorter contexts are sums of longer ones. The counts stay in tables and
+nothing is left out of them. At most MOST_HEAD_GRAMS of the commonest grams are
+broadcast with their chances; the texts' other grams meet theirs in joins, level
+by level down to LOW, whose contexts are so short that the alphabet bounds them.
 
-A byte is predicted from the longest context in the trie. There a context with
-T seen successors, D of them different, and R left out gives
+On request ``train`` makes a trie of bounded size instead: the nodes whose share
+of all training bytes is at least 1 / ``most_nodes``. What a context's left-out
+successors were seen is known exactly and goes to the escape.
 
-    (2 count - 1) / 2(T + R) to a successor in the trie, (D + 2R) / 2(T + R) to an escape,
+A byte is predicted from the longest known context. There a context with T seen
+successors, D of them different, and R left out (0 in the whole tables) gives
+
+    (2 count - 1) / 2(T + R) to a known successor, (D + 2R) / 2(T + R) to an escape,
 
 and after an escape the next shorter context is asked, with the successors that
 the longer one offered excluded from all of its counts. Below the shortest one
@@ -33,6 +36,10 @@ from dialtrail.operators.staging import staged
 
 ORDER = 6
 MOST_NODES = 1 << 20
+# Grams looked up where the texts lie, and the context length up to which whole
+# levels of the trie are.
+MOST_HEAD_GRAMS = 1 << 22
+LOW = 2
 END = 0xFF
 SYMBOLS = 256
 CACHE_BITS = 21
@@ -156,14 +163,14 @@ class Trie:
         padding = contexts == (1 << 8 * j) - 1
         return np.where(padding, texts, followed)
 
-    def log10(self, grams: np.ndarray) -> np.ndarray:
+    def log10(self, grams: np.ndarray, total_off=0, kinds_off=0) -> np.ndarray:
         """log10 probability of each gram's last byte after the bytes before."""
         out = np.zeros(len(grams))
         todo = np.arange(len(grams))
         # What is excluded by the longer context that was escaped from.
-        total_off = np.zeros(len(grams), np.int64)
-        kinds_off = np.zeros(len(grams), np.int64)
-        for j in range(ORDER, -1, -1):
+        total_off = np.zeros(len(grams), np.int64) + total_off
+        kinds_off = np.zeros(len(grams), np.int64) + kinds_off
+        for j in range(len(self.levels) - 1, -1, -1):
             if not len(todo):
                 break
             level = self.levels[j]
@@ -194,10 +201,138 @@ class Trie:
         return out
 
 
+class Head:
+    """The commonest grams with their log10 probabilities; NaN for any other."""
+
+    def __init__(self, grams: np.ndarray, values: np.ndarray):
+        order = np.argsort(grams)
+        self.grams, self.values = grams[order], values[order]
+
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        out = np.full(len(grams), np.nan)
+        at, found = _find(self.grams, grams)
+        out[found] = self.values[at[found]]
+        return out
+
+
+def _level(longer: DataFrame, j: int) -> DataFrame:
+    """The pairs with contexts of j bytes, of those with longer contexts."""
+    pair = F.col("gram").bitwiseAND(F.lit((1 << 8 * (j + 1)) - 1))
+    return longer.groupBy(pair.alias("gram")).agg(F.sum("n").alias("n"))
+
+
+class Tables:
+    """Every pair of a context and a successor with its count, in a staged table
+    for each length of contexts. ``local`` is the part for the texts' tasks."""
+
+    def __init__(self, grams: DataFrame):
+        context = F.shiftright("gram", 8)
+        self.levels = {ORDER: grams}
+        for j in range(ORDER - 1, LOW - 1, -1):
+            self.levels[j] = staged(_level(self.levels[j + 1], j), f"level{j}")
+        seen = grams.groupBy(context.alias("context")).agg(F.sum("n").alias("total"))
+        chance = F.log10((2 * F.col("n") - 1) / (2 * F.col("total")))
+        self.known = staged(
+            grams.withColumn("context", context)
+            .join(seen, "context")
+            .select("gram", "n", chance.alias("value")),
+            "known",
+        )
+        head = self.known.filter(F.col("n") >= self._least()).toArrow()
+        self.local = Head(head.column("gram").to_numpy(), head.column("value").to_numpy())
+        low = [self.levels[LOW]]
+        for j in range(LOW - 1, -1, -1):
+            low.insert(0, _level(low[0], j))
+        pairs, counts = [], []
+        for level in low:  # at most 256 ** (LOW + 1) pairs
+            table = level.toArrow()
+            pair = table.column("gram").to_numpy()
+            order = np.argsort(pair)
+            pairs.append(pair[order])
+            counts.append(table.column("n").to_numpy()[order])
+        self.low = Trie(pairs, counts, int(counts[0].sum()))
+
+    def _least(self) -> int:
+        """A count that at most MOST_HEAD_GRAMS grams reach."""
+        step = F.ceil(F.log2("n") * 8)
+        sizes = self.known.groupBy(step.alias("step")).count().collect()  # some hundred rows
+        least, held = 1 << 62, 0
+        for row in sorted(sizes, key=lambda r: -r["step"]):
+            held += row["count"]
+            if held > MOST_HEAD_GRAMS:
+                break
+            # Above the step before: its counts are n <= 2 ** ((step - 1) / 8).
+            least = int(2 ** ((row["step"] - 1) / 8)) + 1 if row["step"] else 1
+        return least
+
+    def log10(self, grams: DataFrame) -> DataFrame:
+        """(gram, value) of different grams: log10 of their probability."""
+        hits = grams.join(self.known.select("gram", "value"), "gram")
+        zero = F.lit(0).cast("bigint")
+        state = staged(
+            grams.join(self.known, "gram", "left_anti").select(
+                "gram",
+                F.lit(0.0).alias("value"),
+                zero.alias("total_off"),
+                zero.alias("kinds_off"),
+                F.lit(False).alias("done"),
+            ),
+            "escapes",
+        )
+        for j in range(ORDER, LOW, -1):
+            state = staged(self._escaped(state, j), "escapes")
+        low = grams.sparkSession.sparkContext.broadcast(self.low)
+
+        def run(batches):
+            for batch in batches:
+                gram, value, total_off, kinds_off, done = (c.to_numpy(False) for c in batch.columns)
+                todo = ~done
+                value = value.copy()
+                value[todo] += low.value.log10(gram[todo], total_off[todo], kinds_off[todo])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("gram"), pa.array(value)], names=["gram", "value"]
+                )
+
+        return hits.unionByName(state.mapInArrow(run, "gram bigint, value double"))
+
+    def _escaped(self, state: DataFrame, j: int) -> DataFrame:
+        """``state`` after contexts of j bytes were asked, as in ``Trie.log10``."""
+        pair = F.col("gram").bitwiseAND(F.lit((1 << 8 * (j + 1)) - 1))
+        asked = state.withColumn("pair", F.when(~F.col("done"), pair)).withColumn(
+            "context", F.shiftright("pair", 8)
+        )
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * j) - 1))
+        below = self.levels[j - 1].select(F.col("gram").alias("shorter"), F.col("n").alias("m"))
+        contexts = (
+            self.levels[j]
+            .select("n", F.shiftright("gram", 8).alias("context"), shorter.alias("shorter"))
+            .join(asked.select("context").distinct(), "context", "left_semi")
+            .join(below, "shorter")
+            .groupBy("context")
+            .agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("m").alias("taken"))
+        )
+        pairs = self.levels[j].select(F.col("gram").alias("pair"), "n")
+        total, kinds = F.col("total") - F.col("total_off"), F.col("kinds") - F.col("kinds_off")
+        # With nothing left to offer, the escape is certain.
+        part = F.coalesce(2 * F.col("n") - 1, kinds) / (2 * total)
+        step = F.when(kinds > 0, F.log10(part)).otherwise(0.0)
+        return (
+            asked.join(contexts, "context", "left")
+            .join(pairs, "pair", "left")
+            .select(
+                "gram",
+                (F.col("value") + step).alias("value"),
+                F.coalesce("taken", "total_off").alias("total_off"),
+                F.coalesce("kinds", "kinds_off").alias("kinds_off"),
+                (F.col("done") | F.col("n").isNotNull()).alias("done"),
+            )
+        )
+
+
 class Scorer:
-    """A trie with a direct-mapped store of what it said of common grams."""
+    """A trie or head with a direct-mapped store of what it said of common grams."""
 
-    def __init__(self, trie: Trie):
+    def __init__(self, trie: Trie | Head):
         self.trie = trie
         self.keys = np.full(1 << CACHE_BITS, -1, np.int64)
         self.values = np.zeros(1 << CACHE_BITS)
@@ -217,15 +352,19 @@ class Scorer:
         return out
 
 
-def train(docs: DataFrame, most_nodes: int = MOST_NODES) -> Trie:
-    """The trie of all texts of ``docs``. Nulls count as empty texts.
+def train(docs: DataFrame, most_nodes: int | None = None) -> Trie | Tables:
+    """The counts of all texts of ``docs``, in tables (stages data). Nulls count
+    as empty texts. With ``most_nodes``, a trie without rarer nodes: at most so
+    many pairs for each of ORDER + 1 lengths.
 
     Counts are gathered by a shuffle and grow with the corpus; what reaches the
-    driver is at most ``most_nodes`` pairs for each of ORDER + 1 lengths.
+    driver is bounded either way.
     """
     grams = staged(
         count_grams(docs).groupBy("gram").agg(F.sum("n").alias("n")), "grams"
     )
+    if most_nodes is None:
+        return Tables(grams)
     total = grams.agg(F.sum("n")).first()[0] or 0
     least = max(1, -(-total // most_nodes))
     pairs, counts, level = [], [], grams
@@ -273,7 +412,7 @@ def _words(part) -> tuple[np.ndarray, np.ndarray]:
 
 
 SCORED = "row bigint, doc_id bigint, n_words bigint, n_head bigint, head double, score double"
-TAIL = ", word bigint, n bigint"
+TAIL = ", word bigint, gram bigint, n bigint"
 
 
 def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
@@ -300,9 +439,10 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFram
     head = words.filter(F.col("n") >= least).toArrow()  # at most MOST_HEAD_WORDS
     order = np.argsort(head.column("word").to_numpy())
     context = docs.sparkSession.sparkContext
+    model = train(learnt)
     shared = context.broadcast(
         (
-            train(learnt),
+            model if isinstance(model, Trie) else model.local,
             head.column("word").to_numpy()[order],
             head.column("n").to_numpy()[order],
         )
@@ -316,32 +456,37 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFram
             names = batch.column("doc_id")
             for part in slices(batch.column("text")):
                 size = len(part.starts)
-                score = _rows(part, scorer.log10(byte_grams(part)))
+                grams = byte_grams(part)
+                chance = scorer.log10(grams)
+                rare = np.isnan(chance)
+                score = _rows(part, np.where(rare, 0.0, chance))
+                of_row = np.repeat(np.arange(size), part.ends - part.starts + 1)
                 own, at_row = _words(part)
                 at, found = _find(head_words, own)
                 value = np.log10(head_counts[at[found]] + 0.1) if found.any() else []
                 n_words = np.bincount(at_row, minlength=size)
                 n_head = np.bincount(at_row[found], minlength=size)
                 sums = np.bincount(at_row[found], value, size).astype(float)
-                # Words outside the head, once for each text they are in.
-                tail, n = _distinct(at_row[~found], own[~found])
                 first = [
                     ids.slice(part.first, size),
                     names.slice(part.first, size),
                     *map(pa.array, (n_words, n_head, sums, score)),
-                    pa.nulls(size, pa.int64()),
-                    pa.nulls(size, pa.int64()),
+                    *[pa.nulls(size, pa.int64())] * 3,
                 ]
-                fields = ["row", "doc_id", "n_words", "n_head", "head", "score", "word", "n"]
+                fields = ["row", "doc_id", "n_words", "n_head", "head", "score"]
+                fields += ["word", "gram", "n"]
                 yield pa.RecordBatch.from_arrays(first, names=fields)
-                kept = pa.array(part.first + tail[0])
-                nothing = pa.nulls(len(n), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(kept), names.take(kept), nothing, nothing]
-                    + [pa.nulls(len(n), pa.float64())] * 2
-                    + [pa.array(tail[1]), pa.array(n)],
-                    names=fields,
-                )
+                # Words and grams outside the heads, once for each text they are in.
+                for column, tail, n in (
+                    (6, *_distinct(at_row[~found], own[~found])),
+                    (7, *_distinct(of_row[rare], grams[rare])),
+                ):
+                    kept = pa.array(part.first + tail[0])
+                    nothing = pa.nulls(len(n), pa.int64())
+                    columns = [ids.take(kept), names.take(kept), nothing, nothing]
+                    columns += [pa.nulls(len(n), pa.float64())] * 2 + [nothing] * 2 + [pa.array(n)]
+                    columns[column] = pa.array(tail[1])
+                    yield pa.RecordBatch.from_arrays(columns, names=fields)
 
     numbered = rows.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "text"
@@ -357,6 +502,18 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFram
             F.sum(F.col("n") * F.log10(F.col("c") + 0.1)).alias("rare"),
         )
     )
+    scores = scored.filter(F.col("n_words").isNotNull())
+    score = F.col("score")
+    if isinstance(model, Tables):
+        tail = scored.filter(F.col("gram").isNotNull()).select("row", "gram", "n")
+        chances = model.log10(tail.select("gram").distinct())
+        sums = (
+            tail.join(chances, "gram")
+            .groupBy("row")
+            .agg(F.sum(F.col("n") * F.col("value")).alias("rare_grams"))
+        )
+        scores = scores.join(sums, "row", "left")
+        score += F.coalesce("rare_grams", F.lit(0.0))
     whole = tokens + 0.1 * (distinct + 1)
     n_known = F.col("n_head") + F.coalesce("n_rare", F.lit(0))
     unknown = F.col("n_words") - n_known
@@ -368,8 +525,7 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFram
         - (F.col("n_words") + 1) * float(np.log10(whole))
     )
     return (
-        scored.filter(F.col("word").isNull())
-        .join(rare, "row", "left")
+        scores.join(rare, "row", "left")
         .select(
             "doc_id",
             (remainder("doc_id", 10) == 0).alias("held_out"),
@@ -377,7 +533,7 @@ def score_documents(docs: DataFrame, held_out: Column | None = None) -> DataFram
             (n_known + int(ends > 0)).alias("n_known"),
             F.lit(int(tokens)).cast("bigint").alias("train_tokens"),
             base.alias("base_score"),
-            "score",
+            score.alias("score"),
         )
     )
 

@@ -111,6 +111,19 @@ def test_left_out_nodes(spark, monkeypatch):
     docs.unpersist()
 
 
+@pytest.mark.parametrize("most", [0, 300])
+def test_nothing_is_left_out_beyond_the_head(spark, monkeypatch, most):
+    """However small what is broadcast, scores are those of all counts; bounds on
+    the nodes of a trie do not touch them."""
+    monkeypatch.setattr(ppm, "MOST_NODES", 300)
+    monkeypatch.setattr(ppm, "MOST_HEAD_GRAMS", most)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(25)
+    texts = [r.text for r in docs.collect()] + ["qqq zzq jjx! abracadabra", "the the tha", "", None]
+    rows = list(enumerate(texts))
+    given = spark.createDataFrame(rows, "doc_id bigint, text string")
+    check(ppm.score_documents(given), brute(rows, 10**9))
+
+
 def test_awkward_and_empty(spark):
     docs = awkward(spark).filter("doc_id IS NULL OR doc_id < 7")
     check(ppm.score_documents(docs), brute(rows_of(docs)))
