@@ -9,8 +9,9 @@ hash; the difference of the parts' sizes bounds it as well). What passes is
 gathered into groups, and within a group each pair that is not linked already
 is verified once, on its whole sets.
 
-Only links that join two groups are written, so copies are never expanded into
-pairs; a hot n-gram or group is cut into blocks that meet two by two.
+For components only links that join two groups are written, so copies are never
+expanded into pairs; a hot n-gram or group is cut into blocks that meet two by
+two. ``linked_pairs`` and ``link_counts`` verify every pair of a group instead.
 """
 
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from dialtrail.llm.components import components
 from dialtrail.llm.runs import pair_blocks, whole_runs
-from dialtrail.llm.texts import Hashes, compressed, mix, restored, slices, word_bounds
+from dialtrail.llm.texts import Hashes, compressed, mix, ragged, restored, slices, word_bounds
 from dialtrail.operators.staging import staged
 
 # The counts that order n-grams: hashed into so many counters, whatever the size
@@ -322,7 +323,31 @@ def _verified(rule, grams, sizes, first, bitmaps, own, two_blocks):
     return out
 
 
-def _verified_links(members: DataFrame, rule: Rule) -> DataFrame:
+def _all_verified(rule, grams, sizes, first, own, two_blocks):
+    """Every link of the sets of one group, set by set: its place and those of
+    the linked ones behind it; sets by size."""
+    ids = np.unique(grams[ragged(first, sizes)], return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    mine = np.zeros(len(grams), bool)
+    for i in range(len(sizes) - 1):
+        last = i + 1 + np.searchsorted(rule.least_size(sizes[i + 1 :]), sizes[i], "right")
+        if last == i + 1:
+            continue
+        mine[ids[starts[i] : ends[i]]] = True
+        rest = slice(i + 1, last)
+        hit = mine[ids[starts[i + 1] : ends[last - 1]]]
+        both = np.add.reduceat(hit, starts[rest] - starts[i + 1], dtype=np.int64)
+        mine[ids[starts[i] : ends[i]]] = False
+        linked = both >= rule.overlap(sizes[i], sizes[rest])
+        if two_blocks:
+            linked &= own[rest] != own[i]
+        yield i, np.flatnonzero(linked) + i + 1
+
+
+def _verified_links(members: DataFrame, rule: Rule, mode: str = "forest") -> DataFrame:
+    """(a, b): links that join the sets of each group; all of them if ``mode`` is
+    "pairs"; if it is "counts", each set's links in the block, weighed by copies."""
     keys = ["component", "low", "high"]
 
     def run(batches):
@@ -345,6 +370,22 @@ def _verified_links(members: DataFrame, rule: Rule) -> DataFrame:
                 right = right[np.lexsort((names[right], n[right]))]
                 if len(right) < 2:
                     continue
+                if mode != "forest":
+                    two = group.column("low")[0].as_py() != group.column("high")[0].as_py()
+                    some = _all_verified(rule, grams, n[right], first[right], own[right], two)
+                    sets = names[right]
+                    if mode == "pairs":
+                        for i, j in some:
+                            if len(j):
+                                yield _edge_batch(np.full(len(j), sets[i]), sets[j])
+                        continue
+                    copies = group.column("copies").to_numpy()[right]
+                    count = np.zeros(len(right), np.int64)
+                    for i, j in some:
+                        count[i] += copies[j].sum()
+                        count[j] += copies[i]
+                    yield _edge_batch(sets, count)
+                    continue
                 bitmaps = _bitmaps(owner, grams, len(names))
                 two = group.column("low")[0].as_py() != group.column("high")[0].as_py()
                 found = _verified(
@@ -368,15 +409,9 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, packed binary, size bigint")
 
 
-def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: the smallest doc_id that
-    links lead to, its own included (stages data).
-
-    Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased. A
-    text without words, or null, has an empty set and is linked with nothing;
-    equal rows are linked. A missing doc_id is no one's component unless all of
-    a group lack theirs. No rows give no rows.
-    """
+def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, set) of every row, and the texts of the sets that may be
+    linked, block by block of their groups (stages data)."""
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     everything = staged(_sets(rows, rule), "sets")
     counts = _ranks(everything)
@@ -404,6 +439,7 @@ def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
             F.min("component").alias("component"),
             F.min("doc_id").alias("_id"),
             F.max("n").alias("n"),
+            F.count("*").alias("copies"),
         ),
         "members",
     )
@@ -415,13 +451,57 @@ def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         _packed(rows)
         .hint("merge")
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
-        .select("component", "set", "packed", "size", "_weight")
+        .select("component", "set", "copies", "packed", "size", "_weight")
     )
     keys = ["component", "low", "high"]
     together = pair_blocks(texts, "set", F.col("_weight"), BLOCK_GRAMS, "low", "high")
-    links = _verified_links(
-        together.drop("_weight").repartition(*keys).sortWithinPartitions(*keys), rule
+    return own, together.drop("_weight").repartition(*keys).sortWithinPartitions(*keys)
+
+
+def linked_pairs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """a and b: every pair of linked texts that differ in their sets, once, each
+    by the smallest doc_id of its set (stages data). Documents of one set are all
+    linked and stand for one another; their number is not expanded. As many rows
+    as links, so the square of a group's size."""
+    own, together = _grouped(docs, rule)
+    ids = staged(own.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("id")), "ids")
+    links = _verified_links(together, rule, "pairs")
+    first = ids.select(F.col("set").alias("a"), F.col("id").alias("x"))
+    other = ids.select(F.col("set").alias("b"), F.col("id").alias("y"))
+    pairs = links.join(first, "a").join(other, "b")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def link_counts(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles and n_links of every row: with how many other rows it
+    is linked, copies of its own text included (stages data). Links are counted
+    where they are verified, never written out. An empty set has none."""
+    own, together = _grouped(docs, rule)
+    others = _verified_links(together, rule, "counts")
+    others = others.groupBy(F.col("a").alias("set")).agg(F.sum("b").alias("others"))
+    copies = own.filter("n > 0").groupBy("set").agg(F.count("*").alias("copies"))
+    by_set = copies.join(others, "set", "left").select(
+        "set", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     )
+    return own.join(by_set, "set", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+    )
+
+
+def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: the smallest doc_id that
+    links lead to, its own included (stages data).
+
+    Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased. A
+    text without words, or null, has an empty set and is linked with nothing;
+    equal rows are linked. A missing doc_id is no one's component unless all of
+    a group lack theirs. No rows give no rows.
+    """
+    own, together = _grouped(docs, rule)
+    full = own.filter("n > 0")
+    links = _verified_links(together, rule)
     found = components(links).select(F.col("node").alias("set"), "component")
 
     named = staged(
@@ -447,6 +527,10 @@ def linked_by_three_words(docs: DataFrame) -> DataFrame:
     return linked_documents(docs, Rule(words=3, share=90, share_of=100))
 
 
+def links_by_three_words(docs: DataFrame) -> DataFrame:
+    return link_counts(docs, Rule(words=3, share=90, share_of=100))
+
+
 # The links of all pairs that share an n-gram, and what they lead to, for DuckDB.
 ORACLE_SQL = r"""
 with docs as (
@@ -476,3 +560,8 @@ closed as materialized (
   select x, min(doc_id) as component_id from reach join sets on r = y group by x)
 select doc_id, cast(len(s) as bigint) as n_shingles, component_id
 from sets join closed on x = r"""
+
+# The same links, counted.
+LINKS_SQL = ORACLE_SQL.split(",\nclosed as")[0] + r"""
+select doc_id, cast(len(s) as bigint) as n_shingles, count(y) as n_links
+from sets left join links on x = r group by r, doc_id, s"""

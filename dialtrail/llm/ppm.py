@@ -38,7 +38,7 @@ ORDER = 6
 MOST_NODES = 1 << 20
 # Grams looked up where the texts lie, and the context length up to which whole
 # levels of the trie are.
-MOST_HEAD_GRAMS = 1 << 22
+MOST_HEAD_GRAMS = 1 << 21
 LOW = 2
 END = 0xFF
 SYMBOLS = 256
@@ -298,15 +298,16 @@ class Tables:
     def _escaped(self, state: DataFrame, j: int) -> DataFrame:
         """``state`` after contexts of j bytes were asked, as in ``Trie.log10``."""
         pair = F.col("gram").bitwiseAND(F.lit((1 << 8 * (j + 1)) - 1))
-        asked = state.withColumn("pair", F.when(~F.col("done"), pair)).withColumn(
-            "context", F.shiftright("pair", 8)
-        )
+        # What is done asks for a number of its own that no context has.
+        nothing = -1 - F.col("gram")
+        asked = state.withColumn("pair", F.when(F.col("done"), nothing).otherwise(pair))
+        asked = asked.withColumn("context", F.shiftright("pair", 8))
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * j) - 1))
         below = self.levels[j - 1].select(F.col("gram").alias("shorter"), F.col("n").alias("m"))
         contexts = (
             self.levels[j]
             .select("n", F.shiftright("gram", 8).alias("context"), shorter.alias("shorter"))
-            .join(asked.select("context").distinct(), "context", "left_semi")
+            .join(asked.filter(~F.col("done")).select("context").distinct(), "context", "left_semi")
             .join(below, "shorter")
             .groupBy("context")
             .agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("m").alias("taken"))

@@ -28,6 +28,7 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _table("documents", jaccard.linked_by_three_words),
+        "op1_ngram_jaccard_links": _table("documents", jaccard.links_by_three_words),
         "op2_chat_format": _table("conversations", chat.formatted_conversations),
         "op3_embedding_multi_index": _table("embeddings", multi_index.near_copies),
         "op4_mix_sources": _table("documents", mixing.mixed_documents),
@@ -44,6 +45,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard_join": jaccard.ORACLE_SQL,
+        "op1_ngram_jaccard_links": jaccard.LINKS_SQL,
         "op2_chat_format": chat.ORACLE_SQL,
         "op7_suffix_array_dedup": repeats.ORACLE_SQL,
     }

@@ -6,7 +6,13 @@ import pytest
 
 from dialtrail.llm import jaccard
 from dialtrail.llm.components import components
-from dialtrail.llm.jaccard import Rule, linked_by_three_words, linked_documents
+from dialtrail.llm.jaccard import (
+    Rule,
+    link_counts,
+    linked_by_three_words,
+    linked_documents,
+    linked_pairs,
+)
 from tests.llm.helpers import awkward, docs_of, empty
 
 
@@ -71,6 +77,32 @@ def test_near_copies(spark, monkeypatch, rule, block):
     check(docs_of(spark, texts), rule)
 
 
+@pytest.mark.parametrize("block", [1_000_000, 200])
+def test_every_link_is_found(spark, monkeypatch, block):
+    """All pairs of a group, not only those that join it, and all documents' links."""
+    monkeypatch.setattr(jaccard, "BLOCK_GRAMS", block)
+    rule, rng, texts = Rule(3, 90, 100), random.Random(block), [None, "", "a", "a"]
+    for _ in range(4):
+        words = [f"w{rng.randrange(90)}" for _ in range(150)]
+        texts += [edited(rng, words, rng.choice([0, 0, 1, 1, 2])) for _ in range(15)]
+    sets = [frozenset(shingles(t, 3)) for t in texts]
+    counts, pairs = [0] * len(sets), set()
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if sets[i] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+            counts[i] += 1
+            counts[j] += 1
+            if sets[i] != sets[j]:
+                pairs.add(tuple(sorted((sets.index(sets[i]), sets.index(sets[j])))))
+    docs = docs_of(spark, texts)
+    found = sorted(map(tuple, link_counts(docs, rule).collect()))
+    assert found == [(i, len(s), n) for i, (s, n) in enumerate(zip(sets, counts))]
+    got = [tuple(r) for r in linked_pairs(docs, rule).collect()]
+    assert len(got) == len(set(got)) and set(got) == pairs
+    groups = {r.component_id for r in linked_documents(docs, rule).collect()}
+    assert len(pairs) > len(set(sets)) - len(groups)  # more than a forest
+    assert link_counts(empty(spark), rule).count() == linked_pairs(empty(spark), rule).count() == 0
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = check(docs, Rule(3, 90, 100))
