@@ -4,23 +4,29 @@ The documents of a source, in random order, are cut into blocks. With weight w,
 block k of a source may go out from slot floor(k / w) on and must by slot
 ceil((k + 1) / w). Serving the released block with the earliest deadline in each
 slot then keeps every source less than one block from its share at every moment.
-Weights are fractions of a period, after which the schedule repeats, so one
-period is scheduled on the driver, whatever the size of the data, and each block
-reads its slot from that table.
+Weights are exact and the schedule goes on for the whole length: one task writes
+it as a table, a row for each block, with a heap of the sources in memory, and
+each block reads its slot from there. With a period on request, weights are
+rounded to its slots, one period is scheduled on the driver and then repeats.
 """
 
 import heapq
 from fractions import Fraction
+from math import lcm
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialtrail.operators.ordinal import with_ordinal
+from dialtrail.operators.staging import staged
 
 PERIOD = 4096
 BLOCK_DOCS = 16
 # Sources weigh as their size to this power unless weights are given.
 FLATTEN = 0.7
+# Tables of so many rows at most are broadcast.
+MOST_BROADCAST = 1 << 18
 MIX = ["mix_slot", "mix_place", "mix_epoch"]
 
 
@@ -64,8 +70,100 @@ def schedule(quota: dict) -> list:
     return out
 
 
-def _sizes(docs: DataFrame, period: int) -> dict:
-    rows = docs.groupBy("source").count().limit(period + 1).collect()
+def exact_schedule(weights: list, blocks: list, repeat: bool):
+    """(source, block, slot), sources by their place, by earliest deadline first
+    under the weights as they are, until each source has been out once; without
+    ``repeat``, a source that is through leaves its slots empty."""
+    parts, whole = _parts(weights)
+    released, coming, slot, left = [], [(0, i, 0) for i in range(len(parts))], 0, len(parts)
+    while left:
+        while coming and coming[0][0] <= slot:
+            _, i, k = heapq.heappop(coming)
+            heapq.heappush(released, (-(-(k + 1) * whole // parts[i]), i, k))
+        _, i, k = heapq.heappop(released)
+        if repeat or k < blocks[i]:
+            yield i, k, slot
+        left -= k + 1 == blocks[i]
+        heapq.heappush(coming, ((k + 1) * whole // parts[i], i, k + 1))
+        slot += 1
+
+
+def _parts(weights: list) -> tuple[list, int]:
+    """The weights as whole numbers, and their sum."""
+    if any(not w > 0 for w in weights):
+        raise ValueError("a weight must be greater than 0")
+    exact = [Fraction(w) for w in weights]
+    unit = lcm(*(w.denominator for w in exact))
+    parts = [int(w * unit) for w in exact]
+    return parts, sum(parts)
+
+
+def _schedule_table(spark: SparkSession, weights: list, blocks: list, repeat: bool) -> DataFrame:
+    names = ["_at", "_k", "_slot"]
+
+    def run(batches):
+        for batch in batches:
+            rows = exact_schedule(weights, blocks, repeat) if batch.num_rows else iter(())
+            while some := [row for _, row in zip(range(1 << 16), rows)]:
+                columns = [pa.array(c, pa.int64()) for c in zip(*some)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    one = spark.range(0, 1, 1, 1)
+    return staged(one.mapInArrow(run, "_at bigint, _k bigint, _slot bigint"), "schedule")
+
+
+def _mix_exactly(docs, weights, repeat, block_docs, seed) -> DataFrame:
+    spark = docs.sparkSession
+    count = _sizes(docs)
+    names = sorted(count, key=lambda s: (s is not None, s or ""))
+    own = [(weights or {}).get(s, float(count[s]) ** FLATTEN) for s in names]
+    blocks = [-(-count[s] // block_docs) for s in names]
+    parts, whole = _parts(own)
+    # No source's first time is over after its last block's deadline.
+    bound = max((-(-b * whole // p) for b, p in zip(blocks, parts)), default=0)
+    facts, first = [], 0
+    for at, (s, b, p) in enumerate(zip(names, blocks, parts)):
+        rounds = (bound * p // whole + 1) // b + 1 if repeat else 1
+        facts.append((s, at, first, b, rounds))
+        first += count[s]
+    facts = spark.createDataFrame(
+        facts, "_source string, _at bigint, _first bigint, _blocks bigint, _rounds bigint"
+    )
+    slots = _schedule_table(spark, own, blocks, repeat)
+
+    def small(table, rows):
+        return F.broadcast(table) if rows <= MOST_BROADCAST else table
+
+    ordered = _in_random_order(docs, seed)
+    rank = F.col("_position") - F.col("_first")
+    zero = F.lit(0).cast("bigint")
+    rows = (
+        ordered.join(small(facts, len(names)), F.col("_of").eqNullSafe(F.col("_source")))
+        .withColumn("mix_place", F.pmod(rank, F.lit(block_docs)))
+        .withColumn("_block", F.floor(rank / block_docs).cast("bigint"))
+        .withColumn("mix_epoch", F.explode(F.sequence(zero, F.col("_rounds") - 1)))
+        .withColumn("_k", F.col("_block") + F.col("mix_epoch") * F.col("_blocks"))
+    )
+    return (
+        rows.join(small(slots, bound), ["_at", "_k"])
+        .withColumn("mix_slot", F.col("_slot"))
+        .select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in MIX], *MIX)
+    )
+
+
+def _in_random_order(docs: DataFrame, seed: int) -> DataFrame:
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        F.col("source").alias("_of"),
+        F.xxhash64(F.lit(seed), "doc_id", F.monotonically_increasing_id()).alias("_shuffled"),
+        F.monotonically_increasing_id().alias("_copy"),
+    )
+    return with_ordinal(rows, ["_of", "_shuffled", "_copy"], "_position")
+
+
+def _sizes(docs: DataFrame, period: int | None = None) -> dict:
+    rows = docs.groupBy("source").count()
+    rows = (rows if period is None else rows.limit(period + 1)).collect()
     return {r["source"]: r["count"] for r in rows}
 
 
@@ -73,7 +171,7 @@ def mix(
     docs: DataFrame,
     weights: dict | None = None,
     repeat: bool = True,
-    period: int = PERIOD,
+    period: int | None = None,
     block_docs: int = BLOCK_DOCS,
     seed: int = 0,
 ) -> DataFrame:
@@ -85,10 +183,12 @@ def mix(
     weights hold to the end; else a source that is through leaves its slots
     empty and each document comes once. A null source is a source of its own. A
     source without a weight gets one by its size; a weight without documents is
-    ignored. At most ``period`` sources; more raise an error. Equal rows are
-    documents of their own. No rows give no rows. Columns of ``docs`` with the
+    ignored. With a ``period``, weights are rounded to its slots, and more sources
+    than slots raise an error. Equal rows are documents of their own. No rows give no rows. Columns of ``docs`` with the
     names of the three new ones are replaced.
     """
+    if period is None:
+        return _mix_exactly(docs, weights, repeat, block_docs, seed)
     count = _sizes(docs, period)
     if len(count) > period:
         raise ValueError(f"more than {period} sources; raise the period")
@@ -118,13 +218,7 @@ def mix(
         "_source string, _first bigint, _blocks bigint, _quota bigint",
     )
     slots = spark.createDataFrame(table, "_source string, _turn bigint, _slot bigint")
-    rows = docs.select(
-        F.struct("*").alias("_row"),
-        F.col("source").alias("_of"),
-        F.xxhash64(F.lit(seed), "doc_id", F.monotonically_increasing_id()).alias("_shuffled"),
-        F.monotonically_increasing_id().alias("_copy"),
-    )
-    ordered = with_ordinal(rows, ["_of", "_shuffled", "_copy"], "_position")
+    ordered = _in_random_order(docs, seed)
     rank = F.col("_position") - F.col("_first")
     turn = F.floor(rank / block_docs).cast("bigint")
     mine = F.col("_of").eqNullSafe(F.col("_source"))

@@ -1,10 +1,18 @@
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from dialtrail.llm.mixing import BLOCK_DOCS, mix, mixed_documents, quotas, schedule
+from dialtrail.llm.mixing import (
+    BLOCK_DOCS,
+    exact_schedule,
+    mix,
+    mixed_documents,
+    quotas,
+    schedule,
+)
 from tests.llm.helpers import SAMPLE, awkward, docs_of, empty
 
 
@@ -21,6 +29,36 @@ def test_schedule_stays_within_a_block(seed):
     assert sent == quota
 
 
+@pytest.mark.parametrize("weights", [[0.3, 0.7], [1e-4, 0.2, 0.5, 3], [0.1] * 7 + [1 / 3]])
+def test_exact_weights_hold_to_the_end(weights):
+    blocks = [1 + int(30_000 * w / sum(weights)) for w in weights]
+    total, sent = sum(map(Fraction, weights)), [0] * len(weights)
+    share = [Fraction(w) / total for w in weights]
+    for i, k, slot in exact_schedule(weights, blocks, True):
+        assert k == sent[i]
+        sent[i] += 1
+        if slot % 7 == 0 or slot > 29_000:
+            assert all(abs(n - (slot + 1) * w) < 1 for n, w in zip(sent, share))
+    assert all(n >= b for n, b in zip(sent, blocks)) and sum(sent) >= 30_000
+
+
+@pytest.mark.parametrize("repeat", [True, False])
+def test_a_tiny_source_and_many_sources(spark, repeat, monkeypatch):
+    """One document is not served beyond its weight; any number of sources."""
+    docs = spark.range(8_000).select(F.col("id").alias("doc_id"), F.lit("big").alias("source"))
+    docs = docs.union(spark.sql("select 8000L, 'tiny'"))
+    mixed = mix(docs, {"big": 1, "tiny": 1e-4}, repeat, block_docs=1)
+    assert mixed.filter("source = 'tiny'").count() == 1
+    slots = mixed.select("mix_slot").distinct().count()
+    assert mixed.count() == slots and mixed.select("doc_id").distinct().count() == 8_001
+    assert 8_001 <= slots <= (10_001 if repeat else 8_001)
+    many = spark.range(5_000).selectExpr("id doc_id", "string(id) source")
+    monkeypatch.setattr("dialtrail.llm.mixing.MOST_BROADCAST", 0)
+    found = mix(many, None, repeat).collect()
+    assert sorted(r.doc_id for r in found) == list(range(5_000))
+    assert sorted(r.mix_slot for r in found) == list(range(5_000))
+
+
 def test_weights_are_checked():
     assert quotas({"a": 1, "b": 3}, 8) == {"a": 2, "b": 6}
     with pytest.raises(ValueError):
