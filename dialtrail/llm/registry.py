@@ -6,8 +6,10 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from dialtrail.llm import (
+    byte_bpe,
     chat,
     digest,
+    filter_audit,
     jaccard,
     langid,
     mixing,
@@ -15,6 +17,7 @@ from dialtrail.llm import (
     packing,
     ppm,
     repeats,
+    spelling,
     surrogates,
 )
 
@@ -25,6 +28,11 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return filter_audit.audited_documents(docs, labels)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": _table("documents", jaccard.linked_by_three_words),
@@ -39,6 +47,9 @@ def queries() -> dict[str, Query]:
         "op9_pack_documents": _table("documents", packing.packed_documents),
         "pipeline": corpus_pipeline.run,
         "op10_document_digests": _table("documents", digest.compared_with_next),
+        "op11_filter_audit": _audit,
+        "op12_spelling_variants": _table("documents", spelling.word_variants),
+        "op13_byte_bpe": _table("documents", byte_bpe.coded_documents),
     }
 
 
@@ -48,4 +59,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_ngram_jaccard_links": jaccard.LINKS_SQL,
         "op2_chat_format": chat.ORACLE_SQL,
         "op7_suffix_array_dedup": repeats.ORACLE_SQL,
+        "op11_filter_audit": filter_audit.ORACLE_SQL,
     }
