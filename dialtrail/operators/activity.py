@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from dialtrail.functions.predicates import dropped, inbound, outbound
 from dialtrail.operators.calls import reachable_calls
+from dialtrail.operators.lanes import Calls, per_lane
 from dialtrail.operators.leads import leads_by_phone
 from dialtrail.schema import ACTIVITY_COLUMNS
 
@@ -14,13 +15,8 @@ def called_back(last_outbound: str, last_drop: str) -> Column:
     return F.when(F.col(last_outbound) > F.col(last_drop), "yes").otherwise("no")
 
 
-def lead_activity(leads: DataFrame, calls: DataFrame) -> DataFrame:
-    """One row per phone: lead values, first and last reachable call, counts.
-
-    Counts cover each lead that shares the phone, as a join of the two tables
-    would; here both sides are one row per phone before they meet.
-    """
-    by_phone = (
+def _by_phone(calls: DataFrame) -> DataFrame:
+    return (
         reachable_calls(calls)
         .filter(F.col("phone_number_dialed").isNotNull())
         .groupBy(F.col("phone_number_dialed").alias("phone"))
@@ -35,9 +31,16 @@ def lead_activity(leads: DataFrame, calls: DataFrame) -> DataFrame:
             ),
         )
     )
-    return add_activity(leads_by_phone(leads).join(by_phone, "phone", "left")).select(
-        *ACTIVITY_COLUMNS
-    )
+
+
+def lead_activity(leads: DataFrame, calls: Calls) -> DataFrame:
+    """One row per phone: lead values, first and last reachable call, counts.
+
+    Counts cover each lead that shares the phone, as a join of the two tables
+    would; here both sides are one row per phone before they meet.
+    """
+    joined = leads_by_phone(leads).join(per_lane(calls, _by_phone), "phone", "left")
+    return add_activity(joined).select(*ACTIVITY_COLUMNS)
 
 
 def add_activity(joined: DataFrame) -> DataFrame:

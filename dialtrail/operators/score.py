@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from dialtrail.functions.predicates import reachable
 from dialtrail.operators.calls import scored_calls
+from dialtrail.operators.lanes import Calls, per_lane
 from dialtrail.operators.leads import leads_by_phone
 
 
@@ -13,13 +14,8 @@ def best_score(called: str, best: str):
     return F.when(F.col(called).isNull(), F.lit(0)).otherwise(F.col(best))
 
 
-def lead_max_score(leads: DataFrame, calls: DataFrame) -> DataFrame:
-    """One row per phone; a phone whose calls all failed has no row.
-
-    The failed calls must reach the join: they tell a lead whose calls failed
-    from one that was never called.
-    """
-    by_phone = (
+def _by_phone(calls: DataFrame) -> DataFrame:
+    return (
         scored_calls(
             calls.filter(F.col("phone_number_dialed").isNotNull()).select(
                 "phone_number_dialed", "status", reachable().alias("reached")
@@ -31,9 +27,17 @@ def lead_max_score(leads: DataFrame, calls: DataFrame) -> DataFrame:
             F.max(F.when(F.col("reached"), F.col("score"))).alias("best"),
         )
     )
+
+
+def lead_max_score(leads: DataFrame, calls: Calls) -> DataFrame:
+    """One row per phone; a phone whose calls all failed has no row.
+
+    The failed calls must reach the join: they tell a lead whose calls failed
+    from one that was never called.
+    """
     return (
         leads_by_phone(leads)
-        .join(by_phone, "phone", "left")
+        .join(per_lane(calls, _by_phone), "phone", "left")
         .select(
             F.col("phone").alias("phone_number_dialed"),
             best_score("called", "best").alias("max_score"),

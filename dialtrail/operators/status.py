@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialtrail.operators.calls import connected_calls
-from dialtrail.operators.lanes import Hot, hot_phones, roll_up_by_phone
+from dialtrail.operators.lanes import Calls, Hot, hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone
 from dialtrail.operators.repeat import repeat_rows
 
@@ -50,7 +50,7 @@ def _newest(dated: DataFrame) -> DataFrame:
 
 
 def counted_last_status(
-    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
+    leads: DataFrame, calls: Calls, hot: Hot | None = None
 ) -> DataFrame:
     """Statuses of the latest connected calls of each phone, with ``copies``:
     how many tied calls have the status, times the leads that share the phone.
@@ -60,7 +60,7 @@ def counted_last_status(
     """
     if hot is None:
         hot = hot_phones(calls, "phone_number_dialed")
-    latest = roll_up_by_phone(_dated_calls(calls), "phone", _newest, hot)
+    latest = roll_up_by_phone(calls, "phone", _newest, hot, _dated_calls)
     return latest.join(_known_phones(leads), "phone").select(
         "phone",
         F.col("call_date").alias("max_call_date"),
@@ -70,7 +70,7 @@ def counted_last_status(
 
 
 def last_call_status(
-    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
+    leads: DataFrame, calls: Calls, hot: Hot | None = None
 ) -> DataFrame:
     """Status of the latest connected call, once per lead and tied call."""
     counted = counted_last_status(leads, calls, hot)

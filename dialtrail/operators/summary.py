@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialtrail.operators.calls import connected_calls
-from dialtrail.operators.lanes import Hot, hot_phones, roll_up_by_phone
+from dialtrail.operators.lanes import Calls, Hot, hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone
 
 SEPARATOR = ", "
@@ -73,13 +73,13 @@ def status_counts(leads: DataFrame, calls: DataFrame) -> DataFrame:
 
 
 def status_summary(
-    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
+    leads: DataFrame, calls: Calls, hot: Hot | None = None
 ) -> DataFrame:
     """One row per phone with its summary text, or null. Looks for hot phones
     first (a job) unless told them."""
     if hot is None:
         hot = hot_phones(calls, "phone_number_dialed")
-    by_phone = roll_up_by_phone(_dialled(calls), "phone", _by_phone, hot)
+    by_phone = roll_up_by_phone(calls, "phone", _by_phone, hot, _dialled)
     return (
         leads_by_phone(leads)
         .select("phone", "n_leads")

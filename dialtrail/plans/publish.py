@@ -9,6 +9,7 @@ from dialtrail.functions.fixed_values import ROWS_PER_PUBLISH_BATCH
 from dialtrail.functions.text import cell_text
 from dialtrail.operators.ordinal import with_ordinal
 from dialtrail.operators.repeat import number_copies
+from dialtrail.sources import versions
 from dialtrail.plans.report import REPORT_ORDER
 
 HEADER_ROWS = 1
@@ -42,23 +43,45 @@ def publish_batches(
     )
 
 
-def write_batches(batches: DataFrame, path: str) -> None:
-    """Replace what was published at ``path``: one CSV folder per batch, in it
-    one file in sheet order. Before the report's own columns stands sheet_row,
-    the row of the sheet that the line belongs to."""
+def write_folders(batches: DataFrame, folder: str) -> None:
+    """One CSV folder per batch, in it one file in sheet order. Before the
+    report's own columns stands sheet_row, the row of the sheet that the line
+    belongs to."""
     (
         batches.repartition("batch_id")
         .sortWithinPartitions("batch_id", "sheet_row")
-        .write.mode("overwrite")
-        .partitionBy("batch_id")
+        .write.partitionBy("batch_id")
         .options(header=True, escape='"')
-        .csv(path)
+        .csv(folder)
     )
 
 
+def write_batches(batches: DataFrame, path: str) -> None:
+    """Replace what was published at ``path`` once all batches are written; a
+    write that breaks off leaves what was there."""
+    spark = batches.sparkSession
+    versions.commit(spark, path, lambda folder: write_folders(batches, folder))
+
+
+def read_folders(spark: SparkSession, folder: str, columns: Sequence[str], parts: str = ""):
+    """Batches as written, with the columns of the folders' names: ``parts``,
+    then batch_id."""
+    schema = ", ".join(f"`{c}` string" for c in ("sheet_row", *columns))
+    return (
+        spark.read.schema(f"{schema}, {parts}batch_id bigint")
+        .options(header=True, escape='"', multiLine=True)
+        .csv(folder)
+    )
+
+
+def published_cells(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    cells = [F.coalesce(c, F.lit("")).alias(c) for c in columns]
+    return rows.select("batch_id", F.col("sheet_row").cast("bigint"), *cells)
+
+
 def read_batches(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """What was published at ``path``: batch_id, sheet_row and the cells as text."""
-    schema = ", ".join(f"`{c}` string" for c in ("sheet_row", *columns)) + ", batch_id bigint"
-    back = spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
-    cells = [F.coalesce(c, F.lit("")).alias(c) for c in columns]
-    return back.select("batch_id", F.col("sheet_row").cast("bigint"), *cells)
+    found = versions.current(spark, path)
+    if found is None:
+        raise ValueError(f"nothing is published at {path}")
+    return published_cells(read_folders(spark, found.path, columns), columns)

@@ -12,7 +12,7 @@ from dialtrail.functions.predicates import (
 )
 from dialtrail.operators.activity import add_activity
 from dialtrail.operators.calls import scored_calls
-from dialtrail.operators.lanes import Hot, hot_phones, roll_up_by_phone
+from dialtrail.operators.lanes import Calls, Hot, hot_phones, roll_up_by_phone
 from dialtrail.operators.leads import leads_by_phone, with_report_date
 from dialtrail.operators.repeat import repeat_rows
 from dialtrail.operators.score import best_score
@@ -56,7 +56,7 @@ def calls_by_status(by_day: DataFrame) -> DataFrame:
     """Roll the daily counts up to (phone, status). Dates are distinct there, so
     the count that goes with the latest one is the number of tied calls."""
     connected_date = F.when(F.col("n_connected") > 0, F.col("call_date"))
-    rolled = by_day.groupBy("phone", "status").agg(
+    return by_day.groupBy("phone", "status").agg(
         F.min("call_date").alias("first_call"),
         F.max("call_date").alias("last_call"),
         F.max(F.when(F.col("n_outbound") > 0, F.col("call_date"))).alias("last_outbound"),
@@ -67,7 +67,6 @@ def calls_by_status(by_day: DataFrame) -> DataFrame:
         F.max(connected_date).alias("last_connected"),
         F.max_by("n_connected", connected_date).alias("n_last_connected"),
     )
-    return scored_calls(rolled)
 
 
 def calls_by_phone(by_status: DataFrame) -> DataFrame:
@@ -90,18 +89,18 @@ def calls_by_phone(by_status: DataFrame) -> DataFrame:
 
 
 def call_rollup(marked: DataFrame) -> DataFrame:
-    return calls_by_phone(calls_by_status(calls_by_day(marked)))
+    return calls_by_phone(scored_calls(calls_by_status(calls_by_day(marked))))
 
 
 def lead_report(
-    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
+    leads: DataFrame, calls: Calls, hot: Hot | None = None
 ) -> DataFrame:
     """The report; looks for hot phones first (a job) unless told them."""
     return numbered_report(leads, calls, hot).select(*REPORT_COLUMNS)
 
 
 def numbered_report(
-    leads: DataFrame, calls: DataFrame, hot: Hot | None = None
+    leads: DataFrame, calls: Calls, hot: Hot | None = None
 ) -> DataFrame:
     """The report with ``copy_no``, which tells equal rows apart.
 
@@ -111,7 +110,12 @@ def numbered_report(
     """
     if hot is None:
         hot = hot_phones(calls, "phone_number_dialed")
-    rolled = roll_up_by_phone(marked_calls(calls), "phone", call_rollup, hot)
+    rolled = roll_up_by_phone(calls, "phone", call_rollup, hot, marked_calls)
+    return report_over(leads, rolled)
+
+
+def report_over(leads: DataFrame, rolled: DataFrame) -> DataFrame:
+    """The numbered report from the leads and one row per phone (``calls_by_phone``)."""
     joined = leads_by_phone(leads).join(rolled, "phone", "left")
 
     latest = F.filter("statuses", lambda s: s.last_connected == F.col("max_call_date"))

@@ -2,26 +2,22 @@
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dialtrail.sources import versions
 from dialtrail.schema import LEAD_REPORT
 
 
-def _marker(path: str) -> str:
-    """A one-row table beside the snapshot, written once that is complete; what
-    a committer leaves in the folder itself differs from one to the next."""
-    return path.rstrip("/") + "-finished"
-
-
 def has_snapshot(spark: SparkSession, path: str) -> bool:
     """A finished write is there; one that broke off does not count."""
-    try:
-        return not spark.read.parquet(_marker(path)).isEmpty()
-    except AnalysisException:
-        return False
+    return versions.current(spark, path) is not None
+
+
+def save_snapshot(report: DataFrame, path: str, built_from: str | None = None) -> None:
+    """Make ``report`` the snapshot at ``path``, in place of the one before."""
+    versions.commit(report.sparkSession, path, report.write.parquet, built_from)
 
 
 def load_or_compute(
@@ -29,16 +25,20 @@ def load_or_compute(
     path: str,
     build: Callable[[], DataFrame],
     schema: T.StructType = LEAD_REPORT,
+    built_from: str | None = None,
 ) -> DataFrame:
     """Read the snapshot at ``path``; where there is none, build and write it.
 
+    ``built_from`` names the state of the inputs, such as the last batch of the
+    log; a snapshot built from another state is replaced. Left out, any will do.
     Parquet keeps what CSV cannot: the types, leading zeros, the status 'NA',
     and the empty string as against null.
     """
-    if not has_snapshot(spark, path):
-        build().write.mode("overwrite").parquet(path)
-        spark.range(1).write.mode("overwrite").parquet(_marker(path))
-    return spark.read.schema(schema).parquet(path)
+    found = versions.current(spark, path)
+    if found is None or built_from not in (None, found.built_from):
+        save_snapshot(build(), path, built_from)
+        found = versions.current(spark, path)
+    return spark.read.schema(schema).parquet(found.path)
 
 
 CSV = {"header": True, "escape": '"', "encoding": "UTF-8"}

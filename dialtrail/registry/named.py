@@ -3,12 +3,14 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dialtrail.operators import activity, calls, leads, score, status, summary
+from dialtrail.operators import activity, calls, frequent, leads, score, status, summary
 from dialtrail.operators.lanes import hot_phones
-from dialtrail.operators.staging import fresh_path
-from dialtrail.plans import publish, report, snapshot
+from dialtrail.operators.staging import fresh_path, staged
+from dialtrail.plans import pages, publish, report, resume, rollup, snapshot
 from dialtrail.schema import REPORT_COLUMNS
+from dialtrail.sources import call_store, versions
 from dialtrail.sources import sample_tables as samples
 from dialtrail.sources.tables import load_leads
 
@@ -28,6 +30,9 @@ DEEP_PAGE = {"limit": 300, "offset": 1100}
 SMALL_BATCH = 500
 # Low enough for the phone with a third of the shared calls to take its own lane.
 SAMPLE_HOT_CALLS = 1_000
+SAMPLE_BUCKETS = 4
+SAMPLE_FILE_ROWS = 100
+PAGE_PHONE = "9000000700"
 
 
 def _activity_part(*columns):
@@ -76,6 +81,101 @@ def _from_csv(lb, ch):
     return load_leads(spark, path, "csv")
 
 
+def _broken_off(report, path):
+    """What a write that breaks off leaves: a folder that no manifest names, and
+    a manifest whose folder is not there."""
+    spark = report.sparkSession
+    report.write.parquet(versions.folder_of(path, "broken-off"))
+    snapshot.save_snapshot(report.filter("phone IS NULL"), path)
+    lost = {"sequence": 1_000, "token": "lost", "files": 1, "built_from": None}
+    spark.createDataFrame([tuple(lost.values())], versions.MANIFEST).write.mode("append").json(
+        f"{path}/manifest"
+    )
+
+
+def _snapshot_replaced(lb, ch):
+    """An older report, a broken write on top of it, then the report itself."""
+    spark = lb.sparkSession
+    path = fresh_path(spark, "snapshot")
+    snapshot.save_snapshot(report.lead_report(lb, calls.connected_calls(ch)), path, "day 1")
+    _broken_off(report.lead_report(lb, ch), path)
+    return snapshot.load_or_compute(
+        spark, path, lambda: report.lead_report(lb, ch), built_from="day 2"
+    )
+
+
+def _snapshot_kept(lb, ch):
+    """The report, and a broken write on top of it."""
+    spark = lb.sparkSession
+    path = fresh_path(spark, "snapshot")
+    snapshot.save_snapshot(report.lead_report(lb, ch), path)
+    report.lead_report(lb, ch).limit(5).write.parquet(versions.folder_of(path, "broken-off"))
+    return snapshot.load_or_compute(spark, path, lambda: lb.sparkSession.range(0))
+
+
+def _resumed(lb, ch):
+    """Batches of an older report are published first; what differs is replaced."""
+    spark = lb.sparkSession
+    path = fresh_path(spark, "sheet")
+    older = report.numbered_report(lb, ch.filter("campaign_id IS NOT NULL"))
+    resume.publish_resumable(publish.publish_batches(older, SMALL_BATCH), path, 2)
+    resume.publish_resumable(_small_batches(lb, ch), path, 2)
+    return resume.read_published(spark, path, REPORT_COLUMNS)
+
+
+def _stored(operator):
+    """The operator over a call store, the sample's hot phones in its hot part."""
+
+    def run(lb, ch):
+        path = fresh_path(lb.sparkSession, "calls")
+        call_store.write_call_store(ch, path, SAMPLE_BUCKETS, SAMPLE_HOT_CALLS)
+        return operator(lb, call_store.open_call_store(lb.sparkSession, path))
+
+    return run
+
+
+def _stored_in_two(lb, ch):
+    spark = lb.sparkSession
+    path = fresh_path(spark, "calls")
+    early = F.pmod(F.xxhash64(*ch.columns), F.lit(2)) == 0
+    call_store.write_call_store(ch.filter(early), path, SAMPLE_BUCKETS, SAMPLE_HOT_CALLS)
+    call_store.add_calls(spark, path, ch.filter(~early))
+    return call_store.stored_calls(spark, path)
+
+
+def _kept(lb, ch):
+    """The log arrives in three batches, dates in no order, one of them twice."""
+    spark = lb.sparkSession
+    path = fresh_path(spark, "rollup")
+    part = F.pmod(F.xxhash64(*ch.columns), F.lit(3))
+    for number in (2, 0, 1, 0):
+        rollup.merge_calls(spark, path, ch.filter(part == number), f"batch {number}", SAMPLE_BUCKETS)
+    return rollup.kept_report(lb, path)
+
+
+def _indexed(read):
+    def run(lb, ch):
+        path = fresh_path(lb.sparkSession, "pages")
+        pages.write_page_index(lb, path, SAMPLE_FILE_ROWS)
+        return read(lb.sparkSession, path)
+
+    return run
+
+
+def _frequent(operator):
+    """The operator with hot phones from the summaries of two parts of the log."""
+
+    def run(lb, ch):
+        early = F.pmod(F.xxhash64(*ch.columns), F.lit(2)) == 0
+        parts = [
+            frequent.key_summary(ch.filter(part), call_store.PHONE) for part in (early, ~early)
+        ]
+        both = staged(frequent.merged_summaries(parts[0].unionByName(parts[1])), "summary")
+        return operator(lb, ch, frequent.frequent_keys(both, SAMPLE_HOT_CALLS).drop("n"))
+
+    return run
+
+
 def _hot(operator):
     """The operator with the hottest sample phones in their own lane."""
 
@@ -140,6 +240,28 @@ OPERATORS = {
     "last_call_status_hot": (_hot(status.last_call_status), ["_shared"]),
     "status_summary_hot": (_hot(summary.status_summary), ["_shared"]),
     "lead_report_hot": (_hot(report.lead_report), ["_shared"]),
+    "last_call_status_frequent": (_frequent(status.last_call_status), ["_shared"]),
+    "lead_report_frequent": (_frequent(report.lead_report), ["_shared"]),
+    "call_history_stored": (_stored_in_two, ["", "_shared"]),
+    "lead_activity_stored": (_stored(activity.lead_activity), ["", "_shared"]),
+    "last_call_status_stored": (_stored(status.last_call_status), ["", "_shared"]),
+    "lead_max_score_stored": (_stored(score.lead_max_score), ["", "_shared"]),
+    "status_summary_stored": (_stored(summary.status_summary), ["", "_shared"]),
+    "lead_report_stored": (_stored(report.lead_report), ["", "_events", "_shared"]),
+    "lead_report_kept": (_kept, ["", "_events", "_shared"]),
+    "report_snapshot_replaced": (_snapshot_replaced, [""]),
+    "report_snapshot_kept": (_snapshot_kept, [""]),
+    "publish_resumed": (_resumed, ["", "_shared"]),
+    "lead_page_indexed": (_indexed(lambda s, p: pages.indexed_page(s, p, **PAGE)), ["", "_shared"]),
+    "lead_page_deep_indexed": (_indexed(lambda s, p: pages.indexed_page(s, p, **DEEP_PAGE)), [""]),
+    "lead_page_from": (
+        _indexed(lambda s, p: pages.indexed_page_from(s, p, PAGE_PHONE, PAGE["limit"])),
+        ["", "_shared"],
+    ),
+    "paged_union_indexed": (
+        _indexed(lambda s, p: pages.indexed_pages(s, p, SMALL_BATCH)),
+        ["", "_shared"],
+    ),
 }
 
 

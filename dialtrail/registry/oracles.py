@@ -245,6 +245,25 @@ from lead_bank""",
     "last_call_status_hot": "select * from last_status",
     "status_summary_hot": "select * from summary",
     "lead_report_hot": "select * from report",
+    "last_call_status_frequent": "select * from last_status",
+    "lead_report_frequent": "select * from report",
+    "call_history_stored": "select * from call_history",
+    "lead_activity_stored": "select * from activity",
+    "last_call_status_stored": "select * from last_status",
+    "lead_max_score_stored": "select * from best",
+    "status_summary_stored": "select * from summary",
+    "lead_report_stored": "select * from report",
+    "lead_report_kept": "select * from report",
+    "report_snapshot_replaced": "select * from report",
+    "report_snapshot_kept": "select * from report",
+    "publish_resumed": _batches(500),
+    "lead_page_indexed": f"""select * from lead_bank {LEAD_ORDER}
+limit 500 offset 400""",
+    "lead_page_deep_indexed": f"select * from lead_bank {LEAD_ORDER} limit 300 offset 1100",
+    "lead_page_from": f"""select * from lead_bank where phone >= '9000000700' {LEAD_ORDER}
+limit 500""",
+    "paged_union_indexed": f"""select *, (row_number() over ({LEAD_ORDER}) - 1) // 500
+       as page_id from lead_bank""",
     "cells_published": """select cast(o_orderkey as varchar) as o_orderkey,
        case when isfinite(price) then cast(price as varchar) else '' end as price
 from lead_bank""",

@@ -18,6 +18,7 @@ from dialtrail.plans.snapshot import (
     read_csv_report,
 )
 from dialtrail.schema import LEAD_REPORT, REPORT_COLUMNS
+from dialtrail.sources import versions
 from tests.tables import GOLDEN_CALLS, GOLDEN_LEADS, calls_of, leads_of
 
 
@@ -125,7 +126,8 @@ def test_written_batches_read_back(spark, golden, tmp_path):
     batches = publish_batches(numbered_report(*golden), batch_rows=4)
     for _ in range(2):  # publishing again replaces
         write_batches(batches, str(tmp_path / "sheet"))
-    back = spark.read.option("header", True).csv(str(tmp_path / "sheet"))
+    folder = versions.current(spark, str(tmp_path / "sheet")).path
+    back = spark.read.option("header", True).csv(folder)
     assert set(back.columns) == {"batch_id", "sheet_row", *REPORT_COLUMNS}
     sizes = {int(r.batch_id): r["count"] for r in back.groupBy("batch_id").count().collect()}
     assert sizes == {0: 3, 1: 4, 2: 2}

@@ -1,0 +1,323 @@
+"""Folders that are replaced as a whole, and what is built on them."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from dialtrail.operators.lanes import Lanes
+from dialtrail.plans import pages, resume, rollup
+from dialtrail.plans.publish import publish_batches, published, read_batches, write_batches
+from dialtrail.plans.report import lead_report, numbered_report
+from dialtrail.plans.snapshot import has_snapshot, load_or_compute, save_snapshot
+from dialtrail.registry.named import SAMPLE_HOT_CALLS
+from dialtrail.schema import REPORT_COLUMNS
+from dialtrail.sources import call_store, versions
+from dialtrail.sources.sample_tables import sample_leads, shared_calls, shared_leads
+from tests.tables import GOLDEN_CALLS, GOLDEN_LEADS, calls_of, leads_of, looped_report
+from tests.test_plans import keys, plan
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def golden(spark):
+    return leads_of(spark, GOLDEN_LEADS), calls_of(spark, GOLDEN_CALLS)
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def numbers(spark, path):
+    return sorted(r.id for r in spark.read.parquet(versions.current(spark, path).path).collect())
+
+
+def test_a_broken_write_leaves_what_was_there(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert versions.current(spark, path) is None
+    versions.commit(spark, path, spark.range(3).write.parquet)
+
+    def breaks(folder):
+        spark.range(9).write.parquet(folder)
+        raise RuntimeError("broken off")
+
+    with pytest.raises(RuntimeError):
+        versions.commit(spark, path, breaks)
+    assert numbers(spark, path) == [0, 1, 2]
+    versions.commit(spark, path, spark.range(5).write.parquet)
+    assert numbers(spark, path) == [0, 1, 2, 3, 4]
+    assert len(versions.old_versions(spark, path)) == 1
+
+
+def test_a_version_that_lost_files_is_passed_over(spark, tmp_path):
+    path = tmp_path / "table"
+    versions.commit(spark, str(path), spark.range(3).write.parquet)
+    newest = versions.commit(spark, str(path), spark.range(90).repartition(3).write.parquet)
+    assert len(numbers(spark, str(path))) == 90
+    next((path / "versions" / newest.token).glob("part-*")).unlink()
+    assert numbers(spark, str(path)) == [0, 1, 2]
+    (path / "versions" / newest.token).rename(path / "elsewhere")
+    assert numbers(spark, str(path)) == [0, 1, 2]
+
+
+def test_two_writers_leave_one_version_whole(spark, tmp_path):
+    path = str(tmp_path / "table")
+
+    def meanwhile(folder):
+        spark.range(4).write.parquet(folder)
+        versions.commit(spark, path, spark.range(7).write.parquet)
+
+    versions.commit(spark, path, meanwhile)
+    assert numbers(spark, path) in ([*range(4)], [*range(7)])
+    # Both claim the same place in the row: the reader must still choose one.
+    folder = versions.folder_of(path, "zz")
+    spark.range(2).repartition(1).write.parquet(folder)
+    files = versions.n_files(spark, folder)
+    claim = spark.createDataFrame([(2, "zz", files, None)], versions.MANIFEST)
+    claim.write.mode("append").json(f"{path}/manifest")
+    assert numbers(spark, path) == [0, 1]
+
+
+def test_half_a_manifest_line_does_not_count(spark, tmp_path):
+    path = tmp_path / "table"
+    versions.commit(spark, str(path), spark.range(3).write.parquet)
+    (path / "manifest" / "half.json").write_text('{"sequence":99,"tok')
+    assert numbers(spark, str(path)) == [0, 1, 2]
+
+
+def test_other_errors_are_not_taken_for_no_snapshot(spark, golden, tmp_path):
+    path = tmp_path / "snapshot"
+    (path / "manifest").mkdir(parents=True)
+    assert not has_snapshot(spark, str(path))
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        load_or_compute(spark, "nosuchstore://x/snapshot", lambda: lead_report(*golden))
+
+
+def test_a_snapshot_of_other_inputs_is_replaced(spark, golden, tmp_path):
+    path = str(tmp_path / "snapshot")
+    leads, calls = golden
+    part = lead_report(leads.filter("phone = 'p1'"), calls)
+    save_snapshot(part, path, built_from="batch 1")
+    read = {"spark": spark, "path": path, "build": lambda: lead_report(*golden)}
+    assert load_or_compute(**read).count() == 1
+    assert load_or_compute(**read, built_from="batch 1").count() == 1
+    assert load_or_compute(**read, built_from="batch 2").count() == 9
+    assert load_or_compute(**read, built_from="batch 2").count() == 9
+    # Whoever read the old version can go on reading it.
+    assert spark.read.parquet(versions.old_versions(spark, path)[0]).count() == 1
+
+
+def test_a_broken_publish_leaves_the_sheet(spark, golden, tmp_path):
+    path = str(tmp_path / "sheet")
+    with pytest.raises(ValueError, match="nothing"):
+        read_batches(spark, path, REPORT_COLUMNS)
+    batches = publish_batches(numbered_report(*golden), batch_rows=4)
+    write_batches(batches, path)
+    bad = batches.withColumn("phone", F.expr("if(sheet_row > 6, raise_error('cut'), phone)"))
+    with pytest.raises(Exception, match="cut"):
+        write_batches(bad, path)
+    assert rows(read_batches(spark, path, REPORT_COLUMNS)) == rows(batches)
+
+
+def test_publishing_goes_on_at_the_batch_it_broke_at(spark, golden, tmp_path, monkeypatch):
+    path = str(tmp_path / "sheet")
+    batches = publish_batches(numbered_report(*golden), batch_rows=2)  # 5 of them
+    write, done = resume.write_step, []
+
+    def breaks_at_batch_3(part, at, step):
+        if done == [0, 1, 2]:
+            raise RuntimeError("broken off")
+        done.extend(sorted(r.batch_id for r in part.select("batch_id").distinct().collect()))
+        write(part, at, step)
+
+    monkeypatch.setattr(resume, "write_step", breaks_at_batch_3)
+    with pytest.raises(RuntimeError):
+        resume.publish_resumable(batches, path, 1)
+    with pytest.raises(ValueError, match="nothing"):
+        resume.read_published(spark, path, REPORT_COLUMNS)
+    monkeypatch.setattr(resume, "write_step", write)
+    assert [s[:9] for s in resume.publish_resumable(batches, path, 1)] == ["000000003", "000000004"]
+    assert rows(resume.read_published(spark, path, REPORT_COLUMNS)) == rows(batches)
+    # Nothing to do; then one cell differs, and the last row is gone.
+    assert resume.publish_resumable(batches, path, 1) == []
+    newer = batches.filter("sheet_row < 10").withColumn(
+        "city", F.when(F.col("sheet_row") == 5, "Ulm").otherwise(F.col("city"))
+    )
+    assert [s[:9] for s in resume.publish_resumable(newer, path, 1)] == ["000000002", "000000004"]
+    assert rows(resume.read_published(spark, path, REPORT_COLUMNS)) == rows(newer)
+    none = batches.limit(0)
+    assert resume.publish_resumable(none, path) == []
+    assert resume.read_published(spark, path, REPORT_COLUMNS).count() == 0
+
+
+def test_checksums_tell_cells_apart(spark):
+    cells = [("a", "b"), ("b", "a"), ("ab", ""), ("", "ab"), (None, "ab")]
+    both = [
+        spark.createDataFrame([(0, i, *c)], "batch_id bigint, sheet_row bigint, x string, y string")
+        for i in (2, 3)
+        for c in cells
+    ]
+    checks = [resume.batch_checks(df.na.fill("-")).first() for df in both]
+    assert len({(c.check_a, c.check_b) for c in checks}) == len(checks)
+
+
+def test_a_page_reads_the_files_it_needs(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    leads = sample_leads(spark, SF_DIR)
+    pages.write_page_index(leads, path, rows_per_file=10)
+    page = pages.indexed_page(spark, path, 20, 65)
+    assert len(page.inputFiles()) <= 2 + 2 * 2  # files end where ranges do
+    expected = leads.orderBy("phone", "lead_id").offset(65).limit(20).collect()
+    assert sorted(map(tuple, page.collect())) == sorted(map(tuple, expected))
+    everything = spark.read.parquet(versions.current(spark, path).path + "/leads")
+    assert len(everything.inputFiles()) >= 15
+    assert pages.indexed_page(spark, path, 20, 10_000).count() == 0
+    assert pages.indexed_page(spark, path, 10_000).count() == leads.count()
+
+
+def test_pages_of_few_or_missing_phones(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    pages.write_page_index(leads_of(spark, GOLDEN_LEADS), path, rows_per_file=3)
+    ids = [r.lead_id for r in pages.indexed_page(spark, path, 3).orderBy("phone").collect()]
+    assert ids == ["L5", "L1", "L2"]  # the missing phone first
+    after = pages.indexed_page_from(spark, path, "p5", 2).collect()
+    assert {r.lead_id for r in after} == {"L6", "L7"}
+    assert pages.indexed_page_from(spark, path, "q", 2).count() == 0
+    pages.write_page_index(leads_of(spark, []), path)
+    assert pages.indexed_page(spark, path).count() == 0
+    assert pages.indexed_page_from(spark, path, "p1").count() == 0
+
+
+@pytest.fixture(scope="module")
+def store(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("calls"))
+    call_store.write_call_store(shared_calls(spark, SF_DIR), path, 4, 100)
+    return path
+
+
+def test_reports_do_not_shuffle_stored_calls(spark, store, golden, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        call_store.write_call_store(golden[1], str(tmp_path / "calls"), 4)
+        lanes = call_store.open_call_store(spark, str(tmp_path / "calls"))
+        text = plan(lead_report(golden[0], lanes))
+        # leads by phone (once grouped, once more to meet the buckets at most),
+        # and the spread of the finished rows; none below the grouping of calls
+        of_calls = text[: text.index("lead_bank")] if "lead_bank" in text else text
+        assert "SelectedBucketsCount: 4 out of 4" in of_calls
+        assert not any("call_date" in k or "status#" in k for k in keys(text)[:-1])
+        below = text[text.index("n_reached") :]
+        calls_side = [line for line in below.split("\n") if "Exchange hashpartitioning" in line]
+        assert len(calls_side) <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_store_is_found_again_by_its_folder(spark, store):
+    lanes = call_store.open_call_store(spark, store)
+    assert isinstance(lanes, Lanes) and lanes.spread is not None
+    hot = {r.phone_number_dialed for r in lanes.spread.collect()}
+    counts = {
+        r.phone_number_dialed: r["count"]
+        for r in shared_calls(spark, SF_DIR).groupBy("phone_number_dialed").count().collect()
+    }
+    assert hot == {p for p, n in counts.items() if p and n >= 100}
+    before = rows(lanes.gathered)
+    table = call_store._table(versions.current(spark, store).path)
+    spark.sql(f"DROP TABLE {table}")  # as in a session that did not write it
+    again = call_store.open_call_store(spark, store)
+    assert rows(again.gathered) == before
+    leads = shared_leads(spark, SF_DIR)
+    assert rows(lead_report(leads, again)) == rows(
+        lead_report(leads, shared_calls(spark, SF_DIR), [])
+    )
+
+
+def test_a_store_of_no_calls(spark, golden, tmp_path):
+    path = str(tmp_path / "calls")
+    call_store.write_call_store(golden[1].limit(0), path, 2)
+    report = lead_report(golden[0], call_store.open_call_store(spark, path))
+    assert report.filter("max_score = 0 AND out_bound_count = 0").count() == 7
+    call_store.add_calls(spark, path, golden[1])
+    assert rows(call_store.stored_calls(spark, path)) == rows(golden[1])
+
+
+def test_a_batch_touches_its_buckets_alone(spark, golden, tmp_path):
+    path, (leads, calls) = str(tmp_path / "rollup"), golden
+    assert rollup.kept_report(leads, path).count() == 7  # no calls yet, p7 twice one row
+    assert rollup.merge_calls(spark, path, calls.filter("phone_number_dialed = 'p1'"), "a", 16)
+    before = {e.bucket: e.token for e in rollup._contents(spark, path)[0]}
+    assert rollup.merge_calls(spark, path, calls.filter("phone_number_dialed <> 'p1'"), "b")
+    entries = rollup._contents(spark, path)[0]
+    assert len(entries) > 2
+    kept = [e for e in entries if before.get(e.bucket) == e.token]
+    assert len(kept) == 1
+    assert not rollup.merge_calls(spark, path, calls, "b")  # is in already
+    assert rollup.merge_calls(spark, path, calls.limit(0), "c")
+    assert rows(rollup.kept_report(leads, path)) == rows(lead_report(leads, calls))
+
+
+def test_a_merge_that_breaks_off_counts_nothing(spark, golden, tmp_path, monkeypatch):
+    path, (leads, calls) = str(tmp_path / "rollup"), golden
+    first = F.col("call_date") < "2024-01-05"
+    rollup.merge_calls(spark, path, calls.filter(first), "a", 2)
+    before = rows(rollup.kept_report(leads, path))
+    append = versions._manifest
+
+    def breaks(spark_, path_):
+        raise RuntimeError("broken off")
+
+    commit = versions.commit
+
+    def commit_that_breaks(spark_, path_, write, built_from=None):
+        monkeypatch.setattr(versions, "_manifest", breaks)
+        commit(spark_, path_, write, built_from)
+
+    monkeypatch.setattr(versions, "commit", commit_that_breaks)
+    with pytest.raises(RuntimeError):
+        rollup.merge_calls(spark, path, calls.filter(~first), "b", 2)
+    monkeypatch.setattr(versions, "_manifest", append)
+    monkeypatch.setattr(versions, "commit", commit)
+    assert rows(rollup.kept_report(leads, path)) == before
+    assert rollup.merge_calls(spark, path, calls.filter(~first), "b", 2)
+    assert rows(rollup.kept_report(leads, path)) == rows(lead_report(leads, calls))
+
+
+def test_late_and_equal_dates_merge(spark, tmp_path):
+    """Batches in every order, against loops over all calls."""
+    _check_orders(spark, tmp_path)
+
+
+def _check_orders(spark, tmp_path):
+    from tests.tables import day
+
+    leads = [("L1", "p1", None, None, None, None), ("L2", "p2", None, None, None, None)]
+    batches = [
+        [("p1", day(5), "A_BND", "DROP", "ANSWER"), ("p1", day(2), "A_INB", "FOLLOW", "ANSWER")],
+        [("p1", day(5), "A_BND", "DROP", "ANSWER"), ("p2", None, None, None, "ANSWER")],
+        [("p1", day(5), None, "NA", "ANSWER"), ("p1", day(9), "A_BND", "DROP", "FAILED"),
+         ("p2", day(1), None, None, None)],
+    ]
+    expected = sorted(map(str, looped_report(leads, sum(batches, []))))
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0)):
+        path = str(tmp_path / f"{order}")
+        for number in order:
+            rollup.merge_calls(spark, path, calls_of(spark, batches[number]), str(number), 2)
+        report = rollup.kept_report(leads_of(spark, leads), path)
+        assert sorted(str(tuple(r)) for r in report.collect()) == expected
+
+
+def test_sketch_finds_hot_phones(spark):
+    from dialtrail.operators import frequent
+
+    calls = shared_calls(spark, SF_DIR)
+    summary = frequent.key_summary(calls, "phone_number_dialed")
+    n = calls.groupBy("phone_number_dialed").count()
+    expected = {
+        (r[0], r[1]) for r in n.filter("count >= 50 AND phone_number_dialed IS NOT NULL").collect()
+    }
+    assert {tuple(r) for r in frequent.frequent_keys(summary, 50).collect()} == expected
+    none = frequent.key_summary(calls.limit(0), "phone_number_dialed")
+    assert frequent.frequent_keys(none, 1).count() == 0
+    assert SAMPLE_HOT_CALLS > 50
+    assert published(calls.limit(1)).count() == 1
