@@ -11,6 +11,7 @@ so a place is left for good once nothing fits there and the work stays linear.
 
 import base64
 import itertools
+import struct
 import unicodedata
 from functools import lru_cache
 
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 from dialtrail.llm.texts import Hashes, ragged, slices
 
 # Bounds of what a worker remembers; both only save work.
-MOST_CHUNKS = 400_000
-MOST_PAIRS = 1_000_000
+MOST_CHUNKS = 300_000
+MOST_PAIRS = 300_000
+# Ids decoded at once.
+DECODED = 1 << 18
 
 NEVER = float("inf")
 
@@ -66,10 +69,11 @@ class Merges:
         self.rank = ranks
         self.text = {rank: token for token, rank in ranks.items()}
         self.size = {rank: len(token) for token, rank in ranks.items()}
-        self.longest = ahocorasick.Automaton()
+        self.trie = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.longest.add_word(token, rank)
-        self.longest.make_automaton()
+            self.trie.add_word(token, rank)
+        self.longest_size = max(map(len, ranks))
+        self.known_path: dict[str, int | None] = {}
         self.known_halves, self.known_prefix, self.known_pairs = {}, {}, {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
@@ -105,6 +109,16 @@ class Merges:
             self.known_prefix[token] = next((t for t in shorter if t is not None), None)
         return self.known_prefix[token]
 
+    def longest_at(self, piece: str, at: int) -> int | None:
+        """The longest token that stands at a place."""
+        ahead = piece[at : at + self.longest_size]
+        # How far a path of the trie goes on; its last node may be no token.
+        path = ahead[: self.trie.longest_prefix(ahead)]
+        if path not in self.known_path:
+            starts = (self.rank.get(path[:n]) for n in range(len(path), 0, -1))
+            self.known_path[path] = next((t for t in starts if t is not None), None)
+        return self.known_path[path]
+
     def fits(self, left: int | None, token: int) -> bool:
         """Merging makes the token, and with a token to its left just the two."""
         known = self.known_pairs.get((left, token))
@@ -137,25 +151,27 @@ class Merges:
         whole = self.rank.get(piece)
         if whole is not None:  # a piece that is a token stays one
             return [whole]
-        size, longest = self.size, [None] * len(piece)
-        for end, token in self.longest.iter(piece):
-            # Matches come by their ends, so a later one is longer.
-            longest[end + 1 - size[token]] = token
+        size, pairs, find = self.size, self.known_pairs, self.longest_at
         ids, at, last, dead = [], 0, None, bytearray(len(piece) + 1)
         while at < len(piece):
-            token = longest[at]
-            while token is None or dead[at + size[token]] or not self.fits(last, token):
-                token = self.prefix(token) if token is not None else None
-                if token is None:  # nothing fits here, nor will when this place comes again
-                    if not ids:
-                        raise ValueError(f"no tokens for the bytes {piece.encode('latin-1')!r}")
-                    dead[at] = 1
-                    token = ids.pop()
-                    at -= size[token]
-                    last = ids[-1] if ids else None
-            ids.append(token)
-            at += size[token]
-            last = token
+            token = find(piece, at)
+            while token is not None:
+                if not dead[at + size[token]]:
+                    fits = pairs.get((last, token))
+                    if self.fits(last, token) if fits is None else fits:
+                        break
+                token = self.prefix(token)
+            if token is not None:
+                ids.append(token)
+                at += size[token]
+                last = token
+            elif ids:  # nothing fits here, nor will when this place comes again
+                dead[at] = 1
+                at -= size[ids.pop()]
+                dead[at + size[last]] = 1
+                last = ids[-1] if ids else None
+            else:
+                raise ValueError(f"no tokens for the bytes {piece.encode('latin-1')!r}")
         return ids
 
 
@@ -168,18 +184,24 @@ class Encoder:
         self.merges = Merges(ranks)
         self.pieces = regex.compile(pattern)
         self.cut = cut
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def ids_of(self, chunk: bytes) -> list[int]:
+    def ids_of(self, chunk: bytes) -> bytes:
+        """The chunk's ids as 32-bit integers, end to end."""
         found = self.known.get(chunk)
         if found is None:
             if len(self.known) >= MOST_CHUNKS:
                 self.known.clear()
-            found = self.known[chunk] = [
-                token
-                for piece in self.pieces.findall(chunk.decode())
-                for token in self.merges.encode_piece(piece.encode().decode("latin-1"))
-            ]
+            text = chunk.decode()
+            if self.cut and text.removeprefix(" ").isalpha():  # one word is one piece
+                ids = self.merges.encode_piece(chunk.decode("latin-1"))
+            else:
+                ids = [
+                    token
+                    for piece in self.pieces.findall(text)
+                    for token in self.merges.encode_piece(piece.encode().decode("latin-1"))
+                ]
+            found = self.known[chunk] = struct.pack(f"={len(ids)}i", *ids)
         return found
 
     def encode(self, part) -> tuple[np.ndarray, np.ndarray]:
@@ -196,8 +218,8 @@ class Encoder:
         where, which = _alike(data, starts, ends)
         raw = data.tobytes()
         ids = [self.ids_of(raw[starts[i] : ends[i]]) for i in where.tolist()]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
         out = flat[ragged((np.cumsum(size) - size)[which], size[which])]
         counts = np.bincount(part.row_of(starts), size[which], len(part.starts))
         return out, counts.astype(np.int64)
@@ -329,20 +351,27 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches):
         flat, at, size = _spelled(path)
         for batch in batches:
-            lists = batch.column("ids")
-            ids = lists.flatten().to_numpy()
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or size[ids].min() < 0):
-                raise ValueError("an id that no token has")
-            spelled = flat[ragged(at[ids], size[ids])]
-            ends = np.append(0, np.cumsum(size[ids]))
-            counts = lists.value_lengths().fill_null(0).to_numpy()
-            offsets = ends[np.append(0, np.cumsum(counts))]
-            texts = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), lists, texts.cast(pa.binary())], ["doc_id", "ids", "bytes"]
-            )
+            counts = batch.column("ids").value_lengths().fill_null(0).to_numpy()
+            ends, first = np.cumsum(counts), 0
+            while first < len(counts):
+                last = int(np.searchsorted(ends, ends[first] - counts[first] + DECODED, "right"))
+                part = batch.slice(first, max(1, last - first))
+                lists, first = part.column("ids"), first + part.num_rows
+                ids = lists.flatten().to_numpy()
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or size[ids].min() < 0):
+                    raise ValueError("an id that no token has")
+                spelled = flat[ragged(at[ids], size[ids])]
+                places = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
+                offsets = np.append(0, np.cumsum(size[ids]))[places]
+                texts = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(),
+                    part.num_rows,
+                    [None, pa.py_buffer(offsets), pa.py_buffer(spelled)],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), lists, texts.cast(pa.binary())],
+                    ["doc_id", "ids", "bytes"],
+                )
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id bigint, ids array<int>, bytes binary"
