@@ -36,6 +36,7 @@ MOST_CONTEXTS = 512
 MOST_STRINGS = 72  # of one context; MIN_REPEAT - SEED + 1 but for periodic text
 INNER = 128  # added to their number where a context may repeat within itself
 SORTED_AT_ONCE = 60_000  # suffixes
+PART_BYTES = 1 << 22  # of text, whose anchors meet in one group
 LAST = (1 << 63) - 1  # stands for a missing doc_id
 
 
@@ -95,8 +96,9 @@ def _order(doc, row, first):
     return np.lexsort((first, row, doc))
 
 
-def _anchors(docs: DataFrame, parts: int) -> DataFrame:
-    """For each batch of documents and each of ``parts``: its anchors, as arrays.
+def _anchors(texts: DataFrame, parts: int) -> DataFrame:
+    """For each batch of ``numbered_texts`` and each of ``parts``: its anchors, as
+    arrays.
     Of equal contexts in the batch only the first goes by its anchor; the others
     are redundant already and go anywhere, under anchor -1."""
 
@@ -105,7 +107,8 @@ def _anchors(docs: DataFrame, parts: int) -> DataFrame:
             doc = batch.column("doc").to_numpy()
             row = batch.column("row").to_numpy()
             found = []
-            for part in slices(batch.column("text")):
+            raw = [_unpack(batch, i) for i in range(batch.num_rows)]
+            for part in slices(_strings(raw)):
                 anchor, context, text, first, last, inner = contexts_of(part)
                 own = text + part.first
                 at = first - part.starts[text]
@@ -136,7 +139,15 @@ def _anchors(docs: DataFrame, parts: int) -> DataFrame:
             )
 
     kinds = ", ".join(f"{f} binary" for f in FIELDS)
-    return docs.mapInArrow(run, f"part bigint, {kinds}")
+    return texts.mapInArrow(run, f"part bigint, {kinds}")
+
+
+def _strings(raw: list[np.ndarray]) -> pa.Array:
+    """Texts as a string column; they are known to be UTF-8."""
+    ends = np.cumsum([0, *map(len, raw)], dtype=np.int64)
+    data = np.concatenate([np.zeros(0, np.uint8), *raw])
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(data)]
+    return pa.LargeStringArray.from_buffers(len(raw), buffers[1], buffers[2])
 
 
 # How the fields travel; a text is shorter than 2 ** 32 bytes.
@@ -192,7 +203,7 @@ def _met(anchors: DataFrame) -> DataFrame:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """(row, packed): texts compressed for the way to where they are cut."""
+    """The documents with their texts compressed."""
 
     def run(batches):
         codec = pa.Codec("zstd", compression_level=1)
@@ -218,7 +229,7 @@ def _unpack(batch, i) -> np.ndarray:
     return np.frombuffer(pa.Codec("zstd").decompress(packed, size), np.uint8)
 
 
-CUT = "key bigint, doc bigint, row bigint, first bigint, strings bigint, bytes binary"
+CUT = "key bigint, anchor bigint, doc bigint, row bigint, first bigint, strings bigint, bytes binary"
 
 
 def _cut(wanted: DataFrame) -> DataFrame:
@@ -228,8 +239,8 @@ def _cut(wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            contexts = [[] for _ in range(6)]
-            strings = [np.zeros((0, 4), np.int64)]
+            contexts = [[] for _ in range(7)]
+            strings = [np.zeros((0, 5), np.int64)]
             for i in range(batch.num_rows):
                 data = _unpack(batch, i)
                 doc, row = (batch.column(c)[i].as_py() for c in ("doc", "row"))
@@ -237,33 +248,37 @@ def _cut(wanted: DataFrame) -> DataFrame:
                 for w in batch.column("wanted")[i].as_py():
                     at, n = w["first"], w["strings"]
                     if w["kind"] == 2:
-                        many.append((at, n))
+                        many.append((at, n, w["anchor"]))
                         continue
                     piece = data[at : at + n + MIN_REPEAT - 1].tobytes()
-                    for c, v in zip(contexts, (w["anchor"], doc, row, at, n, piece)):
+                    values = (w["anchor"], w["anchor"], doc, row, at, n, piece)
+                    for c, v in zip(contexts, values):
                         c.append(v)
                 if many:
-                    at, n = np.array(many).T
+                    at, n, anchor = np.array(many).T
                     places = ragged(at, n)
                     key = Hashes(data).of(places, places + MIN_REPEAT).view(np.int64)
                     same = np.full(len(key), 1)
-                    strings.append(np.column_stack([key, doc * same, row * same, places]))
+                    anchor = np.repeat(anchor, n)
+                    strings.append(
+                        np.column_stack([key, anchor, doc * same, row * same, places])
+                    )
             if contexts[0]:
-                arrays = [pa.array(c, pa.int64()) for c in contexts[:5]]
+                arrays = [pa.array(c, pa.int64()) for c in contexts[:6]]
                 yield pa.RecordBatch.from_arrays(
-                    [*arrays, pa.array(contexts[5], pa.binary())], names=CUT_NAMES
+                    [*arrays, pa.array(contexts[6], pa.binary())], names=CUT_NAMES
                 )
-            key, doc, row, first = np.concatenate(strings).T
+            key, anchor, doc, row, first = np.concatenate(strings).T
             if not len(key):
                 continue
-            order = np.lexsort((first, row, doc, key))
-            key, doc, row, first = (c[order] for c in (key, doc, row, first))
-            again = np.zeros(len(key), bool)
-            again[1:] = key[1:] == key[:-1]
+            order = np.lexsort((first, row, doc, anchor, key))
+            key, anchor, doc, row, first = (c[order] for c in (key, anchor, doc, row, first))
+            again = _as_before(key, anchor)
             # Only those that others may hold go by their hash.
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(again, _elsewhere(row, first), key)),
+                    pa.array(anchor),
                     pa.array(doc),
                     pa.array(row),
                     pa.array(first),
@@ -276,7 +291,15 @@ def _cut(wanted: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, CUT)
 
 
-CUT_NAMES = ["key", "doc", "row", "first", "strings", "bytes"]
+CUT_NAMES = ["key", "anchor", "doc", "row", "first", "strings", "bytes"]
+
+
+def _as_before(key, anchor):
+    """Strings that are the same as the one before: equal in their own hash and
+    in their anchor's, 64 and 63 bits."""
+    again = np.zeros(len(key), bool)
+    again[1:] = (key[1:] == key[:-1]) & (anchor[1:] == anchor[:-1])
+    return again
 
 
 def _elsewhere(row, first):
@@ -382,13 +405,12 @@ def _redundant(cut: DataFrame) -> DataFrame:
     def run(batches):
         for table, starts in whole_runs(batches, ["key"]):
             plain = table.column("bytes").is_null().to_numpy(zero_copy_only=False)
-            key, doc, row, first, strings = (
-                table.column(c).to_numpy() for c in CUT_NAMES[:5]
+            key, anchor, doc, row, first, strings = (
+                table.column(c).to_numpy() for c in CUT_NAMES[:6]
             )
             live = plain & (strings > 0)
-            order = np.lexsort((first, row, doc, key, ~live))[: int(live.sum())]
-            again = np.zeros(len(order), bool)
-            again[1:] = key[order][1:] == key[order][:-1]
+            order = np.lexsort((first, row, doc, anchor, key, ~live))[: int(live.sum())]
+            again = _as_before(key[order], anchor[order])
             gone = np.concatenate([np.flatnonzero(plain & (strings < 0)), order[again]])
             if len(gone):
                 yield _span_batch(*_united(row[gone], first[gone], first[gone]))
@@ -420,29 +442,30 @@ def _span_batch(row, first, last):
     )
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a number for each row: its place in the table."""
-    return docs.select(
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """(doc, row, packed, size): the documents with a number for each row, its
+    place in the table. Written once (stages data): a number taken anew by each
+    job would follow how that job happens to cut the table."""
+    numbered = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
         F.monotonically_increasing_id().alias("row"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
+    return staged(_packed(numbered), "texts")
 
 
-def redundant_strings(docs: DataFrame) -> DataFrame:
-    """(row, first, last) of the documents as ``_numbered``: the MIN_REPEAT-byte
-    strings that begin from byte ``first`` to byte ``last`` of the row's text
-    also begin earlier (stages data)."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = _numbered(docs)
-    met = staged(_met(_anchors(numbered, parts)), "anchors")
+def redundant_strings(texts: DataFrame) -> DataFrame:
+    """(row, first, last) of ``numbered_texts``: the MIN_REPEAT-byte strings that
+    begin from byte ``first`` to byte ``last`` of the row's text also begin
+    earlier (stages data). Anchors meet in parts, so many that a part holds those
+    of about PART_BYTES of text."""
+    total = texts.agg(F.sum("size")).first()[0] or 0
+    met = staged(_met(_anchors(texts, max(1, -(-total // PART_BYTES)))), "anchors")
     wanted = (
         met.filter("kind > 0")
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "anchor", "first", "strings")).alias("wanted"))
     )
-    texts = _packed(numbered)
     cut = _cut(texts.join(wanted, "row"))
     compared = _redundant(cut.repartition("key").sortWithinPartitions("key"))
     known = met.filter("kind = 0").select(
@@ -464,12 +487,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     equal ids are documents of their own, in the table's order; a missing id
     comes after all others. No rows give no rows.
     """
+    texts = numbered_texts(docs)
     spans = (
-        redundant_strings(docs)
+        redundant_strings(texts)
         .groupBy("row")
         .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     )
-    joined = _packed(_numbered(docs)).join(spans, "row", "left")
+    joined = texts.join(spans, "row", "left")
 
     def run(batches):
         for batch in batches:

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
+from dialtrail.llm import jaccard
 from dialtrail.llm.jaccard import Rule
 from dialtrail.llm.mixing import mix
 from dialtrail.llm.surrogates import DEFAULT_KEY, Surrogates, rewritten
-from tests.llm.helpers import DOCS, SAMPLE, awkward, docs_of, empty
+from tests.llm.helpers import DOCS, SAMPLE, awkward, changing_parallelism, docs_of, empty
 from tests.llm.test_jaccard import brute as brute_links
 from tests.llm.test_packing import check as check_packing
 
@@ -61,6 +62,13 @@ def test_one_of_each_group_stays(stages):
     assert left == kept_by_brute_force(given) and len(left) < len(given)
 
 
+def test_parallelism_that_changes_changes_nothing(spark, stages):
+    docs, kept = stages["near_copies"]
+    with changing_parallelism(spark, pipeline, jaccard):
+        again = Counter(rows(pipeline.drop_near_copies(spark, docs, SAMPLE), "doc_id"))
+    assert again == Counter(rows(kept, "doc_id"))
+
+
 def test_personal_data_goes(stages):
     docs, kept = stages["personal_data"]
     surrogates = Surrogates(DEFAULT_KEY)

@@ -6,7 +6,7 @@ import pytest
 
 from dialtrail.llm import repeats
 from dialtrail.llm.repeats import maximal_repeats, without_repeats
-from tests.llm.helpers import awkward, docs_of, empty
+from tests.llm.helpers import SAMPLE, awkward, changing_parallelism, docs_of, empty
 
 
 def brute(rows):
@@ -66,6 +66,17 @@ def test_whole_table(spark):
     assert sum(f[2] for f in found) > 0
 
 
+def test_parallelism_that_changes_changes_nothing(spark):
+    docs = spark.read.parquet(f"{SAMPLE}/documents.parquet")
+    before = sorted(map(tuple, without_repeats(docs).collect()))
+    with changing_parallelism(spark, repeats):
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        result = without_repeats(docs)
+        after = sorted(map(tuple, result.collect()))
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert before == after
+
+
 def test_ids_rule_the_order(spark):
     text = "".join(random.Random(1).choices("abcdefghijk", k=300))
     docs = docs_of(spark, [text] * 3).selectExpr("3 - doc_id AS doc_id", "text")
