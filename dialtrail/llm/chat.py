@@ -5,10 +5,12 @@ texts are escaped by one more backslash after their first character, which is
 taken off again when read. Prefix sums of the turns' tokens choose the windows:
 the room that the system turn and the repeated history leave is the stride, a
 turn that lies within one stride joins that stride's window, and a turn that
-crosses the edge of a stride has a window of its own. So a window keeps to its
-budget unless a single turn is larger. Each window repeats the system turn and
-as many of the turns just before it as fit into the history's tokens; the loss
-mask covers an assistant's text only where it is new.
+crosses the edge of a stride has a window of its own. Each window after the
+system turn repeats that, whatever its length, and as many of the turns just
+before the window as fit into the history's tokens and into what is left of the
+budget. So a window keeps to its budget unless one new turn, with the system
+turn, is larger; such a turn is alone with that. The loss mask covers an
+assistant's text only where it is new.
 
 All of it is DataFrame functions. Prefix sums are taken within blocks of turns
 and over the sums of blocks, so a long conversation is not one task's work.
@@ -21,7 +23,6 @@ from dialtrail.operators.staging import staged
 
 BUDGET = 512
 HISTORY = 96
-MOST_SYSTEM = 160  # tokens of a system turn that is repeated; a longer one is not
 TURN_TOKENS = 4  # for the marks around a turn
 BLOCK_TURNS = 256
 SYSTEM, ASSISTANT = "system", "assistant"
@@ -83,20 +84,21 @@ def format_windows(
     conversations: DataFrame,
     budget: int = BUDGET,
     history: int = HISTORY,
-    most_system: int = MOST_SYSTEM,
     token_count=token_count,
 ) -> DataFrame:
     """One row per window (stages data): conv_id, window (in order), formatted, loss_spans
     (start and length in code points), repeated (turns at its head that an
     earlier window had as new) and tokens.
 
+    A conversation's system turn is the first of its turns with that role,
+    wherever it stands; later ones are turns like others.
     Takes conv_id, turn, role and text; a null role or text is empty, turns with
     a null number come first, and equal numbers go by role, then text. Equal
     rows are turns of their own. A null conv_id is a conversation of its own. No
     rows give no windows. Text of a window must fit into one value.
     """
-    if not 0 <= history + most_system < budget:
-        raise ValueError("history and system turn leave no room in the budget")
+    if not 0 <= history < budget:
+        raise ValueError("history leaves no room in the budget")
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     turns = conversations.select(
         F.col("conv_id").alias("_conv"),
@@ -110,16 +112,19 @@ def format_windows(
     # Three uses follow; the texts are numbered once.
     placed = staged(_prefix_sums(turns), "turns")
     system = (
-        placed.filter((F.col("_number") == 0) & (F.col("_role") == SYSTEM))
-        .filter(F.col("_tokens") <= most_system)
+        placed.filter(F.col("_role") == SYSTEM)
+        .groupBy(F.col("_conv").alias("_c"))
+        .agg(F.min(F.struct("_number", "_begin", "_tokens", "_text")).alias("_first"))
         .select(
-            F.col("_conv").alias("_c"),
-            F.col("_role").alias("_system_role"),
-            F.col("_text").alias("_system_text"),
-            F.col("_tokens").alias("_system"),
+            "_c",
+            F.col("_first._number").alias("_system_number"),
+            F.col("_first._begin").alias("_system_begin"),
+            F.col("_first._text").alias("_system_text"),
+            F.col("_first._tokens").alias("_system"),
         )
     )
-    stride = F.lit(budget - history) - F.coalesce("_system", F.lit(0))
+    # Where the system turn leaves no room, each turn is a window.
+    stride = F.greatest(F.lit(1), F.lit(budget - history) - F.coalesce("_system", F.lit(0)))
     first, last = F.col("_begin"), F.col("_begin") + F.col("_tokens") - 1
     number = F.floor(first / F.col("_stride"))
     crossing = (number != F.floor(last / F.col("_stride"))).cast("bigint")
@@ -137,19 +142,21 @@ def format_windows(
         F.sort_array(F.collect_list(turn(True))).alias("_own"),
         F.min("_begin").alias("_start"),
         F.sum("_tokens").alias("_tokens"),
-        F.first("_system").alias("_system"),
-        F.first("_system_role").alias("_system_role"),
+        *[F.first(c).alias(c) for c in ("_system", "_system_number", "_system_begin")],
         F.first("_system_text").alias("_system_text"),
-    )
-    # A turn that ends by a window's start and begins no more than ``history``
-    # tokens before it is repeated there. Both sides meet in bins of that width.
+    ).withColumn("_has_system", F.coalesce(F.col("_start") > F.col("_system_begin"), F.lit(False)))
+    # A turn that ends by a window's start and begins no more than the tokens for
+    # history before it is repeated there. Both sides meet in bins of that width.
+    repeated_system = F.when(F.col("_has_system"), F.col("_system")).otherwise(0)
+    room = F.greatest(F.lit(0), F.lit(budget) - F.col("_tokens") - repeated_system)
     width = max(1, history)
     starts = windows.select(
         F.col("_conv").alias("_c"),
         F.col("window").alias("_w"),
         F.col("_start"),
         F.floor(F.col("_start") / width).alias("_bin"),
-        F.col("_system").isNotNull().alias("_has_system"),
+        F.least(F.lit(history), room).alias("_room"),
+        F.when(F.col("_has_system"), F.col("_system_number")).alias("_but"),
     )
     ends = F.col("_begin") + F.col("_tokens")
     recent = placed.filter(F.col("_tokens") <= history).select(
@@ -168,8 +175,8 @@ def format_windows(
         F.col("_conv").eqNullSafe(F.col("_c"))
         & (F.col("_at") == F.col("_bin"))
         & (F.col("_end") <= F.col("_start"))
-        & (F.col("_begin") + history >= F.col("_start"))
-        & ~((F.col("_number") == 0) & F.col("_has_system"))
+        & (F.col("_begin") + F.col("_room") >= F.col("_start"))
+        & ~F.col("_number").eqNullSafe(F.col("_but"))
     )
     context = (
         recent.join(starts, meets)
@@ -182,11 +189,11 @@ def format_windows(
     same = F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("window") == F.col("_w"))
     joined = windows.join(context, same, "left").drop("_c", "_w")
     head = F.when(
-        F.col("_system").isNotNull() & (F.col("_start") > 0),
+        F.col("_has_system"),
         F.array(
             F.struct(
-                F.lit(0).cast("bigint").alias("_number"),
-                F.col("_system_role").alias("_role"),
+                F.col("_system_number").alias("_number"),
+                F.lit(SYSTEM).alias("_role"),
                 F.col("_system_text").alias("_text"),
                 F.lit(False).alias("_new"),
             )
@@ -207,7 +214,6 @@ def format_windows(
             (t["_new"] & (t["_role"] == ASSISTANT)).alias("learn"),
         ),
     )
-    repeated_system = F.when(F.col("_start") > 0, F.coalesce("_system", F.lit(0))).otherwise(0)
     rows = joined.select(
         F.col("_conv").alias("conv_id"),
         "window",
@@ -352,28 +358,35 @@ placed as (
   select *, cast(sum(tokens) over (partition by conv_id order by n) as bigint) as past
   from turns),
 systems as (
-  select conv_id as c, tokens as system_tokens, chars as system_chars
-  from placed where n = 0 and role = 'system' and tokens <= 160),
+  select conv_id as c, tokens as system_tokens, chars as system_chars, n as system_n,
+    past - tokens as system_began
+  from placed where role = 'system'
+  qualify row_number() over (partition by conv_id order by n) = 1),
 strides as (
-  select *, past - tokens as began, 416 - coalesce(system_tokens, 0) as stride
+  select *, past - tokens as began, greatest(1, 416 - coalesce(system_tokens, 0)) as stride
   from placed left join systems on conv_id is not distinct from c),
 chosen as (
   select *, 2 * (began // stride)
     + case when began // stride <> (past - 1) // stride then 1 else 0 end as w
   from strides),
 windows as (
-  select conv_id, w, min(began) as start, any_value(system_chars) as system_chars,
-    sum(chars) as own_chars
+  select conv_id, w, min(began) as start, sum(chars) as own_chars, sum(tokens) as own_tokens,
+    case when min(began) > any_value(system_began) then any_value(system_chars) end as head_chars,
+    case when min(began) > any_value(system_began) then any_value(system_n) end as head_n,
+    case when min(began) > any_value(system_began) then any_value(system_tokens) end
+      as head_tokens
   from chosen group by conv_id, w),
 repeats as (
   select windows.conv_id as rc, windows.w as rw, sum(chosen.chars) as repeated_chars
   from windows join chosen on windows.conv_id is not distinct from chosen.conv_id
-    and chosen.past <= windows.start and chosen.began + 96 >= windows.start
-    and not (chosen.n = 0 and chosen.system_tokens is not null)
+    and chosen.past <= windows.start
+    and windows.start - chosen.began
+      <= least(96, greatest(0, 512 - own_tokens - coalesce(head_tokens, 0)))
+    and chosen.n is distinct from windows.head_n
   group by 1, 2),
 sizes as (
   select conv_id as zc, cast(sum(own_chars + coalesce(repeated_chars, 0)
-    + case when start > 0 then coalesce(system_chars, 0) else 0 end) as bigint)
+    + coalesce(head_chars, 0)) as bigint)
     as formatted_chars
   from windows left join repeats on conv_id is not distinct from rc and w = rw
   group by conv_id),

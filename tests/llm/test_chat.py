@@ -1,9 +1,11 @@
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import duckdb
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from dialtrail.llm import chat
@@ -57,31 +59,95 @@ def test_empty_table_keeps_the_probe(spark):
     assert [(r.conv_id, r.n_turns, r.loss_chars) for r in result] == [(-1, 2, 21)]
 
 
-def test_windows_by_hand(spark):
-    rows = random_rows(7)
-    windows = chat.format_windows(table(spark, rows), 300, 60, 50).collect()
-    back = chat.read_back(chat.format_windows(table(spark, rows), 300, 60, 50)).collect()
+def tokens_of(text):
+    plain = r"[\p{L}\p{M}]{1,6}|\p{N}{1,3}|[^ \t\n\x0B\f\r\p{L}\p{M}\p{N}]"
+    return 4 + len(regex.findall(plain, text))
+
+
+def long_turns(seed):
+    """Turns between the stride and the budget, beyond it, and system turns of
+    any length anywhere."""
+    rng, rows = random.Random(seed), []
+    for c in range(12):
+        system = rng.choice([None, 0, 0, 3, 7])
+        for t in range(25):
+            n = rng.choice([3, 20, 60, 110, 175, 190, 230, 240, 270, 296, 297, 400])
+            role = "system" if t == system else rng.choice(["user", "assistant", "system"][: 2 + c % 2])
+            rows.append((c, t, role, "ab " * (n - 4 if n > 4 else 1)))
+    return rows
+
+
+@pytest.mark.parametrize("seed,rows_of", [(7, random_rows), (1, long_turns), (2, long_turns)])
+def test_windows_by_hand(spark, seed, rows_of):
+    budget, history = 300, 60
+    rows = rows_of(seed)
+    formatted = chat.format_windows(table(spark, rows), budget, history)
+    windows = formatted.collect()
+    back = {(r.conv_id, r.window): r for r in chat.read_back(formatted).collect()}
     turns = defaultdict(list)
     for c, t, role, text in rows:
         turns[c].append((t is not None, t or 0, role or "", text or ""))
     said = defaultdict(list)
-    for r in sorted(back, key=lambda r: r.window):
-        said[r.conv_id] += [(t.role, t.text) for t in r.turns]
+    for key in sorted(back, key=lambda k: k[1]):
+        said[key[0]] += [(t.role, t.text) for t in back[key].turns]
     assert said == {c: [x[2:] for x in sorted(v)] for c, v in turns.items()}
-    for w in windows:
-        n_new = w.formatted.count("</s>") - w.repeated
-        assert n_new >= 1
-        assert w.tokens <= 300 or n_new == 1
-        if w.repeated and (w.conv_id and turns[w.conv_id] and sorted(turns[w.conv_id])[0][2] == "system"):
-            first = w.formatted.split("</s>")[0]
-            system = sorted(turns[w.conv_id])[0]
-            if len(system[3]) < 40:
-                assert first.startswith("[TURN]system[/TURN]")
+    seen, n_heads = defaultdict(int), 0
+    for w in sorted(windows, key=lambda w: w.window):
+        own = [(t.role, t.text) for t in back[w.conv_id, w.window].turns]
+        before = said[w.conv_id][: seen[w.conv_id]]
+        seen[w.conv_id] += len(own)
+        system = next((t for t in before if t[0] == "system"), None)
+        new = sum(tokens_of(text) for _, text in own)
+        head = tokens_of(system[1]) if system else 0
+        # The budget holds unless one turn, with the system turn, is larger.
+        assert w.tokens <= budget or (len(own) == 1 and new + head > budget)
+        room = min(history, max(0, budget - new - head))
+        repeated, at = [], len(before)
+        while at and sum(tokens_of(t[1]) for t in before[at - 1 :]) <= room:
+            at -= 1
+        repeated = [t for i, t in enumerate(before) if i >= at and i != (before.index(system) if system else -1)]
+        whole = ([system] if system else []) + repeated + own
+        n_heads += bool(system)
+        pieces = w.formatted.split("</s>")[:-1]
+        texts = [chat_text(p) for p in pieces]
+        assert texts == [t[1] for t in whole] and w.repeated == len(whole) - len(own)
+        assert w.tokens == sum(tokens_of(t[1]) for t in whole)
+    assert n_heads > 20
+
+
+def chat_text(piece):
+    body = piece.split("[/TURN]", 1)[1]
+    return re.sub(chat._UNESCAPE, r"\1\2\3", body)
+
+
+def test_system_turns_are_retained(spark):
+    """Of any length and wherever they stand."""
+    long_system = "rule " * 700
+    rows = [(1, 0, "system", long_system)] + [(1, t, "user", "hello " * 90) for t in range(1, 9)]
+    rows += [(2, t, "system" if t == 2 else "user", "hello " * 90) for t in range(9)]
+    windows = chat.format_windows(table(spark, rows)).orderBy("conv_id", "window").collect()
+    heads = [(w.conv_id, w.formatted.startswith("[TURN]system")) for w in windows]
+    assert heads.count((1, True)) == 9
+    assert [h for c, h in heads if c == 2][0] is False and heads.count((2, True)) >= 1
+    against_sql(spark, table(spark, rows))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_long_turns_as_sql(spark, seed):
+    against_sql(spark, table(spark, long_turns(seed)))
+
+
+def test_clashing_columns(spark):
+    rows = random_rows(4)
+    names = ["_conv", "_turn", "_tokens", "_copy", "_block", "_text", "_role", "tokens", "_c"]
+    clashing = table(spark, rows).selectExpr("*", *[f"'x' AS `{n}`" for n in names])
+    against_sql(spark, clashing)
 
 
 def test_budget_must_leave_room(spark):
-    with pytest.raises(ValueError):
-        chat.format_windows(table(spark, []), 100, 60, 50)
+    for history in (100, -1):
+        with pytest.raises(ValueError):
+            chat.format_windows(table(spark, []), 100, history)
 
 
 def test_mask_marks_each_assistant_text_once(spark):
