@@ -24,8 +24,11 @@ def stage_scores(spark: SparkSession) -> DataFrame:
 
 
 def scored_calls(df: DataFrame) -> DataFrame:
-    """Add the score of ``status``; statuses without one score 0."""
-    scores = F.broadcast(stage_scores(df.sparkSession))  # 30 fixed rows
+    """Add the score of ``status``; statuses without one score 0. A collated
+    status is looked up by its collation."""
+    status = F.col("status").cast(df.schema["status"].dataType)
+    listed = stage_scores(df.sparkSession).withColumn("status", status)
+    scores = F.broadcast(listed)  # 30 fixed rows
     joined = df.join(scores, "status", "left")
     score = F.coalesce("score", F.lit(V.UNLISTED_SCORE))
     return joined.select(*df.columns, score.alias("score"))

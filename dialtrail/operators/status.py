@@ -35,7 +35,7 @@ def max_call_dates(leads: DataFrame, calls: DataFrame) -> DataFrame:
         .groupBy(F.col("phone_number_dialed").alias("phone"))
         .agg(F.max("call_date").alias("max_call_date"))
     )
-    return latest.join(_known_phones(leads), "phone").select(
+    return _known_phones(leads).join(latest, "phone").select(
         F.col("phone").alias("phone_number_dialed"), "max_call_date"
     )
 
@@ -61,7 +61,7 @@ def counted_last_status(
     if hot is None:
         hot = hot_phones(calls, "phone_number_dialed")
     latest = roll_up_by_phone(calls, "phone", _newest, hot, _dated_calls)
-    return latest.join(_known_phones(leads), "phone").select(
+    return _known_phones(leads).join(latest, "phone").select(
         "phone",
         F.col("call_date").alias("max_call_date"),
         F.col("status").alias("last_call_status"),

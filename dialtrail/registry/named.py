@@ -5,12 +5,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialtrail.operators import activity, calls, frequent, leads, score, status, summary
+from dialtrail.operators import (
+    activity,
+    calls,
+    collated,
+    frequent,
+    leads,
+    score,
+    status,
+    summary,
+)
 from dialtrail.operators.lanes import hot_phones
 from dialtrail.operators.staging import fresh_path, staged
 from dialtrail.plans import pages, publish, report, resume, rollup, snapshot
 from dialtrail.schema import REPORT_COLUMNS
-from dialtrail.sources import call_store, versions
+from dialtrail.sources import call_store, key_ranges, rejects, versions
 from dialtrail.sources import sample_tables as samples
 from dialtrail.sources.tables import load_leads
 
@@ -23,6 +32,9 @@ MAPPINGS = {
     "_shared": (samples.shared_leads, samples.shared_calls),
     "_dated": (samples.dated_leads, samples.sample_calls),
     "_prices": (samples.order_prices, samples.sample_calls),
+    "_cased": (samples.cased_leads, samples.cased_calls),
+    "_padded": (samples.cased_leads, samples.padded_calls),
+    "_accented": (samples.sample_leads, samples.accented_calls),
 }
 
 PAGE = {"limit": 500, "offset": 400}
@@ -33,6 +45,8 @@ SAMPLE_HOT_CALLS = 1_000
 SAMPLE_BUCKETS = 4
 SAMPLE_FILE_ROWS = 100
 PAGE_PHONE = "9000000700"
+SAMPLE_RANGES = 8
+SAMPLE_BYTES = 30
 
 
 def _activity_part(*columns):
@@ -176,6 +190,42 @@ def _frequent(operator):
     return run
 
 
+def _collated(operator):
+    """The operator by a collation that looks neither at case nor at spaces behind."""
+    rule = "UTF8_LCASE_RTRIM"
+
+    def run(lb, ch):
+        result = operator(collated.collated_leads(lb, rule), collated.collated_calls(ch, rule))
+        return collated.plain_text(result)
+
+    return run
+
+
+def _by_ranges(lb, ch):
+    bounds = key_ranges.range_bounds(ch, call_store.PHONE, SAMPLE_RANGES, sampled=1)
+    return key_ranges.read_by_ranges(ch, key_ranges.range_predicates(call_store.PHONE, bounds))
+
+
+def _lines_with_faults(ch):
+    """The calls as CSV lines: a cell too many, or a date that is none, for some."""
+    phone = F.col(call_store.PHONE)
+    date = F.when(phone.endswith("4"), "soon").otherwise(F.col("call_date").cast("string"))
+    cells = [F.coalesce(date if c == "call_date" else c, F.lit("")) for c in ch.columns]
+    line = F.concat(F.concat_ws(",", *cells), F.when(phone.endswith("7"), ",more").otherwise(""))
+    path = fresh_path(ch.sparkSession, "lines")
+    header = ch.sparkSession.sql("SELECT :names line", {"names": ",".join(ch.columns)})
+    header.unionByName(ch.select(line.alias("line"))).write.text(path)
+    return path
+
+
+def _accepted(part):
+    return lambda lb, ch: rejects.calls_and_rejects(lb.sparkSession, _lines_with_faults(ch))[part]
+
+
+def _bounded(lb, ch):
+    return summary.status_summary(lb, ch, most_bytes=SAMPLE_BYTES)
+
+
 def _hot(operator):
     """The operator with the hottest sample phones in their own lane."""
 
@@ -249,6 +299,12 @@ OPERATORS = {
     "status_summary_stored": (_stored(summary.status_summary), ["", "_shared"]),
     "lead_report_stored": (_stored(report.lead_report), ["", "_events", "_shared"]),
     "lead_report_kept": (_kept, ["", "_events", "_shared"]),
+    "lead_report_collated": (_collated(report.lead_report), ["_cased", "_padded"]),
+    "last_call_status_collated": (_collated(status.last_call_status), ["_cased", "_padded"]),
+    "call_history_by_ranges": (_by_ranges, ["", "_shared"]),
+    "call_history_accepted": (_accepted(0), [""]),
+    "call_rejects": (_accepted(1), [""]),
+    "status_summary_bounded": (_bounded, ["_accented", "_shared"]),
     "report_snapshot_replaced": (_snapshot_replaced, [""]),
     "report_snapshot_kept": (_snapshot_kept, [""]),
     "publish_resumed": (_resumed, ["", "_shared"]),

@@ -98,12 +98,34 @@ PRICES = """
               when 2 then 'NaN'::double when 3 then null else o_orderkey % 1000 / 4 end as price
   from orders"""
 
+# By the collation the sample's texts are what their capitals without spaces
+# behind are; the spelling shown is the first one, which only ZZUNK has otherwise.
+CASED_LEADS = f"""
+  select * replace (case when cast(substr(lead_id, 2) as int) % 50 = 7
+                         then concat('TEL', lpad(cast(9000000000 + cast(substr(lead_id, 2) as int)
+                                                      - 1 as varchar), 10, '0'))
+                         else concat('TEL', phone) end as phone)
+  from ({_leads(_phone("c_custkey"))})"""
+
+CASED_CALLS = f"""
+  select * replace (concat('TEL', phone_number_dialed) as phone_number_dialed,
+                    case status when 'ZZUNK' then 'Zzunk' else status end as status)
+  from ({ORDERS_CALLS})"""
+
+ACCENTED_CALLS = f"""
+  select * replace (concat('Ü', status, '€') as status)
+  from ({ORDERS_CALLS}) where status is not null
+  union all select * from ({ORDERS_CALLS}) where status is null"""
+
 TABLES = {
     "": (_leads(_phone("c_custkey")), ORDERS_CALLS),
     "_events": (_leads(_phone("c_custkey")), EVENTS_CALLS),
     "_shared": (_leads(SHARED_PHONE), SHARED_CALLS),
     "_dated": (DATED_LEADS, ORDERS_CALLS),
     "_prices": (PRICES, ORDERS_CALLS),
+    "_cased": (CASED_LEADS, CASED_CALLS),
+    "_padded": (CASED_LEADS, CASED_CALLS),
+    "_accented": (_leads(_phone("c_custkey")), ACCENTED_CALLS),
 }
 
 # Fixed values, written out here so that a wrong one in the engine shows.
@@ -254,6 +276,23 @@ from lead_bank""",
     "status_summary_stored": "select * from summary",
     "lead_report_stored": "select * from report",
     "lead_report_kept": "select * from report",
+    "lead_report_collated": "select * from report",
+    "last_call_status_collated": "select * from last_status",
+    "call_history_by_ranges": "select * from call_history",
+    "call_history_accepted": """select * replace (nullif(status, '') as status) from call_history
+where phone_number_dialed not like '%7' and phone_number_dialed not like '%4'""",
+    "call_rejects": """select concat_ws(',', phone_number_dialed,
+         case when phone_number_dialed like '%4' then 'soon' else cast(call_date as varchar) end,
+         coalesce(campaign_id, ''), coalesce(status, ''), coalesce(dialstatus, ''))
+       || case when phone_number_dialed like '%7' then ',more' else '' end as line,
+       case when phone_number_dialed like '%7' then 'cells' else 'call_date' end as reason
+from call_history
+where phone_number_dialed like '%7' or phone_number_dialed like '%4'""",
+    "status_summary_bounded": """select phone_number_dialed,
+       left(status_summary, list_max(list_filter(range(0, length(status_summary) + 1),
+         lambda k: strlen(left(status_summary, k)) <= 30))) as status_summary,
+       coalesce(strlen(status_summary) > 30, false) as summary_cut
+from summary""",
     "report_snapshot_replaced": "select * from report",
     "report_snapshot_kept": "select * from report",
     "publish_resumed": _batches(500),

@@ -170,6 +170,56 @@ def sample_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cased_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phones that begin with letters. Some leads share the phone of the one
+    before, spelt otherwise."""
+    key = F.col("c_custkey")
+    shared = F.concat(F.lit("Tel"), _phone("c_custkey - 1"))
+    phone = F.when(key % 50 == 7, shared).otherwise(F.concat(F.lit("TEL"), _phone("c_custkey")))
+    return _leads(spark, sf_dir, phone)
+
+
+def cased_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts in capitals, small letters and both; one status never in capitals."""
+    calls = sample_calls(spark, sf_dir)
+    turn = F.dayofyear("call_date")
+
+    def spelt(name, by):
+        text = F.when(turn % by == 0, F.lower(name)).when(turn % by == 1, F.initcap(name))
+        return F.coalesce(text, F.col(name))
+
+    never = F.col("status") == "ZZUNK"
+    return conform(
+        calls.withColumns(
+            {
+                "phone_number_dialed": F.concat(
+                    F.when(turn % 2 == 0, "tel").otherwise("TEL"), "phone_number_dialed"
+                ),
+                "status": F.when(never & (turn % 3 > 0), F.initcap("status"))
+                .when(never, F.lower("status"))
+                .otherwise(spelt("status", 3)),
+                "campaign_id": spelt("campaign_id", 4),
+                "dialstatus": spelt("dialstatus", 5),
+            }
+        ),
+        CALL_HISTORY,
+    )
+
+
+def padded_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with up to two spaces behind the texts."""
+    calls = cased_calls(spark, sf_dir)
+    spaces = F.repeat(F.lit(" "), F.month("call_date") % 3)
+    names = [f.name for f in CALL_HISTORY.fields if f.name != "call_date"]
+    return conform(calls.withColumns({c: F.concat(c, spaces) for c in names}), CALL_HISTORY)
+
+
+def accented_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses with letters of two and three bytes."""
+    calls = sample_calls(spark, sf_dir)
+    return calls.withColumn("status", F.concat(F.lit("Ü"), "status", F.lit("€")))
+
+
 CAMPAIGN_BY_EVENT_MOD_4 = {0: "SALES_OUTBND", 1: "CARE_INB", 2: "RETBND"}
 
 STATUS_BY_EVENT_TYPE = {

@@ -8,6 +8,7 @@ schema; their columns are found by name, and what does not fit is an error.
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialtrail.schema import CALL_HISTORY, LEAD_BANK
@@ -27,13 +28,13 @@ def load_leads(
     spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = False
 ) -> DataFrame:
     """``multi_line`` is for CSV with line ends inside quotes (see ``_read_csv``)."""
-    return conform(_read_files(spark, path, fmt, multi_line), LEAD_BANK)
+    return conform(_read_files(spark, path, fmt, multi_line, LEAD_BANK), LEAD_BANK)
 
 
 def load_calls(
     spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = False
 ) -> DataFrame:
-    return conform(_read_files(spark, path, fmt, multi_line), CALL_HISTORY)
+    return conform(_read_files(spark, path, fmt, multi_line, CALL_HISTORY), CALL_HISTORY)
 
 
 def leads_table(spark: SparkSession, table: str = "lead_bank") -> DataFrame:
@@ -44,12 +45,23 @@ def calls_table(spark: SparkSession, table: str = "call_history") -> DataFrame:
     return conform(spark.table(table), CALL_HISTORY)
 
 
-def _read_files(spark, path, fmt, multi_line):
+def _read_json(spark, path, schema):
+    """JSON lines with the fields of ``schema`` as text. A column that no record
+    has is an error: usually the first record has them all; only where nulls are
+    left out of it are all records looked at for their names."""
+    options = {"primitivesAsString": True, "mode": "FAILFAST"}
+    first = spark.read.text(path).select(F.json_object_keys("value").alias("names")).first()
+    if first is None or not set(schema.fieldNames()) <= set(first.names or []):
+        return spark.read.options(**options).json(path)
+    text = ", ".join(f"`{name}` string" for name in schema.fieldNames())
+    return spark.read.schema(text).options(**options).json(path)
+
+
+def _read_files(spark, path, fmt, multi_line, schema):
     if fmt == "csv":
         return _read_csv(spark, path, multi_line)
     if fmt == "json":
-        # One pass finds the names; a column that no record has is missing.
-        return spark.read.options(primitivesAsString=True, mode="FAILFAST").json(path)
+        return _read_json(spark, path, schema)
     return spark.read.format(fmt).load(path)
 
 

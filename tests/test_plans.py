@@ -18,7 +18,7 @@ SF_DIR = "/root/testdata/sf0.001"
 # These stage data when built, so their plan is only the last step.
 STAGED = re.compile(
     "(paged_union|lead_page|publish_|report_snapshot|lead_bank_from_csv)"
-    "|.*_(stored|kept|frequent)(_events|_shared)?$"
+    "|.*_(stored|kept|frequent|collated|accepted|rejects)(_[a-z]+)?$"
 )
 
 
