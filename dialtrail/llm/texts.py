@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 20
 
+# Batches come and go: what is freed goes back to the system, not to a pool that
+# every worker keeps at its highest mark.
+pa.set_memory_pool(pa.system_memory_pool())
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
