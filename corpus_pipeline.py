@@ -37,11 +37,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     missing ones come last."""
     row = fresh_name(docs.columns, "_row")
     # Written once: numbers taken anew by each job would follow how it cuts the table.
-    packed = pack_texts(docs.withColumn(row, F.monotonically_increasing_id()))
-    numbered = staged(packed, "numbered")
-    texts = unpack_texts(numbered.select(row, "text", numbered.columns[-1]))
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     linked = linked_documents(
-        texts.select(F.col(row).alias("doc_id"), "text"), Rule(words=5, share=80)
+        numbered.select(F.col(row).alias("doc_id"), "text"), Rule(words=5, share=80)
     ).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
     ids = numbered.select(F.col(row).alias("_row"), F.col("doc_id").alias("_id"))
     owned = linked.join(ids, "_row")
@@ -54,7 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         .agg(F.min("_row").alias(row))
         .select(row)
     )
-    kept = numbered.hint("merge").join(rows, row, "left_semi").drop(row)
+    kept = pack_texts(numbered).hint("merge").join(rows, row, "left_semi").drop(row)
     return unpack_texts(kept)
 
 
