@@ -5,9 +5,12 @@ of nearest codes is a vector's cell on the product grid. A vector asks for its
 neighbours in the cells nearest to it, in the order of the multi-sequence
 traversal: by the sum over both halves of the squared distance to the code's
 border, which is what a neighbour must at least have moved to lie there. The
-traversal ends where the target share of neighbours just at the threshold has
-been met, a radius fitted together with the codebooks. Every pair that meets is
-verified by its cosine in double precision.
+traversal ends at the target recall: where the cells' costs, or the number of
+cells visited, reach what the target share of neighbours needs. Both are fitted
+with the codebooks, on neighbours of each kind that data may hold: the true ones
+within the sample, and ones just at the threshold, moved towards other vectors or
+anywhere; the kind that needs most decides. Every pair that meets is verified by
+its cosine in double precision.
 
 Cells are ordered, and a vector asks only cells from its own on, so a pair meets
 at one place. Equal vectors are one from the start, with a count. Large cells
@@ -27,12 +30,17 @@ from dialtrail.operators.staging import staged
 
 THRESHOLD = 0.95
 TARGET_RECALL = 0.98
-# Vectors that codebooks and radius are fitted on; every vector is indexed.
-SAMPLE = 16_384
+# Vectors that codebooks and traversal are fitted on: so many, or SAMPLE_OF_CODE
+# for each code if that is more; every vector is indexed.
+SAMPLE, SAMPLE_OF_CODE = 16_384, 32
 FIT_ROUNDS = 12
 # Codes of a half: a power of two near sqrt(vectors) / 4, so a cell holds some
-# 16 vectors on average; the sample bears no more than the most.
-LEAST_CODES, MOST_CODES = 8, 512
+# 16 vectors on average up to 2 ** 28 vectors, where the sample is 2 ** 17.
+LEAST_CODES, MOST_CODES = 8, 4096
+# Of the sample: vectors whose true neighbours are looked for, pairs of them, and
+# pairs of each kind whose cells are counted.
+COMPARED, PAIRS, RANKED = 4096, 1 << 15, 1024
+FEWEST_PAIRS = 50  # a kind with fewer in the sample tells nothing
 BLOCK_MEMBERS = 2048
 BLOCK_ASKING = 32_768
 
@@ -81,7 +89,8 @@ def _codebook(x: np.ndarray, k: int, rng) -> np.ndarray:
 class Index:
     width: int
     codes: list[np.ndarray]
-    radius: float  # squared; the traversal's last cell
+    radius: float = 0.0  # squared; the costliest cell of a traversal
+    visits: int = 1 << 62  # cells of a traversal
 
     def cells(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """The cell of each vector, and per half the squared distance it must
@@ -97,7 +106,7 @@ class Index:
         return own[0] * len(self.codes[1]) + own[1], costs
 
     def traversal(self, costs: list[np.ndarray], row: int) -> np.ndarray:
-        """Cells in the order of their costs' sum, up to the radius."""
+        """Cells in the order of their costs' sum, as far as the target recall."""
         first, second = costs[0][row], costs[1][row]
         a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
         sorted_b = second[b]
@@ -105,28 +114,69 @@ class Index:
         a, reach = a[reach > 0], reach[reach > 0]
         i = np.repeat(a, reach)
         j = b[np.arange(len(i)) - np.repeat(np.cumsum(reach) - reach, reach)]
-        order = np.argsort(first[i] + second[j], kind="stable")
+        order = np.argsort(first[i] + second[j], kind="stable")[: self.visits]
         return (i * len(self.codes[1]) + j)[order]
 
+    def needed(self, x: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What it takes to reach the cell of ``near[i]`` from ``x[i]``: its cost,
+        and for RANKED of them the number of cells up to it."""
+        cell, _ = self.cells(near)
+        _, costs = self.cells(x)
+        i, j = np.divmod(cell, len(self.codes[1]))
+        rows = np.arange(len(x))
+        cost = costs[0][rows, i] + costs[1][rows, j]
+        visits = []
+        for r in np.linspace(0, len(x) - 1, min(RANKED, len(x))).astype(int):
+            ahead = np.searchsorted(np.sort(costs[1][r]), cost[r] - costs[0][r], side="right")
+            visits.append(int(ahead.sum()))
+        return cost, np.array(visits)
+
+
+def _true_pairs(sample: np.ndarray, threshold: float, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different vectors of the sample at the threshold or nearer."""
+    some = sample[rng.permutation(len(sample))[:COMPARED]]
+    a, b = [np.zeros(0, int)], [np.zeros(0, int)]
+    for at in range(0, len(some), 512):
+        i, j = np.nonzero(some[at : at + 512] @ some.T >= threshold)
+        other = i + at != j
+        a.append(i[other] + at)
+        b.append(j[other])
+    a, b = np.concatenate(a), np.concatenate(b)
+    drawn = rng.permutation(len(a))[:PAIRS]
+    return some[a[drawn]], some[b[drawn]]
+
+
+def _moved(sample: np.ndarray, towards: np.ndarray, threshold: float):
+    """Vectors and their neighbours just at the threshold in a direction; a vector
+    that lies in the direction itself is left out."""
+    aside = towards - (towards * sample).sum(axis=1, keepdims=True) * sample
+    norm = np.linalg.norm(aside, axis=1, keepdims=True)
+    some = norm[:, 0] > 1e-9
+    aside = aside[some] / norm[some]
+    return sample[some], threshold * sample[some] + max(0.0, 1 - threshold**2) ** 0.5 * aside
+
 
 def fit(sample: np.ndarray, k: int, threshold: float, recall: float, seed: int = 5) -> Index:
-    """Codebooks of the sample's halves, and the radius within which ``recall``
-    of neighbours just at the threshold lie: one in a random direction is drawn
-    for each vector of the sample."""
+    """Codebooks of the sample's halves, and where the traversal ends: neighbours
+    of each kind are out of its radius, or behind its last visit, for half of the
+    share that ``recall`` leaves."""
     rng = np.random.default_rng(seed)
     width = sample.shape[1]
     halves = sample[:, : width // 2], sample[:, width // 2 :]
-    index = Index(width, [_codebook(h, k, rng) for h in halves], 0.0)
-    aside = rng.normal(size=sample.shape)
-    aside -= (aside * sample).sum(axis=1, keepdims=True) * sample
-    norm = np.linalg.norm(aside, axis=1, keepdims=True)
-    aside = np.divide(aside, norm, out=np.zeros_like(aside), where=norm > 1e-9)
-    near = threshold * sample + np.sqrt(max(0.0, 1 - threshold**2)) * aside
-    cell, _ = index.cells(near)
-    _, costs = index.cells(sample)
-    i, j = np.divmod(cell, len(index.codes[1]))
-    rows = np.arange(len(sample))
-    index.radius = float(np.quantile(costs[0][rows, i] + costs[1][rows, j], recall)) + 1e-12
+    index = Index(width, [_codebook(h, k, rng) for h in halves])
+    drawn = sample[rng.permutation(len(sample))[:SAMPLE]]
+    kinds = [
+        _moved(drawn, rng.normal(size=drawn.shape), threshold),
+        _moved(drawn, drawn[rng.permutation(len(drawn))], threshold),
+        _true_pairs(sample, threshold, rng),
+    ]
+    radii, visits = [0.0], [1.0]
+    for number, (x, near) in enumerate(kinds):
+        if len(x) and (number == 0 or len(x) >= FEWEST_PAIRS):
+            cost, cells = index.needed(x, near)
+            radii.append(np.quantile(cost, (1 + recall) / 2))
+            visits.append(np.quantile(cells, (1 + recall) / 2))
+    index.radius, index.visits = float(max(radii)) + 1e-12, int(np.ceil(max(visits)))
     return index
 
 
@@ -280,10 +330,11 @@ def near_copies(
     )
     count, width = classes.agg(F.count("*"), F.max(F.size("embedding"))).first()
     width = max(2, width or 2)
+    codes = codes_for(count)
     sample = (
         classes.select("embedding")
         .orderBy(F.xxhash64("embedding"), "embedding")
-        .limit(SAMPLE)
+        .limit(max(SAMPLE, SAMPLE_OF_CODE * codes))
         .toArrow()
     )
     unlinked = rows.select(
@@ -294,7 +345,7 @@ def near_copies(
     )
     if not count:
         return unlinked
-    index = fit(unit_rows(sample.column("embedding"), width), codes_for(count), threshold, recall)
+    index = fit(unit_rows(sample.column("embedding"), width), codes, threshold, recall)
     shared = vectors.sparkSession.sparkContext.broadcast(index)
     places = staged(_places(classes, shared, width), "places")
     keys = ["cell", "members", "asking"]

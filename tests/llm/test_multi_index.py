@@ -59,6 +59,48 @@ def test_recall(spark, noise):
     assert measured(near_copies(table(spark, x)), hit) >= 0.95
 
 
+def of_rank(rng, n, rank, width=64):
+    return unit(rng.normal(size=(n, rank)) @ rng.normal(size=(rank, width)))
+
+
+def segments(rng, n, width=64):
+    """Vectors along lines between a few points."""
+    ends = rng.normal(size=(30, 2, width))
+    line, t = rng.integers(0, 30, n), rng.random((n, 1))
+    return unit(ends[line, 0] * t + ends[line, 1] * (1 - t))
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda rng: of_rank(rng, 3000, 5),
+        lambda rng: of_rank(rng, 3000, 6),
+        lambda rng: segments(rng, 3000),
+        lambda rng: np.concatenate([of_rank(rng, 1500, 5), clustered(rng, 30, 20, 64, 0.028)]),
+        lambda rng: np.concatenate([segments(rng, 600), unit(rng.normal(size=(3000, 64)))]),
+    ],
+    ids=["rank 5", "rank 6", "segments", "rank 5 and clusters", "few segments"],
+)
+def test_recall_on_data_of_low_rank(seed, make):
+    """Pairs that meet by the index, without Spark."""
+    x = make(np.random.default_rng(seed))
+    hit = np.triu(brute_links(x), 1)
+    index = fit(x, codes_for(len(x)), 0.95, 0.98)
+    own, costs = index.cells(x)
+    asked = np.zeros((len(x), len(index.codes[0]) * len(index.codes[1])), bool)
+    for r in range(len(x)):
+        asked[r, index.traversal(costs, r)] = True
+    a, b = np.nonzero(hit)
+    first, second = np.where(own[a] <= own[b], a, b), np.where(own[a] <= own[b], b, a)
+    assert asked[first, own[second]].mean() >= 0.9
+
+
+def test_low_rank_table(spark):
+    x = of_rank(np.random.default_rng(1), 2000, 5)
+    assert measured(near_copies(table(spark, x)), brute_links(x)) >= 0.9
+
+
 def test_sample_tables(spark):
     for sf in ("sf0.01", "sf0.1"):
         vectors = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
@@ -111,4 +153,21 @@ def test_traversal_is_by_cost_and_complete():
         total = costs[0][r][:, None] + costs[1][r]
         cells = index.traversal(costs, r)
         assert (np.diff(total.ravel()[cells]) >= 0).all()
-        assert set(cells) == set(np.flatnonzero(total.ravel() <= index.radius))
+        within = np.flatnonzero(total.ravel() <= index.radius)
+        assert len(cells) == min(len(within), index.visits)
+        dearest = total.ravel()[cells].max()
+        assert set(cells) >= set(np.flatnonzero(total.ravel() < dearest))
+
+
+def test_traversal_stops_at_its_last_visit():
+    rng = np.random.default_rng(6)
+    x = unit(rng.normal(size=(500, 16)))
+    index = fit(x, codes_for(4000), 0.95, 0.98)
+    _, costs = index.cells(x)
+    whole = index.traversal(costs, 3)
+    index.visits = 5
+    assert index.traversal(costs, 3).tolist() == whole[:5].tolist()
+
+
+def test_codes_grow_with_the_vectors():
+    assert [codes_for(n) for n in (10, 10**5, 10**7, 10**8)] == [8, 64, 1024, 2048]
