@@ -2,12 +2,16 @@
 
 A surrogate comes from a keyed permutation of all strings of the entity's own
 format: letters stay letters of their script and sort, digits stay digits,
-punctuation and case stay as they are. A permutation gives different entities of
+punctuation and case stay as they are. Letters of any script are mapped, by
+alphabets read off Unicode's own tables. Gender is kept for the given names of a
+list, which the caller may replace by a larger one; other names are letters of
+the same form and have none. A permutation gives different entities of
 one format different surrogates, and one entity the same surrogate wherever it
 occurs, without any table of entities, so documents are rewritten where they
 lie. Collision checks: a surrogate that is not valid for its type, or that could
 stand for an entity of another list, is permuted again until it is one of its
-own; and no entity is ever its own surrogate. ``shared_surrogates`` counts, over
+own; and no entity with a letter or digit that has others of its sort, as all
+scripts' have, is ever its own surrogate. ``shared_surrogates`` counts, over
 a whole corpus, surrogates that stand for more than one entity.
 """
 
@@ -15,10 +19,13 @@ import hashlib
 import hmac
 import ipaddress
 import re
-from collections.abc import Callable, Iterator
+import unicodedata
+from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,29 +57,42 @@ GIVEN_NAMES = {
     ("f", "cyrillic"): "Анна Мария Ольга Елена Ирина Татьяна Наталья Светлана".split(),
     ("m", "cyrillic"): "Иван Пётр Сергей Андрей Алексей Дмитрий Николай Михаил".split(),
 }
-LISTED = {n.lower() for names in GIVEN_NAMES.values() for n in names}
+# Titles by gender; those of no gender last.
 TITLES = {
     "m": ["Mr", "Herr", "Monsieur", "Señor", "Господин"],
     "f": ["Mrs", "Ms", "Frau", "Madame", "Mme", "Señora", "Госпожа"],
+    "": ["Dr", "Prof", "Professor", "Doctor", "Doktor"],
 }
-GENDER_OF = {t: g for g, titles in TITLES.items() for t in titles}
+GENDER_OF = {s: g for g, titles in TITLES.items() for t in titles for s in (t, t.upper())}
+del GENDER_OF["MS"]  # more often a maker's or a unit's name than a title
 
 _TITLE = "|".join(sorted(GENDER_OF, key=len, reverse=True))
-_CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яёα-ω][^\W\d_]+"
+# A name's word: no small letter first, then letters and their marks, also behind
+# an apostrophe or hyphen. An initial counts as a word.
+_PART = r"(?!\p{Ll})\p{L}[\p{L}\p{M}]*"
+_WORD = rf"(?:\p{{Lu}}\.|(?=\p{{L}}[\p{{L}}\p{{M}}'’-]){_PART}(?:['’-]\p{{L}}[\p{{L}}\p{{M}}]*)*)"
+# Small words within family names, which stay as they are.
+_SMALL_WORD = "(?:von|van|zu|zur|de|der|den|del|della|di|da|dos|du|la|le|al|bin|ibn|ter) "
+_SMALL = f"(?:{_SMALL_WORD}){{0,3}}"
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})"
     r"(?![\w-])",
     "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}"
-    r"(?![\w-])|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])",
+    r"(?![\w-])|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])"
+    r"|(?<![\w.+-])0\d{2,4}[ /-]\d{5,8}(?![\w-])"
+    r"|(?<![\w.+-])[2-9]\d{9}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)",
-    "name": rf"(?<!\w)(?P<title>{_TITLE})(?P<gap>\.? )(?P<words>{_CAPITAL}(?: {_CAPITAL})?)(?!\w)",
+    "ipv6": r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])",
+    "name": rf"(?<!\w)(?P<title>{_TITLE})(?P<gap>\.? )(?P<small>{_SMALL})"
+    rf"(?P<words>(?:\p{{Lu}}\. )*{_WORD}(?: {_SMALL}{_WORD})?)(?!\w)",
 }
 KINDS = list(PATTERNS)
-_KIND = {k: re.compile(p) for k, p in PATTERNS.items() if k != "name"}
-_ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
+_KIND = {k: regex.compile(p) for k, p in PATTERNS.items() if k != "name"}
+_ANY = regex.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
+_NAME_WORD = regex.compile(rf"(?!{_SMALL_WORD})\p{{L}}[\p{{L}}\p{{M}}'’.-]*")
 # Characters of an IBAN by country.
 IBAN_LENGTHS = {
     c[:2]: int(c[2:])
@@ -86,6 +106,61 @@ IBAN_LENGTHS = {
 CUE = rf"[0-9@]|{_TITLE}"
 
 
+def _script(c: str) -> str:
+    """The script as the first word of the character's name tells it."""
+    return unicodedata.name(c, "").split(" ")[0].split("-")[0]
+
+
+def _sort(c: str) -> tuple:
+    """What a letter's surrogates share with it: script, category, and for Latin
+    whether it is written over a vowel."""
+    name = unicodedata.name(c, "")
+    vowel = re.search(r"^LATIN SMALL LETTER (?:DOTLESS )?[AEIOU](?: |$)", name) is not None
+    return _script(c), unicodedata.category(c), vowel
+
+
+def _stays_small(c: str) -> bool:
+    return c.lower() == c and (len(c.upper()) == 1 and c.upper().lower() == c)
+
+
+@lru_cache(maxsize=4096)
+def alphabet_of(c: str) -> str:
+    """The characters that may stand for a small letter or a digit, itself among
+    them: of a listed alphabet; the ten digits of its script; or the letters of
+    its sort in its part of Unicode, else in all of its script, else letters of
+    its category. Anything else stands for itself."""
+    if c in ALPHABET_OF:
+        return ALPHABET_OF[c]
+    if c.isdecimal():
+        return "".join(chr(ord(c) - unicodedata.decimal(c) + i) for i in range(10))
+    if not c.isalpha():
+        return c
+    part = range(ord(c) & ~0x7F, (ord(c) | 0x7F) + 1)
+    everywhere = range(0x80, 0x20000)
+    kind = unicodedata.category
+    rules = [(part, _sort), (everywhere, _sort), (everywhere, _script), (part, kind), (everywhere, kind)]
+    for places, same in rules:
+        letters = (chr(i) for i in places)
+        own = [
+            x
+            for x in letters
+            if x == c
+            or x.isalpha()
+            and x not in ALPHABET_OF
+            and same(x) == same(c)
+            and x.isupper() == c.isupper()  # one capital has no small form of its own
+            and (c.isupper() or (_stays_small(x) == _stays_small(c) and x.lower() == x))
+        ]
+        if len(own) > 1:
+            return "".join(own)
+    return c
+
+
+def small(text: str) -> str:
+    """Lower case, letter by letter; a letter that would become two stays."""
+    return "".join(x if len(x) == 1 else c for c in text for x in [c.lower()])
+
+
 class Permutation:
     """Keyed permutations of 0 .. n - 1, without a fixed point for n > 1."""
 
@@ -126,7 +201,7 @@ class Permutation:
     ) -> str:
         """Another string of the format of ``text``, which is lower case, that
         is ``valid`` as ``text`` must be."""
-        alphabets = [ALPHABET_OF.get(c, c) for c in text]
+        alphabets = [alphabet_of(c) for c in text]
         form = "".join(a[0] for a in alphabets)
         n = 1
         for a in alphabets:
@@ -191,18 +266,20 @@ class Surrogates:
     """Surrogates under one key. Each method takes an entity as it is written
     and returns its surrogate, or None if it is not a valid one of its type."""
 
-    def __init__(self, key: bytes):
+    def __init__(self, key: bytes, given_names: Mapping = GIVEN_NAMES):
         self.permutation = Permutation(key)
+        self.given_names = given_names
+        self.listed = {n.lower() for names in given_names.values() for n in names}
 
     def email(self, text):
-        local, domain = text.lower().split("@")
+        local, domain = small(text).split("@")
         host, top = domain.rsplit(".", 1)
         local = self.permutation.text(local, "local")
         host = self.permutation.text(host, "host")
         return with_case(f"{local}@{host}.{top}", text)
 
     def phone(self, text):
-        code = re.match(r"\+\d{1,3}(?=[ .(-])|", text)[0] or re.match(r"\+\d|", text)[0]
+        code = re.match(r"\+\d{1,3}(?=[ .(-])|", text)[0] or re.match(r"\+\d|0+|", text)[0]
         rest = text[len(code) :]
         if not 7 <= len(only_digits(text)) <= 15:
             return None
@@ -232,6 +309,38 @@ class Surrogates:
             if ip_range(other) == own:
                 return str(ipaddress.ip_address(other))
 
+    def ipv6(self, text):
+        """Its first group and its form stay; case stays too. Names of programs
+        such as a::b have no digit, or few."""
+        try:
+            address = ipaddress.IPv6Address(text)
+        except ValueError:
+            return None
+        first, rest = str(address).split(":", 1)
+        if not first or not re.search("[0-9]", text) or len(re.findall("[0-9a-f]", rest)) < 2:
+            return None  # ::1 is everyone's
+
+        def canonical(digits):
+            left = iter(digits)
+            return first + ":" + re.sub("[0-9a-f]", lambda m: next(left), rest)
+
+        def valid(digits):
+            made = canonical(digits)
+            try:
+                return str(ipaddress.IPv6Address(made)) == made
+            except ValueError:
+                return False
+
+        # Hexadecimal digits are dealt with as letters of one alphabet.
+        digits = re.sub("[^0-9a-f]", "", rest)
+        n, v = 16 ** len(digits), int(digits, 16)
+        tweak = "ipv6|" + first + re.sub("[0-9a-f]", "0", rest)
+        while True:
+            v = self.permutation.of(v, n, tweak)
+            made = f"{v:0{len(digits)}x}"
+            if valid(made):
+                return canonical(made).upper() if text.isupper() else canonical(made)
+
     def iban(self, text):
         plain = text.replace(" ", "")
         if iban_rest(plain) != 1:
@@ -243,22 +352,27 @@ class Surrogates:
 
     def word(self, text, sort):
         """A name outside the lists; it stays outside."""
+        own = small(text)
         unlisted = self.permutation.text(
-            text.lower(), sort, lambda s: text.lower() in LISTED or s not in LISTED
+            own, sort, lambda s: own in self.listed or s not in self.listed
         )
         return with_case(unlisted, text)
 
     def given(self, text, gender):
-        """A listed given name gives one of its own gender and script."""
-        for (g, script), names in GIVEN_NAMES.items():
-            if g == gender and text.capitalize() in names:
+        """A listed given name gives one of its own gender and script; without a
+        gender, of the first list that has it."""
+        for (g, script), names in self.given_names.items():
+            if gender in (g, "") and text.capitalize() in names:
                 at = names.index(text.capitalize())
                 other = names[self.permutation.of(at, len(names), f"given{g}{script}")]
                 return other.upper() if text.isupper() else other
         return self.word(text, f"given{gender}")
 
     def family(self, text):
-        return with_case(self.permutation.text(text.lower(), "family"), text)
+        return with_case(self.permutation.text(small(text), "family"), text)
+
+    def initial(self, text):
+        return with_case(self.permutation.text(small(text[:-1]), "initial"), text) + "."
 
 
 def readings(kind: str, match: str) -> Iterator[str]:
@@ -288,58 +402,73 @@ def valid_entity(text: str, start: int, surrogates: Surrogates):
     return None
 
 
-def rewritten(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
-    """The text with every entity replaced, and what was replaced where.
-
-    A match that is not valid is read again by its prefixes, then from its next
-    character on. Names are found by a title before them; later mentions of the full or the
-    family name within the text get the same surrogate.
-    """
-    out, found, at, names = [], [], 0, {}
-
-    def put(kind, start, end, surrogate):
-        nonlocal at
-        out.extend([text[at:start], surrogate])
-        found.append(
-            {"kind": kind, "start": start, "entity": text[start:end], "surrogate": surrogate}
-        )
+def name_surrogates(words: str, gender: str, surrogates: Surrogates) -> tuple[str, dict]:
+    """The surrogate of a name as it stands after a title, and what its parts are
+    replaced by where they come again alone: the last word is the family name,
+    words before it are given names or initials; small words stay."""
+    spans = [m.span() for m in _NAME_WORD.finditer(words)]
+    out, at, alone = [], 0, {}
+    for i, (start, end) in enumerate(spans):
+        word = words[start:end]
+        if word.endswith("."):
+            new = surrogates.initial(word)
+        elif i == len(spans) - 1:
+            new = alone[word] = surrogates.family(word)
+        else:
+            new = alone[word] = surrogates.given(word, gender)
+        out += [words[at:start], new]
         at = end
+    whole = "".join([*out, words[at:]])
+    return whole, {**alone, words: whole}
+
 
-    scan = 0
+def _titled_and_others(text: str, surrogates: Surrogates) -> tuple[list, dict]:
+    """(kind, start, end, surrogate) of what shows by itself, in order, and the
+    names that may come again without a title."""
+    spans, names, scan = [], {}, 0
     while m := _ANY.search(text, scan):
         if m["name"]:
-            words, new = m["words"].split(" "), []
-            gender = GENDER_OF[m["title"]]
-            if len(words) == 2:
-                new.append(surrogates.given(words[0], gender))
-            new.append(surrogates.family(words[-1]))
-            names[words[-1]] = new[-1]
-            if len(words) == 2:
-                names[m["words"]] = " ".join(new)
-            start, end = m.span("words")
-            put("name", start, end, " ".join(new))
-            scan = end
+            new, alone = name_surrogates(m["words"], GENDER_OF[m["title"]], surrogates)
+            for word, surrogate in alone.items():
+                names.setdefault(word, surrogate)
+            start, scan = m.span("words")
+            spans.append(("name", start, scan, new))
         elif entity := valid_entity(text, m.start(), surrogates):
             kind, scan, surrogate = entity
-            put(kind, m.start(), scan, surrogate)
+            spans.append((kind, m.start(), scan, surrogate))
         else:
             # What is no entity may still hold one.
             scan = m.start() + 1
-    out.append(text[at:])
-    result = "".join(out)
-    if names:
-        titled = re.compile(rf"(?:{_TITLE})\.? \Z")
-        again = "|".join(map(re.escape, sorted(names, key=len, reverse=True)))
-        new_names = set(names.values())
+    return spans, names
 
-        def later(m):
-            # What stands after a title is a surrogate by now.
-            if titled.search(result, max(0, m.start() - 12), m.start()) and m[0] in new_names:
-                return m[0]
-            return names[m[0]]
 
-        result = re.sub(rf"(?<!\w)(?:{again})(?!\w)", later, result)
-    return result, found
+def rewritten(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
+    """The text with every entity replaced, and what was replaced where.
+
+    A match that is not valid is read again by its prefixes, then from its next
+    character on. Names are found by a title before them; other mentions, within
+    the text, of the full, the given or the family name get the same surrogate
+    and count as entities. Single letters are not looked for again.
+    """
+    spans, names = _titled_and_others(text, surrogates)
+    wanted = [word for word in names if len(word) > 1]
+    if wanted:
+        again = "|".join(map(re.escape, sorted(wanted, key=len, reverse=True)))
+        taken = iter([*spans, ("", len(text) + 1, len(text) + 1, "")])
+        following, mentions = next(taken), []
+        for m in re.finditer(rf"(?<![\w])(?:{again})(?![\w])", text):
+            while following[2] <= m.start():
+                following = next(taken)
+            if m.end() <= following[1]:
+                mentions.append(("name", *m.span(), names[m[0]]))
+        spans = sorted([*spans, *mentions], key=lambda s: s[1])
+    out, found, at = [], [], 0
+    for kind, start, end, surrogate in spans:
+        out += [text[at:start], surrogate]
+        entity = text[start:end]
+        found.append({"kind": kind, "start": start, "entity": entity, "surrogate": surrogate})
+        at = end
+    return "".join([*out, text[at:]]), found
 
 
 ENTITIES = "array<struct<kind: string, start: int, entity: string, surrogate: string>>"
@@ -361,9 +490,13 @@ def replace_entities(
     """``docs`` with the personal data in ``text`` replaced and every other
     column as it is; ``found`` names a further column for what was replaced.
 
-    A null text stays null; rows are rewritten one by one, so order, ties and
-    repeated rows do not matter.
+    A null text stays null, an empty one empty; rows are rewritten one by one, so
+    order, ties and repeated rows do not matter; a text of any length is
+    rewritten whole; no rows give no rows. A column with the name ``found`` is
+    replaced by it.
     """
+    if found:
+        docs = docs.select(*[c for c in docs.columns if c != found])
     columns = docs.columns
     place = columns.index("text")
 

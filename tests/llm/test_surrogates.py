@@ -1,5 +1,7 @@
 import ipaddress
+import random
 import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -9,6 +11,8 @@ from dialtrail.llm.surrogates import (
     GIVEN_NAMES,
     Permutation,
     Surrogates,
+    _script,
+    alphabet_of,
     documents_with_surrogates,
     iban_rest,
     luhn,
@@ -117,6 +121,138 @@ def test_names_keep_gender_script_and_coreference():
     assert first in GIVEN_NAMES["m", "cyrillic"] and new == f"Господин {first} {family} и {family}"
 
 
+@pytest.mark.parametrize(
+    "text,entities",
+    [
+        ("Mr O'Brien left", ["O'Brien"]),
+        ("MR SMITH.", ["SMITH"]),
+        ("Dr Smith; Prof. Jane Doe, Jane", ["Smith", "Jane Doe", "Jane"]),
+        ("Herr Jürgen Müller, later Jürgen", ["Jürgen Müller", "Jürgen"]),
+        ("Frau Muller-Lüd", ["Muller-Lüd"]),
+        ("Herr von Müller und Müller", ["Müller", "Müller"]),
+        ("Mr J. R. Smith", ["J. R. Smith"]),
+        ("Mrs Ana de la Cruz", ["Ana de la Cruz"]),
+        ("Smith? Mr Smith", ["Smith", "Smith"]),
+        ("see 2001:db8::1, or FE80::A1B2", ["2001:db8::1", "FE80::A1B2"]),
+        ("0171-2345678 or 5551234567", ["0171-2345678", "5551234567"]),
+        ("Mr Łukasz Żółć and Mr Đoković", ["Łukasz Żółć", "Đoković"]),
+    ],
+)
+def test_more_forms(text, entities):
+    new, found = rewritten(text, S)
+    assert [f["entity"] for f in found] == entities
+    assert all(f["surrogate"] != f["entity"] for f in found)
+    assert not any(re.search(rf"(?<!\w){re.escape(e)}(?!\w)", new) for e in entities)
+    at = 0
+    for f in found:  # everything else stays, in its place
+        assert text[f["start"] :].startswith(f["entity"])
+        before = text[at : f["start"]]
+        assert new.startswith(before)
+        new = new[len(before) + len(f["surrogate"]) :]
+        at = f["start"] + len(f["entity"])
+    assert new == text[at:]
+
+
+@pytest.mark.parametrize("text", ["MS Word", "::1 and ::", "12:30:45", "a::b", "std::a1", "1::2", "Dr", "Mr.", "MR"])
+def test_more_look_alikes_stay(text):
+    assert rewritten(text, S) == (text, [])
+
+
+def letters_by_script():
+    by_script = {}
+    for i in range(0x80, 0x1F000):
+        c = chr(i)
+        if c.isalpha() and not c.islower() and unicodedata.name(c, ""):
+            by_script.setdefault(_script(c), []).append(c)
+    return by_script
+
+
+SCRIPTS = letters_by_script()
+
+
+def test_no_script_is_given_back():
+    """Names of one to four letters of every script, capitals first if any."""
+    rng, seen = random.Random(2), 0
+    for script, letters in SCRIPTS.items():
+        for _ in range(3):
+            name = "".join(rng.choices(letters, k=rng.randint(2, 4)))
+            new, found = rewritten(f"Mr {name} x", S)
+            assert [f["entity"] for f in found] == [name], script
+            surrogate = found[0]["surrogate"]
+            assert surrogate != name and len(surrogate) == len(name)
+            kept = [_script(a) == _script(b) or len(letters) < 2 for a, b in zip(name, surrogate)]
+            assert all(kept), (script, name, surrogate)
+            seen += 1
+    assert seen > 300
+
+
+@pytest.mark.parametrize("letters", ["ł", "żł", "ж", "أب", "李小", "김철", "١", "é"])
+def test_surrogates_of_a_form_are_distinct(letters):
+    alphabet = alphabet_of(letters[0])
+    names = [letters[1:] + c for c in alphabet[:200]]
+    images = [S.permutation.text(n, "family") for n in names]
+    assert len(set(images)) == len(names) and all(a != b for a, b in zip(names, images))
+
+
+def test_larger_lists_of_given_names():
+    lists = {("f", "latin"): ["Ada", "Grace"], ("m", "latin"): ["Alan", "Kurt", "Noam"]}
+    new, _ = rewritten("Ms Ada Smith met Dr Kurt Jones", Surrogates(b"k", lists))
+    assert re.fullmatch(r"Ms Grace \w+ met Dr (Alan|Noam) \w+", new)
+
+
+def test_found_replaces_a_column_of_its_name(spark):
+    docs = docs_of(spark, ["a@b.org", None]).withColumn("found", F.lit("old"))
+    rows = replace_entities(docs, found="found").orderBy("doc_id").collect()
+    assert [[e.kind for e in r.found] for r in rows] == [["email"], []]
+    assert rows[0].lang == "en"
+
+
+def plain_emails(text):
+    """By splitting at blanks, no pattern of the module."""
+    out = []
+    for word in re.split(r"[^A-Za-z0-9@._+-]", text):
+        word = word.strip(".-+_")
+        if word.count("@") == 1:
+            local, domain = word.split("@")
+            labels = domain.split(".")
+            if local and len(labels) > 1 and all(labels) and labels[-1].isalpha():
+                out.append(word)
+    return out
+
+
+def plain_luhn(digits):
+    doubled = [int(d) * 2 if i % 2 else int(d) for i, d in enumerate(digits[::-1])]
+    return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+
+def test_against_a_plain_finder(spark):
+    """Whole table: what a plain finder sees is gone, its form and check digits
+    hold, equal entities have equal surrogates, and all else stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = replace_entities(docs, found="found").select("doc_id", "text", "found").collect()
+    before = {r.doc_id: r.text for r in docs.collect()}
+    image, kinds = {}, Counter()
+    for row in rows:
+        text = before[row.doc_id] or ""
+        entities = Counter(e.entity for e in row.found)
+        for email in plain_emails(text):
+            assert entities[email], email
+            kinds["email"] += 1
+        for run in re.findall(r"(?<![\w.-])\d{16}(?![\w-])", text):
+            assert bool(entities[run]) == plain_luhn(run)
+            kinds["card"] += 1
+        at, rest = 0, row.text or ""
+        for e in row.found:
+            assert image.setdefault((e.kind, e.entity.lower()), e.surrogate.lower()) == e.surrogate.lower()
+            if e.kind == "card":
+                assert plain_luhn(re.sub(r"\D", "", e.surrogate))
+            piece = text[at : e.start] + e.surrogate
+            assert rest.startswith(piece)
+            rest, at = rest[len(piece) :], e.start + len(e.entity)
+        assert rest == text[at:]
+    assert len(set(image.values())) == len(image) and min(kinds.values()) > 20
+
+
 def test_no_two_entities_share_a_surrogate(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     entities = (
