@@ -4,9 +4,10 @@ The documents of a source, in random order, are cut into blocks. With weight w,
 block k of a source may go out from slot floor(k / w) on and must by slot
 ceil((k + 1) / w). Serving the released block with the earliest deadline in each
 slot then keeps every source less than one block from its share at every moment.
-Weights are exact and the schedule goes on for the whole length: one task writes
-it as a table, a row for each block, with a heap of the sources in memory, and
-each block reads its slot from there. With a period on request, weights are
+Weights are exact and the schedule goes on for the whole length. It is a table of
+a row for each block, from which each block takes its slot. The sources' table is
+one task's input and the heap it works with; blocks grow with the documents, so
+that their number, and with it that task's work, stays bounded. With a period on request, weights are
 rounded to its slots, one period is scheduled on the driver and then repeats.
 """
 
@@ -14,8 +15,9 @@ import heapq
 from fractions import Fraction
 from math import lcm
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialtrail.operators.ordinal import with_ordinal
@@ -23,6 +25,8 @@ from dialtrail.operators.staging import staged
 
 PERIOD = 4096
 BLOCK_DOCS = 16
+# Blocks hold more documents where there would be more of them than this.
+MOST_BLOCKS = 1 << 22
 # Sources weigh as their size to this power unless weights are given.
 FLATTEN = 0.7
 # Tables of so many rows at most are broadcast.
@@ -98,55 +102,73 @@ def _parts(weights: list) -> tuple[list, int]:
     return parts, sum(parts)
 
 
-def _schedule_table(spark: SparkSession, weights: list, blocks: list, repeat: bool) -> DataFrame:
-    names = ["_at", "_k", "_slot"]
+def _schedule_table(sources: DataFrame, repeat: bool) -> DataFrame:
+    """(_at, _block, _epoch, _slot) of every block that goes out, from the table
+    of sources; a source's blocks come again, an epoch later, with ``repeat``."""
+    names = ["_at", "_block", "_epoch", "_slot"]
 
     def run(batches):
-        for batch in batches:
-            rows = exact_schedule(weights, blocks, repeat) if batch.num_rows else iter(())
-            while some := [row for _, row in zip(range(1 << 16), rows)]:
-                columns = [pa.array(c, pa.int64()) for c in zip(*some)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        tables = [pa.table(batch) for batch in batches if batch.num_rows]
+        if not tables:
+            return
+        table = pa.concat_tables(tables).sort_by("_at")
+        blocks = table.column("_blocks").to_pylist()
+        rows = exact_schedule(table.column("_weight").to_pylist(), blocks, repeat)
+        while some := [row for _, row in zip(range(1 << 16), rows)]:
+            at, k, slot = (np.array(c, np.int64) for c in zip(*some))
+            epoch, block = np.divmod(k, np.array(blocks, np.int64)[at])
+            columns = [pa.array(c) for c in (at, block, epoch, slot)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    one = spark.range(0, 1, 1, 1)
-    return staged(one.mapInArrow(run, "_at bigint, _k bigint, _slot bigint"), "schedule")
+    one = sources.select("_at", "_blocks", "_weight").coalesce(1)
+    schema = ", ".join(f"{name} bigint" for name in names)
+    return staged(one.mapInArrow(run, schema), "schedule")
 
 
-def _mix_exactly(docs, weights, repeat, block_docs, seed) -> DataFrame:
-    spark = docs.sparkSession
-    count = _sizes(docs)
-    names = sorted(count, key=lambda s: (s is not None, s or ""))
-    own = [(weights or {}).get(s, float(count[s]) ** FLATTEN) for s in names]
-    blocks = [-(-count[s] // block_docs) for s in names]
-    parts, whole = _parts(own)
-    # No source's first time is over after its last block's deadline.
-    bound = max((-(-b * whole // p) for b, p in zip(blocks, parts)), default=0)
-    facts, first = [], 0
-    for at, (s, b, p) in enumerate(zip(names, blocks, parts)):
-        rounds = (bound * p // whole + 1) // b + 1 if repeat else 1
-        facts.append((s, at, first, b, rounds))
-        first += count[s]
-    facts = spark.createDataFrame(
-        facts, "_source string, _at bigint, _first bigint, _blocks bigint, _rounds bigint"
+def _sources(ordered: DataFrame, weights: dict | None, block_docs: int) -> DataFrame:
+    """(_source, _at, _first, _blocks, _weight): each source, its place by name,
+    the position of its first document, its blocks and its weight."""
+    spark = ordered.sparkSession
+    each = ordered.groupBy(F.col("_of").alias("_source")).agg(
+        F.min("_position").alias("_first"), F.count("*").alias("_n")
+    )
+    given = spark.createDataFrame(
+        [(s, float(w)) for s, w in (weights or {}).items()], "_named string, _given double"
+    )
+    same = F.col("_source").eqNullSafe(F.col("_named"))
+    weighed = each.join(given, same, "left").select(
+        "_source",
+        "_first",
+        F.ceil(F.col("_n") / block_docs).alias("_blocks"),
+        F.coalesce("_given", F.pow("_n", F.lit(FLATTEN))).alias("_weight"),
     )
-    slots = _schedule_table(spark, own, blocks, repeat)
+    return staged(with_ordinal(weighed, ["_source"], "_at"), "sources")
 
-    def small(table, rows):
-        return F.broadcast(table) if rows <= MOST_BROADCAST else table
 
+def _mix_exactly(docs, weights, repeat, block_docs, seed) -> DataFrame:
+    if any(not w > 0 for w in (weights or {}).values()):
+        raise ValueError("a weight must be greater than 0")
     ordered = _in_random_order(docs, seed)
+    if block_docs is None:
+        block_docs = max(BLOCK_DOCS, -(-ordered.count() // MOST_BLOCKS))
+    sources = _sources(ordered, weights, block_docs)
+    slots = _schedule_table(sources, repeat)
+
+    def small(table):
+        few = table.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+        return F.broadcast(table) if few else table
+
     rank = F.col("_position") - F.col("_first")
-    zero = F.lit(0).cast("bigint")
     rows = (
-        ordered.join(small(facts, len(names)), F.col("_of").eqNullSafe(F.col("_source")))
+        ordered.join(small(sources), F.col("_of").eqNullSafe(F.col("_source")))
         .withColumn("mix_place", F.pmod(rank, F.lit(block_docs)))
         .withColumn("_block", F.floor(rank / block_docs).cast("bigint"))
-        .withColumn("mix_epoch", F.explode(F.sequence(zero, F.col("_rounds") - 1)))
-        .withColumn("_k", F.col("_block") + F.col("mix_epoch") * F.col("_blocks"))
     )
+    # A block meets a row of the schedule for each time it goes out, so a block
+    # that comes again very often is rows to deal out, not one value.
     return (
-        rows.join(small(slots, bound), ["_at", "_k"])
-        .withColumn("mix_slot", F.col("_slot"))
+        rows.join(small(slots), ["_at", "_block"])
+        .withColumns({"mix_slot": F.col("_slot"), "mix_epoch": F.col("_epoch")})
         .select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in MIX], *MIX)
     )
 
@@ -161,9 +183,8 @@ def _in_random_order(docs: DataFrame, seed: int) -> DataFrame:
     return with_ordinal(rows, ["_of", "_shuffled", "_copy"], "_position")
 
 
-def _sizes(docs: DataFrame, period: int | None = None) -> dict:
-    rows = docs.groupBy("source").count()
-    rows = (rows if period is None else rows.limit(period + 1)).collect()
+def _sizes(docs: DataFrame, period: int) -> dict:
+    rows = docs.groupBy("source").count().limit(period + 1).collect()
     return {r["source"]: r["count"] for r in rows}
 
 
@@ -172,7 +193,7 @@ def mix(
     weights: dict | None = None,
     repeat: bool = True,
     period: int | None = None,
-    block_docs: int = BLOCK_DOCS,
+    block_docs: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
     """Every document with its ``mix_slot``, its ``mix_place`` in that slot's
@@ -184,11 +205,14 @@ def mix(
     empty and each document comes once. A null source is a source of its own. A
     source without a weight gets one by its size; a weight without documents is
     ignored. With a ``period``, weights are rounded to its slots, and more sources
-    than slots raise an error. Equal rows are documents of their own. No rows give no rows. Columns of ``docs`` with the
-    names of the three new ones are replaced.
+    than slots raise an error. ``block_docs`` is BLOCK_DOCS unless that made more
+    than MOST_BLOCKS blocks. Texts are not looked at. Equal rows are documents of
+    their own. No rows give no rows. Columns of ``docs`` with the names of the
+    three new ones are replaced.
     """
     if period is None:
         return _mix_exactly(docs, weights, repeat, block_docs, seed)
+    block_docs = block_docs or BLOCK_DOCS
     count = _sizes(docs, period)
     if len(count) > period:
         raise ValueError(f"more than {period} sources; raise the period")

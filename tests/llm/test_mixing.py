@@ -124,7 +124,79 @@ def test_too_many_sources_raise(spark):
         mix(docs, period=3)
 
 
-def test_query_keeps_all_documents(spark):
-    docs = spark.read.parquet(f"{SAMPLE}/documents.parquet")
-    first = mixed_documents(docs).filter("mix_epoch = 0")
-    assert first.count() == docs.count()
+def simulated(weights, blocks):
+    """(source, block, epoch) slot by slot, by looking at all sources each time:
+    of the released blocks the one with the earliest deadline, ties by name."""
+    total = sum(weights.values(), Fraction(0))
+    names = sorted(weights, key=lambda s: (s is not None, s or ""))
+    share = {s: weights[s] / total for s in names}
+    sent, out = dict.fromkeys(names, 0), []
+    while any(sent[s] < blocks[s] for s in names):
+        now = len(out)
+        ready = [s for s in names if sent[s] / share[s] // 1 <= now]
+        due = {s: -(-(sent[s] + 1) / share[s] // 1) for s in ready}
+        best = min(ready, key=lambda s: (due[s], names.index(s)))
+        out.append((best, sent[best] % blocks[best], sent[best] // blocks[best]))
+        sent[best] += 1
+    return out, share
+
+
+def against_simulation(docs, mixed, weights=None, block_docs=BLOCK_DOCS):
+    sizes = {r["source"]: r["count"] for r in docs.groupBy("source").count().collect()}
+    weights = weights or {s: float(n) ** 0.7 for s, n in sizes.items()}
+    own = {s: Fraction(weights.get(s, float(n) ** 0.7)) for s, n in sizes.items()}
+    blocks = {s: -(-n // block_docs) for s, n in sizes.items()}
+    expected, share = simulated(own, blocks)
+    slots, members = defaultdict(list), {}
+    source_of = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    for r in mixed.collect():
+        slots[r.mix_slot].append((r.mix_place, r.doc_id, r.mix_epoch))
+    assert sorted(slots) == list(range(len(expected)))
+    sent = dict.fromkeys(sizes, 0)
+    for slot, (source, block, epoch) in enumerate(expected):
+        rows = sorted(slots[slot])
+        size = min(block_docs, sizes[source] - block * block_docs)
+        assert [p for p, _, _ in rows] == list(range(size))
+        assert {e for _, _, e in rows} == {epoch}
+        ids = [d for _, d, _ in rows]
+        assert {source_of[d] for d in ids} == {source}
+        assert members.setdefault((source, block), ids) == ids
+        sent[source] += 1
+        assert all(abs(n - (slot + 1) * share[s]) < 1 for s, n in sent.items())
+    assert sorted(d for ids in members.values() for d in ids) == sorted(source_of)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_against_simulation(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    against_simulation(docs, mixed_documents(docs))
+
+
+def test_repeats_nulls_and_clashing_names(spark, monkeypatch):
+    """With joins for broadcasts, a null source, and columns named as helpers."""
+    monkeypatch.setattr("dialtrail.llm.mixing.MOST_BROADCAST", 0)
+    docs = spark.range(130).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < 100, "big").when(F.col("id") < 120, None).otherwise("few").alias("source"),
+        *[F.lit("x").alias(c) for c in ("_of", "_at", "_block", "_row", "_source", "mix_slot")],
+    )
+    weights = {"big": 1, None: 3, "few": 0.25, "unknown": 9}
+    mixed = mix(docs, weights, block_docs=3)
+    assert mixed.columns == [c for c in docs.columns if c != "mix_slot"] + [
+        "mix_slot", "mix_place", "mix_epoch",
+    ]
+    assert {r._of for r in mixed.collect()} == {"x"} and mixed.filter("mix_epoch > 9").count()
+    against_simulation(docs, mixed, weights, 3)
+
+
+def test_blocks_grow_with_the_documents(spark, monkeypatch):
+    monkeypatch.setattr("dialtrail.llm.mixing.MOST_BLOCKS", 10)
+    docs = spark.range(400).selectExpr("id doc_id", "string(id % 3) source")
+    against_simulation(docs, mix(docs), block_docs=40)
+
+
+def test_weights_must_be_positive(spark):
+    docs = docs_of(spark, ["x"])
+    for weight in (0, -1, float("nan")):
+        with pytest.raises(ValueError):
+            mix(docs, {"src0": weight})
