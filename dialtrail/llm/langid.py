@@ -24,7 +24,7 @@ BLOCK = 512  # windows scored at once
 # The sample: about so many documents of each language, so many windows of each.
 TRAIN_DOCS = 600
 TRAIN_WINDOWS = 4
-# Languages beyond this many would need a larger network and sample.
+# Labels that are learnt, the commonest ones; the sample grows with them.
 MOST_LANGUAGES = 256
 STEPS, BATCH, RATE, SHORTENED = 600, 128, 0.01, 0.35
 HASH_STEPS = 1 << 20
@@ -172,13 +172,16 @@ def train(
 
     Two passes: counts by label, then a sample by the hash of the id, about
     ``per_language`` documents of each label and TRAIN_WINDOWS windows of each.
+    Of more than MOST_LANGUAGES labels the commonest are learnt, the first by
+    name of equally common ones; documents with others teach nothing and are
+    given the label of a learnt one. Equal rows are equally likely to be drawn,
+    and null texts and labels teach nothing.
     """
     known = docs.select("doc_id", "text", "lang").filter(
         learn_from & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    counts = known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages in the labels")
+    commonest = known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    counts = commonest.limit(MOST_LANGUAGES).collect()
     if not counts:
         return None
     languages = sorted(row["lang"] for row in counts)

@@ -1,4 +1,5 @@
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -53,3 +54,41 @@ def test_halves_as_the_contract_says():
     assert edited("abcde", "xyz") == "abcxy"
     assert edited("abcde", "x") == "abcx"
     assert edited("", "x") == ""
+
+
+def plain_digest(text):
+    """Counted and ranked by loops."""
+    data = text.encode()
+    counts = [0] * 128
+    for a, b, c in zip(data, data[1:], data[2:]):
+        counts[((a << 16 | b << 8 | c) * 0x9E3779B1 % (1 << 32)) >> 25] += 1
+    ranked = sorted(counts)
+    quartiles = ranked[31], ranked[63], ranked[95]
+    return [int(math.log2(1 + len(data)) * 4)] + [sum(n > q for q in quartiles) for n in counts]
+
+
+def plain_likeness(a, b):
+    body = sum({0: 0, 1: 1, 2: 2, 3: 6}[abs(x - y)] for x, y in zip(a[1:], b[1:]))
+    return max(0.0, 1 - (body + min(16, abs(a[0] - b[0]))) / 208)
+
+
+def plain_spelling(code):
+    out = f"{code[0]:02x}"
+    for at in range(1, 129, 4):
+        out += f"{sum(c << 2 * i for i, c in enumerate(code[at : at + 4])):02x}"
+    return out
+
+
+def test_counting_and_distance_by_loops(spark):
+    """Whole table, without the module's own functions."""
+    docs = spark.read.parquet(f"{SAMPLE}/documents.parquet")
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)
+    found = {r.doc_id: r for r in compared_with_next(docs).collect()}
+    for i, (doc_id, text) in enumerate(rows):
+        following = rows[(i + 1) % len(rows)][1]
+        half = len(text) // 2
+        codes = [plain_digest(t) for t in (text, text[: len(text) - half] + following[:half], following)]
+        row = found[doc_id]
+        assert (row.fingerprint, row.edited_fingerprint) == tuple(map(plain_spelling, codes[:2]))
+        assert math.isclose(row.near_edited, plain_likeness(codes[0], codes[1]), abs_tol=1e-12)
+        assert math.isclose(row.near_next, plain_likeness(codes[0], codes[2]), abs_tol=1e-12)
