@@ -462,7 +462,12 @@ def linked_pairs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """a and b: every pair of linked texts that differ in their sets, once, each
     by the smallest doc_id of its set (stages data). Documents of one set are all
     linked and stand for one another; their number is not expanded. As many rows
-    as links, so the square of a group's size."""
+    as links, so the square of a group's size.
+
+    Null, empty and repeated rows as in ``linked_documents``. A set stands by its
+    smallest id that is not missing; where all are missing, a or b is null. No
+    rows give no pairs.
+    """
     own, together = _grouped(docs, rule)
     ids = staged(own.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("id")), "ids")
     links = _verified_links(together, rule, "pairs")
@@ -475,7 +480,11 @@ def linked_pairs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def link_counts(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles and n_links of every row: with how many other rows it
     is linked, copies of its own text included (stages data). Links are counted
-    where they are verified, never written out. An empty set has none."""
+    where they are verified, never written out.
+
+    An empty set, of a null text too, has none. Rows with equal or missing ids
+    are documents of their own and count as such. No rows give no rows.
+    """
     own, together = _grouped(docs, rule)
     others = _verified_links(together, rule, "counts")
     others = others.groupBy(F.col("a").alias("set")).agg(F.sum("b").alias("others"))

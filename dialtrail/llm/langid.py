@@ -271,7 +271,12 @@ HELD_OUT_MOD = 5
 
 def document_languages(docs: DataFrame) -> DataFrame:
     """The predicted language of every document, learnt from those whose crc32
-    remainder is not 0 (a missing id counts as remainder 0)."""
+    remainder is not 0 (a missing id counts as remainder 0).
+
+    Null and empty texts and those without a letter are UNDETERMINED; a null
+    label teaches nothing; repeated rows are documents of their own, and a text
+    of any length is read whole. No rows give no rows.
+    """
     held_out = remainder("doc_id", HELD_OUT_MOD) == 0
     rows = docs.select(F.col("doc_id").cast("bigint"), "text", "lang")
     model = train(rows, ~held_out)

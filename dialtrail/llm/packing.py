@@ -241,6 +241,11 @@ def packed_documents(
     docs: DataFrame, path: str | None = None, length: int = SEQUENCE
 ) -> DataFrame:
     """Pieces of all documents with their place in a sequence (stages the
-    pieces, not the ids). Unpacked room is padding at a sequence's end."""
+    pieces, not the ids). Unpacked room is padding at a sequence's end.
+
+    A null or empty text is one piece of END_ID alone; equal rows each give their
+    pieces, with a missing doc_id too; pieces of equal length go by their place
+    in the group. A text of any length is cut whole. No rows give no rows.
+    """
     pieces = staged(cut_pieces(docs, path, length), "pieces")
     return pack(pieces.drop("stretch"), random_group(pieces), length)
