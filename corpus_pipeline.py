@@ -57,14 +57,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, personal data replaced by surrogates; n_chars follows."""
+    """Every document, personal data replaced by surrogates; n_chars follows, and
+    is null for a null text. Empty texts and repeated rows stay as they are; no
+    documents give none."""
     n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
     return replace_entities(docs).withColumn("n_chars", n_chars)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, in the order of the mixture: each file written of
-    these rows is one stretch of it, after those of the files before."""
+    these rows is one stretch of it, after those of the files before. A null
+    source is one of its own; texts are not looked at; repeated rows are documents
+    of their own; no documents give none."""
     order = ["mix_slot", "mix_place"]
     mixed = mix(docs, repeat=False)
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
@@ -72,7 +76,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_stretches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences. Groups are drawn at random within
-    each file, so sequences in the order of their ids follow the mixture."""
+    each file, so sequences in the order of their ids follow the mixture. Files
+    are told by the number in Spark's own names; documents of files named
+    otherwise are one stretch. A null or empty text is one piece, repeated rows
+    each give theirs, and no documents give none."""
     file_number = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
     stretch = F.coalesce(file_number.try_cast("bigint"), F.lit(0).cast("bigint"))
     pieces = staged(cut_pieces(docs, stretch=stretch), "pieces")
