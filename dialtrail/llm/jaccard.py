@@ -1,6 +1,7 @@
 """Similarity join of documents on the Jaccard index of their word n-grams.
 
-Equal sets are one from the start, under a fingerprint. Every set is ordered
+Equal sets are one from the start, under a fingerprint of 64 bits; where a
+second one tells sets of a fingerprint apart, they go by both. Every set is ordered
 rare n-grams first, by counts over the whole corpus; two sets that are alike
 enough share an n-gram within short prefixes of that order. Sets meet on prefix
 n-grams and pass a length filter, a positional filter (what lies behind the
@@ -97,31 +98,48 @@ def _fingerprints(grams, n, first):
     return np.where(n > 0, total, np.uint64(0)).view(np.int64)
 
 
+def _others(sets, grams, n, first):
+    """Another number for each set, from its fingerprint and a second one."""
+    again = mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(again * np.uint64(5)))])
+    total = mix(sets.view(np.uint64) ^ mix(sums[first + n] - sums[first]))
+    return np.where(n > 0, total | np.uint64(1), np.uint64(0)).view(np.int64)
+
+
+def _names(grams, n, first, clashing):
+    """What sets go by: their fingerprints, but for those that several share."""
+    sets = _fingerprints(grams, n, first)
+    shared = np.isin(sets, clashing)
+    return np.where(shared, _others(sets, grams, n, first), sets) if shared.any() else sets
+
+
 def _counter(grams):
     return (grams >> np.uint64(44)).astype(np.int64)  # COUNTERS = 2 ** 20
 
 
-SETS = "doc_id bigint, n bigint, set bigint, slice int, counts binary"
+SETS = "doc_id bigint, n bigint, set bigint, other bigint, slice int, counts binary"
 
 
 def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Of each document its set's size and fingerprint, and slices of the task's
-    n-gram counts."""
+    """Of each document its set's size, fingerprint and other number, and slices
+    of the task's n-gram counts."""
 
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "n", "set", "slice", "counts"]
+        names = ["doc_id", "n", "set", "other", "slice", "counts"]
         for batch in batches:
             for part in slices(batch.column("text")):
                 texts = len(part.starts)
                 rows, grams = gram_sets(part, rule.words)
                 counts += np.bincount(_counter(grams), minlength=COUNTERS)
                 n, first = _sizes(rows, texts)
+                sets = _fingerprints(grams, n, first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(part.first, texts),
                         pa.array(n),
-                        pa.array(_fingerprints(grams, n, first)),
+                        pa.array(sets),
+                        pa.array(_others(sets, grams, n, first)),
                         pa.nulls(texts, pa.int32()),
                         pa.nulls(texts, pa.binary()),
                     ],
@@ -129,7 +147,7 @@ def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
                 )
         parts = counts.astype("<i8").reshape(COUNTER_SLICES, -1)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(COUNTER_SLICES, pa.int64())] * 3
+            [pa.nulls(COUNTER_SLICES, pa.int64())] * 4
             + [
                 pa.array(np.arange(COUNTER_SLICES, dtype=np.int32)),
                 pa.array([p.tobytes() for p in parts], pa.binary()),
@@ -172,7 +190,7 @@ def _ranks(sets: DataFrame) -> np.ndarray:
 POSTINGS = "gram bigint, set bigint, place bigint, parts bigint"
 
 
-def _postings(docs: DataFrame, rule: Rule, ranks) -> DataFrame:
+def _postings(docs: DataFrame, rule: Rule, ranks, clashing) -> DataFrame:
     """The prefix of every set, each set once for each batch of documents."""
 
     def run(batches):
@@ -182,7 +200,7 @@ def _postings(docs: DataFrame, rule: Rule, ranks) -> DataFrame:
                 texts = len(part.starts)
                 rows, grams = gram_sets(part, rule.words)
                 n, first = _sizes(rows, texts)
-                sets = _fingerprints(grams, n, first)
+                sets = _names(grams, n, first, clashing)
                 once = np.zeros(texts, bool)
                 once[np.unique(sets, return_index=True)[1]] = True
                 once &= (n > 0) & ~np.isin(sets, seen)
@@ -345,7 +363,7 @@ def _all_verified(rule, grams, sizes, first, own, two_blocks):
         yield i, np.flatnonzero(linked) + i + 1
 
 
-def _verified_links(members: DataFrame, rule: Rule, mode: str = "forest") -> DataFrame:
+def _verified_links(members: DataFrame, rule: Rule, clashing, mode: str = "forest") -> DataFrame:
     """(a, b): links that join the sets of each group; all of them if ``mode`` is
     "pairs"; if it is "counts", each set's links in the block, weighed by copies."""
     keys = ["component", "low", "high"]
@@ -365,7 +383,7 @@ def _verified_links(members: DataFrame, rule: Rule, mode: str = "forest") -> Dat
                 owner, grams = np.concatenate(owner), np.concatenate(grams)
                 n, first = _sizes(owner, len(names))
                 # A document of the same id but another text is not the set's.
-                right = np.flatnonzero(_fingerprints(grams, n, first) == names)
+                right = np.flatnonzero(_names(grams, n, first, clashing) == names)
                 right = right[np.unique(names[right], return_index=True)[1]]
                 right = right[np.lexsort((names[right], n[right]))]
                 if len(right) < 2:
@@ -409,17 +427,31 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, packed binary, size bigint")
 
 
-def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, set) of every row, and the texts of the sets that may be
-    linked, block by block of their groups (stages data)."""
+def _clashing(rows: DataFrame) -> np.ndarray:
+    """Fingerprints of sets that differ: of N different texts some N ** 2 / 2 ** 65
+    pairs, so none or a few."""
+    by_set = rows.filter("n > 0").groupBy("set")
+    differ = by_set.agg(F.min("other").alias("a"), F.max("other").alias("b")).filter("a <> b")
+    return np.array(sorted(r["set"] for r in differ.select("set").collect()), np.int64)
+
+
+def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(doc_id, n, set) of every row; the texts of the sets that may be linked,
+    block by block of their groups; and the clashing fingerprints (stages data)."""
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     everything = staged(_sets(rows, rule), "sets")
     counts = _ranks(everything)
     ranks = docs.sparkSession.sparkContext.broadcast(counts)
-    own = everything.filter(F.col("slice").isNull()).select("doc_id", "n", "set")
+    own = everything.filter(F.col("slice").isNull()).select("doc_id", "n", "set", "other")
+    clashing = _clashing(own)
+    if len(clashing):
+        shared = docs.sparkSession.createDataFrame([(int(s),) for s in clashing], "_shared bigint")
+        own = own.join(F.broadcast(shared), F.col("set") == F.col("_shared"), "left")
+        own = own.withColumn("set", F.when(F.col("_shared").isNull(), F.col("set")).otherwise(F.col("other")))
+    own = own.select("doc_id", "n", "set")
     full = own.filter("n > 0")
 
-    postings = _postings(rows, rule, ranks)
+    postings = _postings(rows, rule, ranks, clashing)
     shared = staged(
         postings.groupBy("gram").agg(F.count("*").alias("listed")).filter("listed > 1"), "shared"
     )
@@ -455,7 +487,8 @@ def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     )
     keys = ["component", "low", "high"]
     together = pair_blocks(texts, "set", F.col("_weight"), BLOCK_GRAMS, "low", "high")
-    return own, together.drop("_weight").repartition(*keys).sortWithinPartitions(*keys)
+    together = together.drop("_weight").repartition(*keys).sortWithinPartitions(*keys)
+    return own, together, clashing
 
 
 def linked_pairs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -468,9 +501,9 @@ def linked_pairs(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     smallest id that is not missing; where all are missing, a or b is null. No
     rows give no pairs.
     """
-    own, together = _grouped(docs, rule)
+    own, together, clashing = _grouped(docs, rule)
     ids = staged(own.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("id")), "ids")
-    links = _verified_links(together, rule, "pairs")
+    links = _verified_links(together, rule, clashing, "pairs")
     first = ids.select(F.col("set").alias("a"), F.col("id").alias("x"))
     other = ids.select(F.col("set").alias("b"), F.col("id").alias("y"))
     pairs = links.join(first, "a").join(other, "b")
@@ -485,8 +518,8 @@ def link_counts(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     An empty set, of a null text too, has none. Rows with equal or missing ids
     are documents of their own and count as such. No rows give no rows.
     """
-    own, together = _grouped(docs, rule)
-    others = _verified_links(together, rule, "counts")
+    own, together, clashing = _grouped(docs, rule)
+    others = _verified_links(together, rule, clashing, "counts")
     others = others.groupBy(F.col("a").alias("set")).agg(F.sum("b").alias("others"))
     copies = own.filter("n > 0").groupBy("set").agg(F.count("*").alias("copies"))
     by_set = copies.join(others, "set", "left").select(
@@ -508,9 +541,9 @@ def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     equal rows are linked. A missing doc_id is no one's component unless all of
     a group lack theirs. No rows give no rows.
     """
-    own, together = _grouped(docs, rule)
+    own, together, clashing = _grouped(docs, rule)
     full = own.filter("n > 0")
-    links = _verified_links(together, rule)
+    links = _verified_links(together, rule, clashing)
     found = components(links).select(F.col("node").alias("set"), "component")
 
     named = staged(

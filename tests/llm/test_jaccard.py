@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from dialtrail.llm import jaccard
@@ -132,3 +133,35 @@ def test_components(spark, seed):
         parent[b] = a
     nodes = {x for e in edges if e[0] != e[1] for x in e}
     assert found == {x: root(x) for x in nodes}
+
+
+@pytest.mark.parametrize("bits", [0, 2, 5])
+def test_fingerprints_that_clash(spark, monkeypatch, bits):
+    """Different sets under one fingerprint are told apart all the same."""
+    plain, others = jaccard._fingerprints, jaccard._others
+
+    def short(grams, n, first):
+        return np.where(n > 0, (plain(grams, n, first) & ((1 << bits) - 1)) + 1, 0)
+
+    def names(grams, n, first, clashing):
+        sets = short(grams, n, first)
+        return np.where(np.isin(sets, clashing), others(sets, grams, n, first), sets)
+
+    # Both, as tasks know functions of the module by its own names.
+    monkeypatch.setattr(jaccard, "_fingerprints", short)
+    monkeypatch.setattr(jaccard, "_names", names)
+    rng = random.Random(bits)
+    words = [f"w{i}" for i in range(50)]
+    texts = [edited(rng, words[k : k + 30], c) for k in (0, 10, 20) for c in (0, 0, 1, 1, 2, 9)]
+    docs = docs_of(spark, [*texts, "", None, "one two"])
+    rule = Rule(3, 80, 100)
+    check(docs, rule)
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    sets = [shingles(t, 3) for _, t in rows]
+    alike = [
+        (a, b)
+        for a, b in itertools.combinations(range(len(rows)), 2)
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    found = {r.doc_id: r.n_links for r in link_counts(docs, rule).collect()}
+    assert found == {i: sum(i in pair for pair in alike) for i in range(len(rows))}
