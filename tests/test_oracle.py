@@ -18,6 +18,7 @@ DUCK_TYPES = {
     "string": "VARCHAR",
     "bigint": "BIGINT",
     "int": "INTEGER",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
 
