@@ -15,9 +15,11 @@ def has_snapshot(spark: SparkSession, path: str) -> bool:
     return versions.current(spark, path) is not None
 
 
-def save_snapshot(report: DataFrame, path: str, built_from: str | None = None) -> None:
+def save_snapshot(
+    report: DataFrame, path: str, built_from: str | None = None
+) -> versions.Version:
     """Make ``report`` the snapshot at ``path``, in place of the one before."""
-    versions.commit(report.sparkSession, path, report.write.parquet, built_from)
+    return versions.commit(report.sparkSession, path, report.write.parquet, built_from)
 
 
 def load_or_compute(
@@ -36,8 +38,7 @@ def load_or_compute(
     """
     found = versions.current(spark, path)
     if found is None or built_from not in (None, found.built_from):
-        save_snapshot(build(), path, built_from)
-        found = versions.current(spark, path)
+        found = save_snapshot(build(), path, built_from)
     return spark.read.schema(schema).parquet(found.path)
 
 
