@@ -43,14 +43,19 @@ def publish_batches(
     )
 
 
-def write_folders(batches: DataFrame, folder: str) -> None:
+def write_folders(
+    batches: DataFrame, folder: str, parts: Sequence[str] = (), mode: str = "errorifexists"
+) -> None:
     """One CSV folder per batch, in it one file in sheet order. Before the
     report's own columns stands sheet_row, the row of the sheet that the line
-    belongs to."""
+    belongs to. ``parts``, columns that the batch decides, are folders above the
+    batches'; with ``mode`` "append" other batches may be there."""
+    folders = [*parts, "batch_id"]
     (
         batches.repartition("batch_id")
-        .sortWithinPartitions("batch_id", "sheet_row")
-        .write.partitionBy("batch_id")
+        .sortWithinPartitions(*folders, "sheet_row")
+        .write.mode(mode)
+        .partitionBy(*folders)
         .options(header=True, escape='"')
         .csv(folder)
     )

@@ -156,6 +156,40 @@ def test_publishing_goes_on_at_the_batch_it_broke_at(spark, golden, tmp_path, mo
     assert resume.read_published(spark, path, REPORT_COLUMNS).count() == 0
 
 
+def test_steps_are_written_together_as_they_get_many(spark, tmp_path, monkeypatch):
+    cells = [F.col("id").cast("string").alias(c) for c in REPORT_COLUMNS]
+    batch = F.floor(F.col("id") / 2)
+    places = [batch.alias("batch_id"), (F.col("id") + 2).alias("sheet_row")]
+    batches = spark.range(200).select(*places, *cells)
+    path, write, jobs = str(tmp_path / "sheet"), resume.write_step, []
+
+    def breaks_at_job_10(part, at, step):
+        if len(jobs) == 10:
+            raise RuntimeError("broken off")
+        jobs.append(sorted(r.batch_id for r in part.select("batch_id").distinct().collect()))
+        write(part, at, step)
+
+    monkeypatch.setattr(resume, "write_step", breaks_at_job_10)
+    with pytest.raises(RuntimeError):
+        resume.publish_resumable(batches, path, 2)
+    done = [b for job in jobs for b in job]
+    assert done == list(range(len(done))) and len(done) % 2 == 0
+    # No more than a step or an eighth of the steps before.
+    assert all(len(job) <= max(2, job[0] // 8) for job in jobs)
+    written = []
+    monkeypatch.setattr(resume, "write_step", lambda *part: (written.append(part), write(*part)))
+    steps = resume.publish_resumable(batches, path, 2)
+    assert [int(s[:9]) for s in steps] == list(range(len(done) // 2, 50))
+    assert len(written) < 30 < len(steps)
+    found = resume.read_published(spark, path, REPORT_COLUMNS)
+    assert rows(found) == rows(batches)
+    # Steps of many rows stay apart.
+    large = resume.steps_together([(n, resume.ROWS_AT_ONCE) for n in range(99)])
+    assert large == [(n, n) for n in range(99)]
+    small = resume.steps_together([(n, 1_000) for n in range(5_000)])
+    assert [step for step, _ in small] == list(range(5_000)) and small[-1][1] < 70
+
+
 def test_checksums_tell_cells_apart(spark):
     cells = [("a", "b"), ("b", "a"), ("ab", ""), ("", "ab"), (None, "ab")]
     both = [
