@@ -19,6 +19,8 @@ from dialtrail.schema import CALL_HISTORY
 # Ordinary calls of one bucket are one task's work: take so many that a bucket
 # stays near 128-256 MB.
 BUCKETS = 200
+# A store takes more buckets than told rather than more calls in one on average.
+CALLS_PER_BUCKET = 500_000
 
 PHONE = "phone_number_dialed"
 COLUMNS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CALL_HISTORY.fields)
@@ -31,8 +33,10 @@ def write_call_store(
     hot_calls: int = HOT_CALLS,
     tracked: int = TRACKED,
 ) -> None:
-    """Store ``calls`` at ``path``, in place of what is there. Reads the phone
-    column once for the summary, then all columns."""
+    """Store ``calls`` at ``path``, in place of what is there, in ``buckets`` or
+    as many more as ``CALLS_PER_BUCKET`` asks for, so that a task's work does not
+    grow with the log. Reads the phone column once for the summary and once to
+    count, then all columns."""
     calls = calls.select(*CALL_HISTORY.fieldNames())
     summary = staged(key_summary(calls, PHONE, tracked), "summary")
     _write(calls, summary, path, buckets, hot_calls, tracked)
@@ -77,10 +81,11 @@ def _write(calls, summary, path, buckets, hot_calls, tracked):
     # A bounded number of names, tracked at most.
     n_hot = hot.count()
     is_hot = F.col(PHONE) == F.col("hot_phone")
+    known = calls.filter(F.col(PHONE).isNotNull())
+    ordinary = known.join(hot, is_hot, "left_anti") if n_hot else known
+    buckets = max(buckets, -(-ordinary.count() // CALLS_PER_BUCKET))
 
     def write(folder: str) -> None:
-        known = calls.filter(F.col(PHONE).isNotNull())
-        ordinary = known.join(hot, is_hot, "left_anti") if n_hot else known
         # Hashed as the buckets are: each task writes one, as one file.
         (
             ordinary.repartition(buckets, PHONE)

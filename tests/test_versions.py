@@ -293,6 +293,23 @@ def test_a_store_is_found_again_by_its_folder(spark, store):
     )
 
 
+def test_a_store_takes_buckets_by_its_calls(spark, golden, tmp_path, monkeypatch):
+    monkeypatch.setattr(call_store, "CALLS_PER_BUCKET", 200)
+    path, calls = str(tmp_path / "calls"), shared_calls(spark, SF_DIR)
+    half = F.pmod(F.xxhash64(*calls.columns), F.lit(2)) == 0
+    call_store.write_call_store(calls.filter(half), path, 2, 100)
+    first = call_store._settings(spark, path)
+    call_store.add_calls(spark, path, calls.filter(~half))
+    whole = call_store._settings(spark, path)
+    ordinary = call_store.open_call_store(spark, path).gathered
+    assert 2 < first.buckets < whole.buckets == -(-ordinary.count() // 200)
+    assert ordinary.rdd.getNumPartitions() <= whole.buckets
+    assert rows(call_store.stored_calls(spark, path)) == rows(calls)
+    leads = shared_leads(spark, SF_DIR)
+    stored = lead_report(leads, call_store.open_call_store(spark, path))
+    assert rows(stored) == rows(lead_report(leads, calls, []))
+
+
 def test_a_store_of_no_calls(spark, golden, tmp_path):
     path = str(tmp_path / "calls")
     call_store.write_call_store(golden[1].limit(0), path, 2)
