@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dialtrail.llm.jaccard import Rule, linked_documents
 from dialtrail.llm.langid import HELD_OUT_MOD, UNDETERMINED, predict, remainder, train
 from dialtrail.llm.mixing import mix
-from dialtrail.llm.packing import cut_pieces, pack, random_group
+from dialtrail.llm.packing import pack, random_group, stored_pieces
 from dialtrail.llm.surrogates import replace_entities
 from dialtrail.llm.texts import fresh_name, pack_texts, unpack_texts
 from dialtrail.operators.staging import staged
@@ -82,7 +82,7 @@ def pack_stretches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     each give theirs, and no documents give none."""
     file_number = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
     stretch = F.coalesce(file_number.try_cast("bigint"), F.lit(0).cast("bigint"))
-    pieces = staged(cut_pieces(docs, stretch=stretch), "pieces")
+    pieces = stored_pieces(docs, stretch=stretch)
     return pack(pieces, random_group(pieces, within="stretch")).drop("stretch")
 
 

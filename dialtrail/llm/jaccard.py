@@ -25,7 +25,16 @@ from pyspark.sql import functions as F
 
 from dialtrail.llm.components import components
 from dialtrail.llm.runs import pair_blocks, whole_runs
-from dialtrail.llm.texts import Hashes, compressed, mix, ragged, restored, slices, word_bounds
+from dialtrail.llm.texts import (
+    Hashes,
+    compressed,
+    giving_back,
+    mix,
+    ragged,
+    restored,
+    slices,
+    word_bounds,
+)
 from dialtrail.operators.staging import staged
 
 # The counts that order n-grams: hashed into so many counters, whatever the size
@@ -124,6 +133,7 @@ def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
     """Of each document its set's size, fingerprint and other number, and slices
     of the task's n-gram counts."""
 
+    @giving_back
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
         names = ["doc_id", "n", "set", "other", "slice", "counts"]
@@ -193,6 +203,7 @@ POSTINGS = "gram bigint, set bigint, place bigint, parts bigint"
 def _postings(docs: DataFrame, rule: Rule, ranks, clashing) -> DataFrame:
     """The prefix of every set, each set once for each batch of documents."""
 
+    @giving_back
     def run(batches):
         for batch in batches:
             seen = np.zeros(0, np.int64)
@@ -270,6 +281,7 @@ def _edge_batch(a, b):
 def _candidate_links(postings: DataFrame, rule: Rule) -> DataFrame:
     keys = ["gram", "low", "high"]
 
+    @giving_back
     def run(batches):
         for table, starts in whole_runs(batches, keys):
             sets = table.column("set").to_numpy()
@@ -368,6 +380,7 @@ def _verified_links(members: DataFrame, rule: Rule, clashing, mode: str = "fores
     "pairs"; if it is "counts", each set's links in the block, weighed by copies."""
     keys = ["component", "low", "high"]
 
+    @giving_back
     def run(batches):
         for table, starts in whole_runs(batches, keys):
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
@@ -417,6 +430,7 @@ def _verified_links(members: DataFrame, rule: Rule, clashing, mode: str = "fores
 
 
 def _packed(docs: DataFrame) -> DataFrame:
+    @giving_back
     def run(batches):
         for batch in batches:
             packed, sizes = compressed(batch.column("text").fill_null(""))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialtrail.llm.texts import ragged, slices
+from dialtrail.llm.texts import giving_back, ragged, slices
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -189,6 +189,7 @@ def train(
     table = F.create_map(*[F.lit(x) for k, v in keep.items() for x in (k, int(v) + 1)])
     drawn = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(HASH_STEPS))
 
+    @giving_back
     def cut(batches):
         for batch in batches:
             langs = batch.column("lang").to_pylist()
@@ -239,6 +240,7 @@ def predict(
     rows = docs.select(*keep, F.when(has_letter, text))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
+    @giving_back
     def run(batches):
         tables = model and model.pair_tables()
         for batch in batches:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialtrail.llm.texts import giving_back
 from dialtrail.operators.ordinal import with_ordinal
 from dialtrail.operators.staging import staged
 
@@ -107,6 +108,7 @@ def _schedule_table(sources: DataFrame, repeat: bool) -> DataFrame:
     of sources; a source's blocks come again, an epoch later, with ``repeat``."""
     names = ["_at", "_block", "_epoch", "_slot"]
 
+    @giving_back
     def run(batches):
         tables = [pa.table(batch) for batch in batches if batch.num_rows]
         if not tables:

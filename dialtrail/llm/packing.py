@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialtrail.llm.texts import Hashes, ragged, slices
+from dialtrail.llm.texts import Hashes, giving_back, ragged, slices
 from dialtrail.operators.staging import staged
 
 SEQUENCE = 1024
@@ -142,6 +142,7 @@ def cut_pieces(
     path = path or tokenizer_path()
     stretch = F.lit(0).cast("bigint") if stretch is None else stretch
 
+    @giving_back
     def run(batches):
         for batch in batches:
             ids_of = batch.column("doc_id")
@@ -172,6 +173,24 @@ def cut_pieces(
     ).mapInArrow(run, PIECE_SCHEMA)
 
 
+# Documents of one batch that a worker takes at a time.
+BATCH_DOCUMENTS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored_pieces(docs: DataFrame, *args, **options) -> DataFrame:
+    """``cut_pieces``, staged. Meanwhile batches are small: a worker and the JVM
+    each hold one whole, beside the tokenizer and what it remembers."""
+    conf = docs.sparkSession.conf
+    before = conf.get(_BATCH)
+    most = int(before)
+    conf.set(_BATCH, str(min(most, BATCH_DOCUMENTS) if most > 0 else BATCH_DOCUMENTS))
+    try:
+        return staged(cut_pieces(docs, *args, **options), "pieces")
+    finally:
+        conf.set(_BATCH, before)
+
+
 def first_fit_decreasing(sizes: np.ndarray, capacity: int = SEQUENCE):
     """Bin and offset of each item: the largest first, each into the first bin
     with room. Ties keep their order. Sizes lie between 1 and ``capacity``."""
@@ -247,5 +266,5 @@ def packed_documents(
     pieces, with a missing doc_id too; pieces of equal length go by their place
     in the group. A text of any length is cut whole. No rows give no rows.
     """
-    pieces = staged(cut_pieces(docs, path, length), "pieces")
+    pieces = stored_pieces(docs, path, length)
     return pack(pieces.drop("stretch"), random_group(pieces), length)

@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialtrail.llm.texts import giving_back
+
 DEFAULT_KEY = b"a key of the corpus owner"
 ROUNDS = 8
 
@@ -500,6 +502,7 @@ def replace_entities(
     columns = docs.columns
     place = columns.index("text")
 
+    @giving_back
     def run(batches) -> Iterator[pa.RecordBatch]:
         surrogates = Surrogates(key)
         for batch in batches:

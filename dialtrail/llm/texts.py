@@ -4,6 +4,8 @@ Everything here works on one slice of a batch, a few MB at a time, so that a
 worker's memory depends on the slice and on the longest single text alone.
 """
 
+import ctypes
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +19,26 @@ SLICE_BYTES = 1 << 20
 # every worker keeps at its highest mark.
 pa.set_memory_pool(pa.system_memory_pool())
 
+def give_back() -> None:
+    """Hand freed memory back to the system, where the C library does so only when
+    told."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(run):
+    """``run``, a task's work on its batches, that leaves no freed memory with the
+    worker: it waits for the next task beside others that work."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
@@ -169,6 +191,7 @@ def pack_texts(df: DataFrame) -> DataFrame:
     texts' sizes as a last column."""
     size_name = fresh_name(df.columns, "text_size")
 
+    @giving_back
     def run(batches):
         for batch in batches:
             place = batch.schema.get_field_index("text")
@@ -188,6 +211,7 @@ def pack_texts(df: DataFrame) -> DataFrame:
 def unpack_texts(df: DataFrame) -> DataFrame:
     """What ``pack_texts`` was given."""
 
+    @giving_back
     def run(batches):
         for batch in batches:
             place = batch.schema.get_field_index("text")

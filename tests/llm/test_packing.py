@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from dialtrail.llm import packing, texts
 from dialtrail.llm.packing import (
     first_fit_decreasing,
     packed_documents,
@@ -68,3 +69,34 @@ def test_first_fit_by_hand(seed):
         plain[i] = (b, 100 - room[b])
         room[b] -= sizes[i]
     assert [plain[i] for i in range(300)] == list(zip(bins.tolist(), offsets.tolist()))
+
+
+def test_workers_take_small_batches_and_give_memory_back(spark, monkeypatch):
+    def sizes(docs, *args):
+        each = texts.giving_back(lambda batches: map(of, batches))
+        return docs.select("doc_id").mapInArrow(each, "n bigint")
+
+    def of(batch):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    docs = spark.range(50).withColumnRenamed("id", "doc_id").coalesce(1)
+    monkeypatch.setattr(packing, "cut_pieces", sizes)
+    monkeypatch.setattr(packing, "BATCH_DOCUMENTS", 20)
+    assert sorted(r.n for r in packing.stored_pieces(docs).collect()) == [10, 20, 20]
+    assert spark.conf.get(setting) == before
+    # A session's own smaller batches stay.
+    spark.conf.set(setting, "15")
+    try:
+        assert sorted(r.n for r in packing.stored_pieces(docs).collect()) == [5, 15, 15, 15]
+        assert spark.conf.get(setting) == "15"
+    finally:
+        spark.conf.set(setting, before)
+    done = []
+    monkeypatch.setattr(texts, "give_back", lambda: done.append("back"))
+    for n in texts.giving_back(lambda batches: (b + 1 for b in batches))([1, 2]):
+        done.append(n)
+    assert done == [2, 3, "back"]
