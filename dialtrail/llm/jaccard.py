@@ -6,9 +6,12 @@ rare n-grams first, by counts over the whole corpus; two sets that are alike
 enough share an n-gram within short prefixes of that order. Sets meet on prefix
 n-grams and pass a length filter, a positional filter (what lies behind the
 first common n-gram bounds the overlap) and a suffix filter (both sets parted by
-hash; the difference of the parts' sizes bounds it as well). What passes is
-gathered into groups, and within a group each pair that is not linked already
-is verified once, on its whole sets.
+hash; the difference of the parts' sizes bounds it as well). Two sets whose
+marks nearly agree are as good as linked and join at once; every other pair that
+passes meets by the sets' sketches, whose differing bits bound the symmetric
+difference. So chance meetings, which grow with the square of the corpus, join no
+groups. What is left is gathered into groups, and within a group each pair that
+is not linked already is verified once, on its whole sets.
 
 For components only links that join two groups are written, so copies are never
 expanded into pairs; a hot n-gram or group is cut into blocks that meet two by
@@ -42,6 +45,8 @@ from dialtrail.operators.staging import staged
 COUNTERS = 1 << 20
 COUNTER_SLICES = 256
 PARTS = 8  # of the suffix filter, one byte each
+SMALL = 128  # n-grams of a set whose mark is a sketch of 64 bits
+NEAR_MARKS = 16  # bits of 64; marks of unlike sets differ in some 32
 BLOCK_POSTINGS = 4096
 BLOCK_GRAMS = 1_000_000
 
@@ -122,21 +127,68 @@ def _names(grams, n, first, clashing):
     return np.where(shared, _others(sets, grams, n, first), sets) if shared.any() else sets
 
 
+def _parities(rows, grams, bits):
+    """For each row the parities of how many of its n-grams fall on each of
+    ``bits`` places, all rows end to end. Where two sets' parities differ, an
+    n-gram is in one of them alone, so as many are at least."""
+    first = np.cumsum(bits) - bits
+    place = (grams & (bits[rows] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(first[rows] + place, minlength=int(bits.sum())) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def _sketches(rows, grams, n):
+    """Of each set the parities on n places or up to twice as many."""
+    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1)))).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(bits // 8)]).astype(np.int32)
+    data = _parities(rows, grams, bits)
+    return pa.Array.from_buffers(
+        pa.binary(), len(n), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
+    )
+
+
+def _apart(one: bytes, other: bytes) -> int:
+    """Lower bound of the symmetric difference of two sets from their sketches,
+    the longer one folded."""
+    short, long = sorted((one, other), key=len)
+    size, rest = len(long), int.from_bytes(long, "little")
+    while size > len(short):
+        size //= 2
+        rest = (rest >> (8 * size)) ^ (rest & ((1 << (8 * size)) - 1))
+    return (rest ^ int.from_bytes(short, "little")).bit_count()
+
+
+def _marks(rows, grams, n):
+    """64 bits for each set: of a small one its parities; of another a bit of the
+    least n-gram of each 64th part of all hashes, in which sets of Jaccard index j
+    differ with a chance of (1 - j) / 2. The n-grams by row, then hash."""
+    small = _parities(rows, grams, np.full(len(n), 64, np.int64)).view(np.int64)
+    part = (grams >> np.uint64(58)).astype(np.int64)
+    least = np.ones(len(rows), bool)
+    least[1:] = (rows[1:] != rows[:-1]) | (part[1:] != part[:-1])
+    bits = np.zeros((len(n), 64), np.uint8)
+    bits[rows[least], part[least]] = grams[least] & np.uint64(1)
+    large = np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
+    return np.where(n <= SMALL, small, large)
+
+
 def _counter(grams):
     return (grams >> np.uint64(44)).astype(np.int64)  # COUNTERS = 2 ** 20
 
 
-SETS = "doc_id bigint, n bigint, set bigint, other bigint, slice int, counts binary"
+SETS = (
+    "doc_id bigint, n bigint, set bigint, other bigint, sketch binary, slice int, counts binary"
+)
 
 
 def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Of each document its set's size, fingerprint and other number, and slices
-    of the task's n-gram counts."""
+    """Of each document its set's size, fingerprint, other number and sketch, and
+    slices of the task's n-gram counts."""
 
     @giving_back
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "n", "set", "other", "slice", "counts"]
+        names = ["doc_id", "n", "set", "other", "sketch", "slice", "counts"]
         for batch in batches:
             for part in slices(batch.column("text")):
                 texts = len(part.starts)
@@ -150,6 +202,7 @@ def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
                         pa.array(n),
                         pa.array(sets),
                         pa.array(_others(sets, grams, n, first)),
+                        _sketches(rows, grams, n),
                         pa.nulls(texts, pa.int32()),
                         pa.nulls(texts, pa.binary()),
                     ],
@@ -159,6 +212,7 @@ def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(COUNTER_SLICES, pa.int64())] * 4
             + [
+                pa.nulls(COUNTER_SLICES, pa.binary()),
                 pa.array(np.arange(COUNTER_SLICES, dtype=np.int32)),
                 pa.array([p.tobytes() for p in parts], pa.binary()),
             ],
@@ -183,13 +237,13 @@ def _ranks(sets: DataFrame) -> np.ndarray:
             names=["slice", "counts"],
         )
 
-    rows = (
+    sums = (
         sets.filter(F.col("slice").isNotNull())
         .select("slice", "counts")
         .groupBy("slice")
         .applyInArrow(add, "slice int, counts binary")
-        .collect()
     )
+    rows = staged(sums, "counters").collect()
     parts = {r["slice"]: np.frombuffer(r["counts"], np.int64) for r in rows}
     if not parts:
         return np.zeros(COUNTERS, np.int64)
@@ -197,7 +251,7 @@ def _ranks(sets: DataFrame) -> np.ndarray:
 
 
 # size * 2 ** 32 + place of the n-gram in the order; the parts' sizes, a byte each.
-POSTINGS = "gram bigint, set bigint, place bigint, parts bigint"
+POSTINGS = "gram bigint, set bigint, place bigint, parts bigint, mark bigint"
 
 
 def _postings(docs: DataFrame, rule: Rule, ranks, clashing) -> DataFrame:
@@ -219,6 +273,7 @@ def _postings(docs: DataFrame, rule: Rule, ranks, clashing) -> DataFrame:
                 bucket = (grams >> np.uint64(8)).astype(np.int64) % PARTS
                 parts = np.bincount(rows * PARTS + bucket, minlength=texts * PARTS)
                 parts = np.minimum(parts, 255).astype(np.uint8).view(np.int64)
+                marks = _marks(rows, grams, n)
                 order = np.lexsort((grams, ranks.value[_counter(grams)], rows))
                 place = np.arange(len(rows)) - first[rows]
                 kept = once[rows] & (place < rule.prefix(n)[rows])
@@ -229,8 +284,9 @@ def _postings(docs: DataFrame, rule: Rule, ranks, clashing) -> DataFrame:
                         pa.array(sets[rows]),
                         pa.array((n[rows] << 32) | place),
                         pa.array(parts[rows]),
+                        pa.array(marks[rows]),
                     ],
-                    names=["gram", "set", "place", "parts"],
+                    names=["gram", "set", "place", "parts", "mark"],
                 )
 
     return docs.select("text").mapInArrow(run, POSTINGS)
@@ -241,11 +297,22 @@ def _parts_apart(parts, one):
     return np.abs(parts.astype(np.int16) - one.astype(np.int16)).sum(axis=1)
 
 
-def _filtered_links(rule, sets, sizes, places, parts, own, two_blocks):
-    """Links that join the sets of one posting list as far as the filters admit
-    pairs; sets by size. Indexes of both ends."""
+def _filtered(rule, sizes, parts, marks, i, j, need):
+    """Of pairs of set i and sets j that passed the other filters those that pass
+    the suffix filter and, if small, that of the marks; and which are near."""
+    most = sizes[i] + sizes[j] - 2 * need
+    apart = np.bitwise_count(marks[j] ^ marks[i])
+    small = (sizes[i] <= SMALL) & (sizes[j] <= SMALL)
+    ok = (_parts_apart(parts[j], parts[i]) <= most) & ((apart <= most) | ~small)
+    return ok, ok & (apart <= NEAR_MARKS) & (small | ((sizes[i] > SMALL) & (sizes[j] > SMALL)))
+
+
+def _filtered_links(rule, sets, sizes, places, parts, marks, own, two_blocks):
+    """The pairs of one posting list that the filters admit, sets by size: near
+    ones as far as they join sets, the others unless near ones join them.
+    Indexes of both ends, and which are near."""
     label = np.arange(len(sets))
-    out = []
+    near, far = [], []
     for i in range(len(sets) - 1):
         rest = slice(i + 1, len(sets))
         need = rule.overlap(sizes[i], sizes[rest])
@@ -261,15 +328,22 @@ def _filtered_links(rule, sets, sizes, places, parts, own, two_blocks):
         j = np.flatnonzero(may) + i + 1
         if not len(j):
             continue
-        j = j[_parts_apart(parts[j], parts[i]) <= sizes[i] + sizes[j] - 2 * need[j - i - 1]]
-        labels, at = np.unique(label[j], return_index=True)
-        if len(labels):
-            out += [(i, k) for k in j[at].tolist()]
+        ok, sure = _filtered(rule, sizes, parts, marks, i, j, need[j - i - 1])
+        if (ok & ~sure).any():
+            some = j[ok & ~sure]
+            far.append(np.column_stack([np.full(len(some), i), some]))
+        if sure.any():
+            labels, at = np.unique(label[j[sure]], return_index=True)
+            some = j[sure][at]
+            near.append(np.column_stack([np.full(len(some), i), some]))
             label[np.isin(label, labels)] = label[i]
-    return out
+    far = [p[label[p[:, 0]] != label[p[:, 1]]] for p in far]
+    pairs = np.concatenate([*near, *far, np.zeros((0, 2), np.int64)])
+    return pairs, np.arange(len(pairs)) < sum(map(len, near))
 
 
 EDGES = "a bigint, b bigint"
+PAIRS = "a bigint, b bigint, near boolean"
 
 
 def _edge_batch(a, b):
@@ -278,7 +352,7 @@ def _edge_batch(a, b):
     )
 
 
-def _candidate_links(postings: DataFrame, rule: Rule) -> DataFrame:
+def _candidate_pairs(postings: DataFrame, rule: Rule) -> DataFrame:
     keys = ["gram", "low", "high"]
 
     @giving_back
@@ -289,6 +363,7 @@ def _candidate_links(postings: DataFrame, rule: Rule) -> DataFrame:
             sizes, places = place >> 32, place & 0xFFFFFFFF
             parts = np.ascontiguousarray(table.column("parts").to_numpy())
             parts = parts.view(np.uint8).reshape(-1, PARTS)
+            marks = table.column("mark").to_numpy().view(np.uint64)
             own = table.column("_own").to_numpy()
             two = table.column("low").to_numpy() != table.column("high").to_numpy()
             length = np.diff(starts)
@@ -298,25 +373,52 @@ def _candidate_links(postings: DataFrame, rule: Rule) -> DataFrame:
             need = rule.overlap(sizes[i], sizes[j])
             ok = (rule.least_size(sizes[j]) <= sizes[i]) & (sets[i] != sets[j])
             ok &= np.minimum(sizes[i] - places[i], sizes[j] - places[j]) >= need
-            ok &= _parts_apart(parts[j], parts[i]) <= sizes[i] + sizes[j] - 2 * need
             ok &= ~two[i] | (own[i] != own[j])
-            links = [np.column_stack([i[ok], j[ok]])]
+            passed, sure = _filtered(rule, sizes, parts, marks, i, j, need)
+            ok &= passed
+            links, near = [np.column_stack([i[ok], j[ok]])], [sure[ok]]
             for s, m in zip(starts[:-1][length > 2].tolist(), length[length > 2].tolist()):
                 r = slice(s, s + m)
                 if (sets[r] == sets[s]).all():
                     continue
-                found = _filtered_links(
-                    rule, sets[r], sizes[r], places[r], parts[r], own[r], two[s]
+                found, sure = _filtered_links(
+                    rule, sets[r], sizes[r], places[r], parts[r], marks[r], own[r], two[s]
                 )
-                if found:
-                    links.append(np.array(found) + s)
-            links = np.concatenate(links)
+                links.append(found + s)
+                near.append(sure)
+            links, near = np.concatenate(links), np.concatenate(near)
             if len(links):
                 a, b = sets[links[:, 0]], sets[links[:, 1]]
-                pairs = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
-                yield _edge_batch(pairs[:, 0], pairs[:, 1])
+                pairs = np.column_stack([np.minimum(a, b), np.maximum(a, b), ~near])
+                pairs = np.unique(pairs, axis=0)  # near before not
+                new = np.append(True, (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1))
+                a, b, other = pairs[new].T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(b), pa.array(other == 0)], names=["a", "b", "near"]
+                )
 
-    return postings.mapInArrow(run, EDGES)
+    return postings.mapInArrow(run, PAIRS)
+
+
+def _alike(pairs: DataFrame, sketched: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b) of the pairs whose sketches differ by no more than linked sets may."""
+
+    @giving_back
+    def run(batches):
+        for batch in batches:
+            n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
+            most = n + m - 2 * rule.overlap(n, m)
+            one, other = batch.column("one").to_pylist(), batch.column("other").to_pylist()
+            apart = np.array([_apart(x, y) for x, y in zip(one, other)], np.int64)
+            kept = pa.array(apart <= most)
+            yield batch.select(["a", "b"]).filter(kept)
+
+    first = sketched.select(F.col("set").alias("a"), "n", F.col("sketch").alias("one"))
+    second = sketched.select(
+        F.col("set").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("other")
+    )
+    both = pairs.select("a", "b").join(first, "a").join(second, "b")
+    return both.select("a", "b", "n", "m", "one", "other").mapInArrow(run, EDGES)
 
 
 def _bitmaps(rows, grams, sets):
@@ -456,12 +558,17 @@ def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, np.ndar
     everything = staged(_sets(rows, rule), "sets")
     counts = _ranks(everything)
     ranks = docs.sparkSession.sparkContext.broadcast(counts)
-    own = everything.filter(F.col("slice").isNull()).select("doc_id", "n", "set", "other")
+    own = everything.filter(F.col("slice").isNull()).select(
+        "doc_id", "n", "set", "other", "sketch"
+    )
     clashing = _clashing(own)
     if len(clashing):
         shared = docs.sparkSession.createDataFrame([(int(s),) for s in clashing], "_shared bigint")
         own = own.join(F.broadcast(shared), F.col("set") == F.col("_shared"), "left")
         own = own.withColumn("set", F.when(F.col("_shared").isNull(), F.col("set")).otherwise(F.col("other")))
+    sketches = own.filter("n > 0").groupBy("set").agg(
+        F.max("n").alias("n"), F.first("sketch").alias("sketch")
+    )
     own = own.select("doc_id", "n", "set")
     full = own.filter("n > 0")
 
@@ -473,10 +580,12 @@ def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, np.ndar
         postings.join(shared, "gram"), "set", F.col("listed"), BLOCK_POSTINGS, "low", "high"
     ).drop("listed")
     keys = ["gram", "low", "high"]
-    candidates = _candidate_links(
+    met = _candidate_pairs(
         meeting.repartition(*keys).sortWithinPartitions(*keys, "place", "set"), rule
     )
-    groups = components(candidates)
+    pairs = staged(met.groupBy("a", "b").agg(F.max("near").alias("near")), "pairs")
+    others = _alike(pairs.filter(~F.col("near")), sketches, rule)
+    groups = components(pairs.filter("near").select("a", "b").unionByName(others))
 
     # One document of each set of a group brings the text.
     of_sets = groups.select(F.col("node").alias("set"), "component").join(full, "set")

@@ -104,6 +104,62 @@ def test_every_link_is_found(spark, monkeypatch, block):
     assert link_counts(empty(spark), rule).count() == linked_pairs(empty(spark), rule).count() == 0
 
 
+def test_chance_meetings_join_no_groups(spark, monkeypatch):
+    """Long texts that share a passage with the next one, under an order that does
+    not tell it from rare words: only near copies are gathered to be verified."""
+    rng, members, staged = random.Random(5), [], jaccard.staged
+
+    def kept(df, label):
+        table = staged(df, label)
+        members.extend([table.count()] if label == "members" else [])
+        return table
+
+    monkeypatch.setattr(jaccard, "staged", kept)
+    monkeypatch.setattr(jaccard, "_ranks", lambda sets: np.zeros(jaccard.COUNTERS, np.int64))
+    passages = [" ".join(f"p{i}x{k}" for k in range(150)) for i in range(13)]
+    texts = [
+        " ".join([passages[i], *(f"w{rng.random()}" for _ in range(1200)), passages[i + 1]])
+        for i in range(12)
+    ]
+    found = check(docs_of(spark, texts), Rule(3, 90, 100))
+    assert len({f[2] for f in found}) == 12 and members == [0]
+    texts.append(edited(rng, texts[3].split(), 10))
+    check(docs_of(spark, texts), Rule(3, 90, 100))
+    assert members == [0, 2]
+
+
+@pytest.mark.parametrize("share", [80, 90])
+def test_no_filter_drops_a_link(share):
+    """Pairs of sets of all sizes, at the edge of the rule, over it and far from it."""
+    rule, rng = Rule(3, share, 100), np.random.default_rng(share)
+    for n in [1, 2, 9, 10, 40, 100, 125, 128, 129, 140, 255, 256, 257, 700, 3000]:
+        for m in sorted({n, int(rule.least_size(n)), max(1, n - 1)}):
+            least = int(rule.overlap(n, m))
+            for both in sorted({least, min(n, m), 0}):
+                if both > min(n, m):
+                    continue
+                all_grams = rng.integers(0, 1 << 64, n + m - both, dtype=np.uint64)
+                one, other = np.sort(all_grams[:n]), np.sort(all_grams[n - both :])
+                rows = np.repeat([0, 1], [n, m])
+                grams, sizes = np.concatenate([one, other]), np.array([n, m])
+                sketches = jaccard._sketches(rows, grams, sizes).to_pylist()
+                assert all(s <= 8 * len(k) for s, k in zip(sizes, sketches))
+                apart = jaccard._apart(*sketches)
+                assert apart <= n + m - 2 * both and apart == jaccard._apart(*sketches[::-1])
+                marks = jaccard._marks(rows, grams, sizes).view(np.uint64)
+                bucket = (grams >> np.uint64(8)).astype(np.int64) % 8
+                parts = np.bincount(rows * 8 + bucket, minlength=16).reshape(2, 8)
+                parts = np.minimum(parts, 255).astype(np.uint8)
+                ok, near = jaccard._filtered(
+                    rule, sizes, parts, marks, 0, np.array([1]), rule.overlap(sizes[:1], sizes[1:])
+                )
+                assert ok[0] or both < least
+                if both == min(n, m) and n == m:
+                    assert near[0]
+                if not both and n >= 40:
+                    assert not near[0] and apart > n + m - 2 * least
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = check(docs, Rule(3, 90, 100))
