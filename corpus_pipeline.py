@@ -37,7 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     missing ones come last."""
     row = fresh_name(docs.columns, "_row")
     # Written once: numbers taken anew by each job would follow how it cuts the table.
-    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered", "zstd")
     linked = linked_documents(
         numbered.select(F.col(row).alias("doc_id"), "text"), Rule(words=5, share=80)
     ).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))

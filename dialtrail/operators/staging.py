@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 STAGING_FOLDER = "spark.dialtrail.staging.dir"
 SHARED_FOLDER = "spark.checkpoint.dir"
 WAREHOUSE = "spark.sql.warehouse.dir"
+# Shuffle files go when the statement that made them ends, not when the driver
+# happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _written: list[str] = []
 
@@ -35,12 +38,20 @@ def staged_paths() -> list[str]:
     return list(_written)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` now and return a scan of what was written.
 
     Parquet rather than ``checkpoint()``: later steps read only the columns
-    they need.
+    they need. The shuffles of the write are of no more use and take no disk
+    after it. ``codec``: Parquet's, if not the session's.
     """
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    writer = df.write.option("compression", codec) if codec else df.write
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+    return spark.read.schema(df.schema).parquet(path)
