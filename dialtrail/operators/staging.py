@@ -14,6 +14,9 @@ SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _written: list[str] = []
 
+# Labels of tables as large as the input, which are packed more tightly.
+WHOLE_TEXTS = ("numbered",)
+
 
 def staging_folder(spark: SparkSession) -> str:
     """One rule for every master: a folder of the caller's own, which they may
@@ -38,16 +41,16 @@ def staged_paths() -> list[str]:
     return list(_written)
 
 
-def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` now and return a scan of what was written.
 
     Parquet rather than ``checkpoint()``: later steps read only the columns
     they need. The shuffles of the write are of no more use and take no disk
-    after it. ``codec``: Parquet's, if not the session's.
+    after it.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    writer = df.write.option("compression", codec) if codec else df.write
+    writer = df.write.option("compression", "zstd") if label in WHOLE_TEXTS else df.write
     before = spark.conf.get(SHUFFLES_GO, None)
     spark.conf.set(SHUFFLES_GO, "true")
     try:
